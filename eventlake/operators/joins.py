@@ -1,0 +1,30 @@
+"""Join helper that broadcasts only a side of checked size."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+# A dimension at or below this many rows is shipped to every executor; above
+# it the join shuffles both sides (AQE still splits skewed partitions).
+DEFAULT_BROADCAST_MAX_ROWS = 2_000_000
+
+
+def sized_join(
+    big: DataFrame,
+    small: DataFrame,
+    on,
+    how: str = "inner",
+    broadcast_max_rows: int | None = None,
+) -> DataFrame:
+    """``big.join(small)``; ``small`` is broadcast only after counting it.
+
+    The count is one cheap job over the (already filtered and projected)
+    dimension; it bounds what every executor must hold in memory.
+    """
+    limit = DEFAULT_BROADCAST_MAX_ROWS if broadcast_max_rows is None else broadcast_max_rows
+    # limit(limit + 1) stops the count early on a huge dimension.
+    n = small.limit(limit + 1).count()
+    if n <= limit:
+        small = F.broadcast(small)
+    return big.join(small, on, how)
