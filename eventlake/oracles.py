@@ -197,6 +197,77 @@ def _gold(name: str) -> str:
     return f"gold_{name} AS ({GOLD_SQL[name]}\n)"
 
 
+KNOWN_TYPES_SQL = ", ".join(
+    f"'{t}'"
+    for t in (
+        "PushEvent PullRequestEvent IssuesEvent IssueCommentEvent WatchEvent ForkEvent CreateEvent DeleteEvent "
+        "ReleaseEvent PullRequestReviewEvent PullRequestReviewCommentEvent CommitCommentEvent GollumEvent "
+        "MemberEvent PublicEvent"
+    ).split()
+)
+
+LAYER_CTE = """,
+t_bronze AS (SELECT id AS event_id, etype AS event_type, repo_id, repo_name, event_ts AS event_timestamp FROM valid),
+t_silver AS (SELECT * FROM silver),
+t_gold AS (SELECT * FROM gold_event_type_summary_hourly)"""
+
+
+def _row(layer, name, ctype, sev, passed, observed, expected):
+    return (f"SELECT '{name}' AS check_name, '{ctype}' AS check_type, '{sev}' AS severity, {passed} AS passed, "
+            f"{observed} AS observed, '{expected}' AS expected, '{layer}' AS layer FROM t_{layer}")
+
+
+def _custom_checks(layer: str) -> list[str]:
+    out = [_row(layer, "row_count_min", "row_count", "critical", "count(*) >= 1", "CAST(count(*) AS VARCHAR)", ">=1")]
+    if layer == "gold":
+        return out
+    cols = (["event_id", "event_type", "repo_id", "repo_name", "event_timestamp"] if layer == "bronze"
+            else ["event_id", "event_type", "repo_id"])
+    nn = [f"count(*) FILTER (WHERE {c} IS NULL)" for c in cols]
+    q = "''"
+    parts = ", ".join(
+        f"CASE WHEN {x} > 0 THEN concat('{q}{c}{q}: ', CAST({x} AS VARCHAR)) END" for c, x in zip(cols, nn)
+    )
+    anybad = " OR ".join(f"{x} > 0" for x in nn)
+    observed = f"CASE WHEN {anybad} THEN concat('{{', concat_ws(', ', {parts}), '}}') ELSE 'no nulls' END"
+    out.append(_row(layer, "not_null:" + ",".join(cols), "not_null", "critical", f"NOT ({anybad})", observed, "0 nulls"))
+    dups = f"(count(*) - (SELECT count(*) FROM (SELECT DISTINCT event_id FROM t_{layer})))"
+    out.append(_row(layer, "unique:event_id", "unique", "critical", f"{dups} = 0",
+                    f"concat(CAST({dups} AS VARCHAR), ' dups')", "0 dups"))
+    if layer == "silver":
+        bad = f"count(*) FILTER (WHERE event_type IS NOT NULL AND event_type NOT IN ({KNOWN_TYPES_SQL}))"
+        out.append(_row(layer, "accepted_values:event_type", "accepted_values", "warning", f"{bad} = 0",
+                        f"concat(CAST({bad} AS VARCHAR), ' out-of-set')", "all in set"))
+    return out
+
+
+def _expectations(layer: str) -> list[str]:
+    nn, ins = "expect_column_values_to_not_be_null", "expect_column_values_to_be_in_set"
+    specs = {
+        "bronze": [(nn, "event_id", None), (nn, "event_type", None), (nn, "repo_id", None)],
+        "silver": [(nn, "event_id", None), (nn, "repo_id", None), (ins, "event_type", KNOWN_TYPES_SQL),
+                   (ins, "is_bot", "TRUE, FALSE")],
+        "gold": [(nn, "event_date", None)],
+    }[layer]
+    out = []
+    for etype, col, values in specs:
+        cond = f"{col} IS NULL" if values is None else f"{col} IS NOT NULL AND {col} NOT IN ({values})"
+        bad = f"count(*) FILTER (WHERE {cond})"
+        out.append(_row(layer, f"gx:{etype}:{col}", "expectation", "warning", f"{bad} = 0",
+                        f"concat('unexpected=', CAST({bad} AS VARCHAR))", etype))
+    return out
+
+
+def _dq_sql(layers, custom: bool, declarative: bool) -> str:
+    rows = []
+    for layer in layers:
+        if custom:
+            rows += _custom_checks(layer)
+        if declarative:
+            rows += _expectations(layer)
+    return "\nUNION ALL\n".join(rows)
+
+
 def oracle_sql() -> dict[str, str]:
     q: dict[str, str] = {}
     q["bronze_valid"] = with_events(f"""
@@ -222,6 +293,75 @@ SELECT repo_name, CAST(sum(unique_actors) AS BIGINT) AS contributors, CAST(sum(e
        CAST(sum(stars) AS BIGINT) AS stars, CAST(sum(forks) AS BIGINT) AS forks
 FROM gold_hot_repos_hourly GROUP BY repo_name"""
     q["vw_trending_repos"] = with_events("," + _gold("hot_repos_hourly") + trending)
+    dim_cols = """repo_id, repo_name, primary_language, stargazers_count, forks_count, open_issues_count, topics,
+       description, is_fork, size_kb, record_hash, strftime(valid_from, '%Y-%m-%d %H:%M:%S') AS valid_from,
+       strftime(valid_to, '%Y-%m-%d %H:%M:%S') AS valid_to, is_current"""
+    q["scd2_initial"] = with_all(f"SELECT {dim_cols} FROM dim1")
+    q["scd2_second_snapshot"] = with_all(f"SELECT {dim_cols} FROM dim2")
+    q["scd2_version_stats"] = with_all("""
+SELECT count(*) AS rows_total, count(*) FILTER (WHERE is_current) AS current,
+       count(*) FILTER (WHERE NOT is_current) AS historical FROM dim2""")
+    q["snapshot_normalise"] = with_all("SELECT * FROM snap2")
+    q["enrichment_targets"] = with_events("""
+SELECT repo_id, repo_name, count(DISTINCT actor_id) AS actors, count(*) AS activity
+FROM silver WHERE NOT is_bot GROUP BY repo_id, repo_name HAVING count(DISTINCT actor_id) >= 3
+ORDER BY actors DESC, activity DESC, repo_id ASC LIMIT 100""")
+    etsum = "," + _gold("event_type_summary_hourly")
+    q["vw_event_type_distribution"] = with_events(etsum + """
+SELECT event_type, CAST(sum(event_count) AS BIGINT) AS events, CAST(sum(unique_actors) AS BIGINT) AS actors
+FROM gold_event_type_summary_hourly GROUP BY event_type""")
+    q["vw_hourly_activity"] = with_events(etsum + """
+SELECT event_hour, CAST(sum(event_count) AS BIGINT) AS events FROM gold_event_type_summary_hourly GROUP BY event_hour""")
+    lang = """
+SELECT primary_language, CAST(sum(event_count) AS BIGINT) AS events, CAST(sum(unique_repos) AS BIGINT) AS repos,
+       CAST(sum(stars) AS BIGINT) AS stars
+FROM gold_language_trends_daily WHERE primary_language IS NOT NULL GROUP BY primary_language"""
+    q["vw_language_trends"] = with_all("," + _gold("language_trends_daily") + lang)
+    q["languages_top15"] = with_all("," + _gold("language_trends_daily") + lang
+                                    + "\nORDER BY events DESC, primary_language ASC LIMIT 15")
+    topic = """
+SELECT topic, CAST(sum(event_count) AS BIGINT) AS events, CAST(sum(unique_repos) AS BIGINT) AS repos
+FROM gold_topic_trends_daily GROUP BY topic"""
+    q["vw_topic_trends"] = with_all("," + _gold("topic_trends_daily") + topic)
+    q["topics_top20"] = with_all("," + _gold("topic_trends_daily") + topic + "\nORDER BY events DESC, topic ASC LIMIT 20")
+    contrib = """
+SELECT actor_login, CAST(sum(prs_opened) AS BIGINT) AS prs_opened, CAST(sum(issues_opened) AS BIGINT) AS issues_opened,
+       CAST(sum(repos_touched) AS BIGINT) AS repos, CAST(sum(total_events) AS BIGINT) AS events
+FROM gold_contributor_activity_daily WHERE NOT is_bot GROUP BY actor_login
+HAVING sum(prs_opened) + sum(issues_opened) > 0"""
+    cad = "," + _gold("contributor_activity_daily")
+    q["vw_top_contributors"] = with_events(cad + contrib)
+    q["contributors_top20"] = with_events(
+        cad + contrib + "\nORDER BY prs_opened DESC, issues_opened DESC, repos DESC, actor_login ASC LIMIT 20"
+    )
+    q["vw_bot_vs_human"] = with_events(cad + """
+SELECT CASE WHEN is_bot THEN 'bot' ELSE 'human' END AS actor_kind, CAST(sum(total_events) AS BIGINT) AS events,
+       count(DISTINCT actor_login) AS actors
+FROM gold_contributor_activity_daily GROUP BY is_bot""")
+    q["vw_batch_vs_stream"] = with_events("""
+SELECT CASE WHEN event_date <= DATE '2024-01-15' THEN 'batch' ELSE 'stream' END AS source, count(*) AS events
+FROM silver GROUP BY 1""")
+    q["vw_repo_versions"] = with_all("SELECT is_current, count(*) AS rows FROM dim2 GROUP BY is_current")
+    q["kpi_totals"] = with_events("""
+SELECT count(*) AS total_events, count(DISTINCT repo_id) AS distinct_repos,
+       count(DISTINCT actor_id) AS distinct_contributors FROM silver""")
+    dq_pre = etsum + LAYER_CTE + "\n"
+    q["dq_bronze"] = with_events(dq_pre + _dq_sql(["bronze"], True, False))
+    q["dq_silver"] = with_events(dq_pre + _dq_sql(["silver"], True, False))
+    q["dq_gold"] = with_events(dq_pre + _dq_sql(["gold"], True, False))
+    q["dq_declarative"] = with_events(dq_pre + _dq_sql(["bronze", "silver", "gold"], False, True))
+    q["vw_dq_health"] = with_events(dq_pre.rstrip() + ",\ndq AS (" + _dq_sql(["bronze", "silver", "gold"], True, True) + """)
+SELECT layer, count(*) AS checks, count(*) FILTER (WHERE passed) AS passed,
+       CAST(round(100.0 * count(*) FILTER (WHERE passed) / count(*), 1) AS DOUBLE) AS pass_pct
+FROM dq GROUP BY layer""")
+    q["hour_slots"] = """
+WITH b AS (SELECT date_trunc('hour', min(ts)) AS s, date_trunc('hour', max(ts)) AS e FROM events),
+x AS (SELECT unnest(generate_series(b.s, b.e, INTERVAL 1 HOUR)) AS slot FROM b)
+SELECT strftime(slot, '%Y-%m-%d %H:%M:%S') AS slot_start, CAST(slot AS DATE) AS slot_date,
+       CAST(hour(slot) AS INTEGER) AS slot_hour,
+       concat(strftime(slot, '%Y-%m-%d'), '-', CAST(hour(slot) AS VARCHAR), '.json.gz') AS file_name,
+       strftime(slot, 'year=%Y/month=%m/day=%d/hour=%H') AS folder
+FROM x"""
     q["trending_top20"] = with_events(
         "," + _gold("hot_repos_hourly") + trending + "\nORDER BY contributors DESC, events DESC, repo_name ASC LIMIT 20"
     )

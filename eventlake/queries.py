@@ -101,6 +101,167 @@ def q_trending_top20(spark, sf):
     return serving.top_trending(q_trending_repos(spark, sf), 20)
 
 
+def gold_all(spark, sf):
+    events = silver_df(spark, sf)
+    dim = dimension(spark, sf)
+    return {
+        "event_type_summary_hourly": gold.event_type_summary_hourly(events),
+        "hot_repos_hourly": gold.hot_repos_hourly(events),
+        "contributor_activity_daily": gold.contributor_activity_daily(events),
+        "language_trends_daily": gold.language_trends_daily(events, dim),
+        "topic_trends_daily": gold.topic_trends_daily(events, dim),
+    }
+
+
+def q_event_type_distribution(spark, sf):
+    return serving.event_type_distribution(gold_table(spark, sf, "event_type_summary_hourly"))
+
+
+def q_language_trends(spark, sf):
+    return serving.language_trends(gold_table(spark, sf, "language_trends_daily"))
+
+
+def q_topic_trends(spark, sf):
+    return serving.topic_trends(gold_table(spark, sf, "topic_trends_daily"))
+
+
+def q_top_contributors(spark, sf):
+    return serving.top_contributors(gold_table(spark, sf, "contributor_activity_daily"))
+
+
+def q_bot_vs_human(spark, sf):
+    return serving.bot_vs_human(gold_table(spark, sf, "contributor_activity_daily"))
+
+
+def q_hourly_activity(spark, sf):
+    return serving.hourly_activity(gold_table(spark, sf, "event_type_summary_hourly"))
+
+
+BATCH_UNTIL = "2024-01-15"
+
+
+def silver_mixed(spark, sf):
+    """Silver fed by both paths: days up to BATCH_UNTIL by the batch job, the
+    rest by the stream (same transform, different lineage tag)."""
+    valid = bronze_valid_df(spark, sf)
+    early = F.col("event_date") <= F.to_date(F.lit(BATCH_UNTIL))
+    return to_silver_events(valid.filter(early), "batch").unionByName(to_silver_events(valid.filter(~early), "stream"))
+
+
+def q_batch_vs_stream(spark, sf):
+    return serving.batch_vs_stream(silver_mixed(spark, sf))
+
+
+def q_repo_versions(spark, sf):
+    return serving.repo_versions(dimension(spark, sf))
+
+
+def q_kpi_totals(spark, sf):
+    return serving.kpi_totals(silver_df(spark, sf))
+
+
+def q_languages_top15(spark, sf):
+    return serving.top_languages(q_language_trends(spark, sf), 15)
+
+
+def q_topics_top20(spark, sf):
+    return serving.top_topics(q_topic_trends(spark, sf), 20)
+
+
+def q_contributors_top20(spark, sf):
+    return serving.top_contributor_ranking(q_top_contributors(spark, sf), 20)
+
+
+def q_enrichment_targets(spark, sf):
+    return ranking.enrichment_targets(silver_df(spark, sf), batch_size=100, min_actors=3)
+
+
+# ---- dimension -------------------------------------------------------------
+
+def _dim_out(df: DataFrame) -> DataFrame:
+    return ts_text(df, "valid_from", "valid_to")
+
+
+def q_scd2_initial(spark, sf):
+    return _dim_out(dimension(spark, sf, 1))
+
+
+def q_scd2_second_snapshot(spark, sf):
+    return _dim_out(dimension(spark, sf, 2))
+
+
+def q_scd2_version_stats(spark, sf):
+    return scd2.version_stats(dimension(spark, sf, 2))
+
+
+def q_snapshot_normalise(spark, sf):
+    """Metadata records written as JSON files, read back with the explicit
+    schema (S6) and normalised (S7)."""
+    from eventlake.session import scratch_dir
+    from eventlake.sources.snapshots import normalize_repo_records, read_repo_records
+
+    path = scratch_dir(spark, "repo-records")
+    fixtures.repo_records(spark, sf, 2).write.mode("overwrite").json(path)
+    return normalize_repo_records(read_repo_records(spark, path))
+
+
+# ---- data quality ----------------------------------------------------------
+
+DQ_OUT = ["check_name", "check_type", "severity", "passed", "observed", "expected", "layer"]
+
+
+def layer_frames(spark, sf):
+    events = silver_df(spark, sf)
+    return {
+        "bronze": bronze_valid_df(spark, sf),
+        "silver": events,
+        "gold": gold.event_type_summary_hourly(events),
+    }
+
+
+def _dq(spark, sf, layers, custom: bool, declarative: bool) -> DataFrame:
+    frames = layer_frames(spark, sf)
+    out = None
+    for layer in layers:
+        checks = []
+        if custom:
+            checks += quality.layer_checks(layer)
+        if declarative:
+            checks += [quality.expectation(e) for e in quality.expectation_suite(layer)]
+        res = quality.run_checks(frames[layer], checks, layer=layer, table=quality.LAYER_TABLE[layer])
+        out = res if out is None else out.unionByName(res)
+    return out.select(*DQ_OUT)
+
+
+def q_dq_bronze(spark, sf):
+    return _dq(spark, sf, ["bronze"], True, False)
+
+
+def q_dq_silver(spark, sf):
+    return _dq(spark, sf, ["silver"], True, False)
+
+
+def q_dq_gold(spark, sf):
+    return _dq(spark, sf, ["gold"], True, False)
+
+
+def q_dq_declarative(spark, sf):
+    return _dq(spark, sf, ["bronze", "silver", "gold"], False, True)
+
+
+def q_dq_health(spark, sf):
+    return quality.dq_health(_dq(spark, sf, ["bronze", "silver", "gold"], True, True))
+
+
+# ---- hour slots ------------------------------------------------------------
+
+def q_hour_slots(spark, sf):
+    """Backfill window covering every hour of the event table."""
+    ev = fixtures.read_driver(spark, sf, "events")
+    bounds = ev.agg(F.min("ts").cast("timestamp").alias("start"), F.max("ts").cast("timestamp").alias("end"))
+    return ts_text(slots_between(bounds), "slot_start")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "bronze_valid": q_bronze_valid,
     "bronze_quarantine": q_bronze_quarantine,
@@ -111,6 +272,29 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "contributor_activity_daily": _gold_query("contributor_activity_daily"),
     "language_trends_daily": _gold_query("language_trends_daily"),
     "topic_trends_daily": _gold_query("topic_trends_daily"),
+    "scd2_initial": q_scd2_initial,
+    "scd2_second_snapshot": q_scd2_second_snapshot,
+    "scd2_version_stats": q_scd2_version_stats,
+    "snapshot_normalise": q_snapshot_normalise,
+    "enrichment_targets": q_enrichment_targets,
+    "vw_dq_health": q_dq_health,
+    "vw_event_type_distribution": q_event_type_distribution,
     "vw_trending_repos": q_trending_repos,
+    "vw_language_trends": q_language_trends,
+    "vw_topic_trends": q_topic_trends,
+    "vw_top_contributors": q_top_contributors,
+    "vw_bot_vs_human": q_bot_vs_human,
+    "vw_hourly_activity": q_hourly_activity,
+    "vw_batch_vs_stream": q_batch_vs_stream,
+    "vw_repo_versions": q_repo_versions,
+    "kpi_totals": q_kpi_totals,
     "trending_top20": q_trending_top20,
+    "languages_top15": q_languages_top15,
+    "topics_top20": q_topics_top20,
+    "contributors_top20": q_contributors_top20,
+    "dq_bronze": q_dq_bronze,
+    "dq_silver": q_dq_silver,
+    "dq_gold": q_dq_gold,
+    "dq_declarative": q_dq_declarative,
+    "hour_slots": q_hour_slots,
 }
