@@ -354,6 +354,33 @@ SELECT count(*) AS total_events, count(DISTINCT repo_id) AS distinct_repos,
 SELECT layer, count(*) AS checks, count(*) FILTER (WHERE passed) AS passed,
        CAST(round(100.0 * count(*) FILTER (WHERE passed) / count(*), 1) AS DOUBLE) AS pass_pct
 FROM dq GROUP BY layer""")
+    def silver_select(source_file: str, source: str) -> str:
+        return f"""
+SELECT event_id, event_type, event_action, actor_id, actor_login, is_bot, repo_id, repo_name, repo_owner, ref, ref_type,
+       push_size, pr_or_issue_number, pr_merged, payload, strftime(event_ts, '%Y-%m-%d %H:%M:%S') AS event_timestamp,
+       event_date, event_hour, {source_file} AS source_file, {source} AS source
+FROM silver"""
+
+    q["merge_insert_only"] = with_events("""
+SELECT id AS event_id, etype AS event_type, user_id AS actor_id, login AS actor_login, repo_id, repo_name, payload,
+       strftime(event_ts, '%Y-%m-%d %H:%M:%S') AS event_timestamp, CAST(event_ts AS DATE) AS event_date,
+       CASE WHEN CAST(event_ts AS DATE) <= DATE '2024-01-15' THEN 'batch-1' ELSE 'batch-2' END AS source_file
+FROM valid""")
+    q["merge_upsert"] = with_events(silver_select(
+        "source_file", "CASE WHEN event_date >= DATE '2024-01-11' THEN 'stream' ELSE 'batch' END"))
+    q["replace_day"] = with_events("""
+SELECT event_date, event_hour, event_type, count(*) AS event_count,
+       count(DISTINCT actor_id) AS unique_actors, count(DISTINCT repo_id) AS unique_repos
+FROM silver
+WHERE NOT (event_date = DATE '2024-01-10' AND event_type = 'PushEvent') AND event_date <> DATE '2024-01-11'
+GROUP BY event_date, event_hour, event_type""")
+    q["compact_day"] = with_events(silver_select("source_file", "source"))
+    q["stream_available_now"] = with_events(silver_select("'stream'", "'stream'"))
+    q["stream_dedup_watermark"] = with_events("""
+SELECT id AS event_id, etype AS event_type, user_id AS actor_id, login AS actor_login, repo_id, repo_name, payload,
+       strftime(event_ts, '%Y-%m-%d %H:%M:%S') AS event_timestamp, 'stream' AS source_file
+FROM r WHERE id IS NOT NULL""")
+    q["batch_job_gold"] = q["event_type_summary_hourly"]
     q["hour_slots"] = """
 WITH b AS (SELECT date_trunc('hour', min(ts)) AS s, date_trunc('hour', max(ts)) AS e FROM events),
 x AS (SELECT unnest(generate_series(b.s, b.e, INTERVAL 1 HOUR)) AS slot FROM b)

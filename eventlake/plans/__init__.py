@@ -1,0 +1 @@
+"""Batch jobs that chain the layers; each stage is gated by its DQ suite."""

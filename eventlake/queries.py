@@ -262,6 +262,180 @@ def q_hour_slots(spark, sf):
     return ts_text(slots_between(bounds), "slot_start")
 
 
+# ---- writers (results are the table state after the writes) --------------
+
+def _lake(spark, name: str):
+    from eventlake.plans.jobs import Lake
+    from eventlake.session import scratch_dir
+
+    return Lake(scratch_dir(spark, name))
+
+
+def _silver_out(df: DataFrame) -> DataFrame:
+    return ts_text(df.drop("ingestion_timestamp", "silver_processed_at"), "event_timestamp").select(
+        *[c for c in SILVER_OUT]
+    )
+
+
+SILVER_OUT = [
+    "event_id", "event_type", "event_action", "actor_id", "actor_login", "is_bot", "repo_id", "repo_name",
+    "repo_owner", "ref", "ref_type", "push_size", "pr_or_issue_number", "pr_merged", "payload",
+    "event_timestamp", "event_date", "event_hour", "source_file", "source",
+]
+
+
+def q_merge_insert_only(spark, sf):
+    """Create from the early days, merge everything twice: existing keys keep
+    their first lineage tag, the rerun inserts nothing (W1, W2)."""
+    from eventlake.sinks import writers
+
+    lake = _lake(spark, "merge-insert")
+    valid = bronze_valid_df(spark, sf)
+    early = F.col("event_date") <= F.to_date(F.lit(BATCH_UNTIL))
+    writers.merge_insert_only(spark, valid.filter(early).withColumn("source_file", F.lit("batch-1")), lake.bronze)
+    second = valid.withColumn("source_file", F.lit("batch-2"))
+    writers.merge_insert_only(spark, second, lake.bronze)
+    writers.merge_insert_only(spark, second, lake.bronze)
+    out = spark.read.parquet(lake.bronze).drop("ingestion_timestamp")
+    return ts_text(out, "event_timestamp")
+
+
+UPSERT_FIRST_UNTIL = "2024-01-20"
+UPSERT_SECOND_FROM = "2024-01-11"
+
+
+def q_merge_upsert(spark, sf):
+    """Batch silver for days <= 01-20, then stream silver for days >= 01-11
+    upserted twice: overlapping keys take the stream version (W3)."""
+    from eventlake.sinks import writers
+
+    lake = _lake(spark, "merge-upsert")
+    valid = bronze_valid_df(spark, sf)
+    d = F.col("event_date")
+    first = to_silver_events(valid.filter(d <= F.to_date(F.lit(UPSERT_FIRST_UNTIL))), "batch")
+    second = to_silver_events(valid.filter(d >= F.to_date(F.lit(UPSERT_SECOND_FROM))), "stream")
+    writers.merge_upsert(spark, first, lake.silver)
+    writers.merge_upsert(spark, second, lake.silver)
+    writers.merge_upsert(spark, second, lake.silver)
+    return _silver_out(spark.read.parquet(lake.silver))
+
+
+CORRECTED_DAY = "2024-01-10"
+EMPTIED_DAY = "2024-01-11"
+
+
+def q_replace_day(spark, sf):
+    """Gold written in full, then two days recomputed from corrected silver:
+    one loses its PushEvents, the other loses every event and ends empty (W4, W5)."""
+    from eventlake.sinks import writers
+
+    lake = _lake(spark, "replace-day")
+    silver = silver_df(spark, sf)
+    path = lake.gold("event_type_summary_hourly")
+    writers.overwrite_table(gold.event_type_summary_hourly(silver), path)
+    d = F.col("event_date")
+    corrected = silver.filter(
+        ~((d == F.to_date(F.lit(CORRECTED_DAY))) & (F.col("event_type") == "PushEvent"))
+        & (d != F.to_date(F.lit(EMPTIED_DAY)))
+    )
+    fixed = gold.event_type_summary_hourly(corrected)
+    for day in (CORRECTED_DAY, EMPTIED_DAY):
+        writers.replace_partition(fixed, path, day)
+    return spark.read.parquet(path)
+
+
+COMPACT_DAY = "2024-01-05"
+
+
+def q_compact_day(spark, sf):
+    """Silver written, one day compacted and clustered; content unchanged."""
+    from eventlake.sinks import writers
+
+    lake = _lake(spark, "compact")
+    writers.create_table(silver_df(spark, sf), lake.silver)
+    writers.compact_partition(spark, lake.silver, COMPACT_DAY, writers.CLUSTERING["silver/events"])
+    return _silver_out(spark.read.parquet(lake.silver))
+
+
+# ---- streaming ---------------------------------------------------------------
+
+STREAM_FILES_PER_TRIGGER = 3
+REPLAY_UNTIL = "2024-01-03"
+
+
+def stream_landing(spark, sf) -> str:
+    """One text file per event day, plus the first days written a second time
+    under another folder (a replayed delivery).  Returns a glob over both."""
+    from eventlake.session import scratch_dir
+
+    root = scratch_dir(spark, "stream-landing")
+    lines = fixtures.raw_event_lines(spark, sf, with_day=True)
+    lines.repartition("day").write.partitionBy("day").text(f"{root}/first")
+    replay = lines.filter(F.col("day") <= F.to_date(F.lit(REPLAY_UNTIL)))
+    replay.repartition("day").write.partitionBy("day").text(f"{root}/replay")
+    return f"{root}/*/*"
+
+
+def q_stream_available_now(spark, sf):
+    """File stream -> foreachBatch (bronze insert-only, silver upsert,
+    quarantine keyed append), drained with availableNow (ST1-ST5)."""
+    from eventlake.streaming.ingest import file_source, start_ingestion
+
+    apply_job_conf(spark)
+    glob = stream_landing(spark, sf)
+    lake = _lake(spark, "stream-lake")
+    src = file_source(spark, glob, STREAM_FILES_PER_TRIGGER)
+    q = start_ingestion(spark, src, lake, lake.path("_checkpoints/ingest"), available_now=True)
+    q.awaitTermination()
+    return _silver_out(spark.read.parquet(lake.silver))
+
+
+def q_stream_dedup_watermark(spark, sf):
+    """Producer-side dedup: ids remembered for an hour of arrival time (ST6)."""
+    from eventlake.operators.bronze import BRONZE_COLUMNS
+    from eventlake.streaming.ingest import STREAM_SOURCE_FILE, dedup_within_watermark, file_source
+
+    apply_job_conf(spark)
+    glob = stream_landing(spark, sf)
+    lake = _lake(spark, "stream-dedup")
+    parsed = to_bronze(file_source(spark, glob, STREAM_FILES_PER_TRIGGER), STREAM_SOURCE_FILE, INGEST_TS)
+    deduped = dedup_within_watermark(parsed.select(*BRONZE_COLUMNS), "1 hour")
+    out = lake.path("bronze/deduped")
+    q = (
+        deduped.writeStream.format("parquet")
+        .option("path", out)
+        .option("checkpointLocation", lake.path("_checkpoints/dedup"))
+        .trigger(availableNow=True)
+        .start()
+    )
+    q.awaitTermination()
+    res = spark.read.parquet(out).drop("ingestion_timestamp", "received_at", "event_date")
+    return ts_text(res, "event_timestamp")
+
+
+# ---- end-to-end batch job ------------------------------------------------------
+
+def q_batch_job_gold(spark, sf):
+    """Landing hour folders (gzip) -> dimension refresh x2 -> backfill in two
+    windows plus a rerun of the first -> gold hourly event-type summary."""
+    from eventlake.plans import jobs
+    from eventlake.session import scratch_dir
+
+    apply_job_conf(spark)
+    landing = scratch_dir(spark, "landing")
+    lines = fixtures.raw_event_lines(spark, sf, with_slot=True)
+    parts = ["year", "month", "day", "hour"]
+    lines.repartition(*parts).write.partitionBy(*parts).option("compression", "gzip").text(landing)
+    lake = _lake(spark, "lake")
+    for i in (1, 2):
+        jobs.refresh_dimension(spark, lake, fixtures.repo_snapshot(spark, sf, i), SNAPSHOT_TS[i])
+    first = ("2024-01-01 00:00:00", "2024-01-15 23:00:00")
+    jobs.backfill(spark, lake, landing, *first)
+    jobs.backfill(spark, lake, landing, "2024-01-16 00:00:00", "2024-01-31 23:00:00")
+    jobs.backfill(spark, lake, landing, *first)
+    return spark.read.parquet(lake.gold("event_type_summary_hourly")).drop("gold_processed_at")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "bronze_valid": q_bronze_valid,
     "bronze_quarantine": q_bronze_quarantine,
@@ -297,4 +471,11 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "dq_gold": q_dq_gold,
     "dq_declarative": q_dq_declarative,
     "hour_slots": q_hour_slots,
+    "merge_insert_only": q_merge_insert_only,
+    "merge_upsert": q_merge_upsert,
+    "replace_day": q_replace_day,
+    "compact_day": q_compact_day,
+    "stream_available_now": q_stream_available_now,
+    "stream_dedup_watermark": q_stream_dedup_watermark,
+    "batch_job_gold": q_batch_job_gold,
 }

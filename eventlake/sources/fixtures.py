@@ -72,18 +72,28 @@ def event_records(spark: SparkSession, sf_dir: str) -> DataFrame:
         payload.alias("payload"),
         created.alias("created_at"),
     )
-    return ev.withColumn("_type", _event_type(n)).select(n.alias("n"), rec.alias("rec"), F.to_date("ts").alias("day"))
+    return ev.withColumn("_type", _event_type(n)).select(
+        n.alias("n"), rec.alias("rec"), F.to_date("ts").alias("day"), F.col("ts").alias("_ts")
+    )
 
 
-def raw_event_lines(spark: SparkSession, sf_dir: str, with_day: bool = False) -> DataFrame:
+def raw_event_lines(spark: SparkSession, sf_dir: str, with_day: bool = False, with_slot: bool = False) -> DataFrame:
     """Raw JSON lines (column ``value``); some events appear twice.
 
     ``with_day`` adds the event's calendar day (from the driver timestamp) for
-    writing one landing file per day.
+    writing one landing file per day; ``with_slot`` adds the landing hour
+    folder parts ``year``, ``month``, ``day``, ``hour`` (zero padded).
     """
     recs = event_records(spark, sf_dir)
     copies = F.when(F.col("n") % DUPLICATE_MOD == 0, 2).otherwise(1)
     cols = [F.to_json("rec").alias("value")] + (["day"] if with_day else [])
+    if with_slot:
+        cols = [cols[0]] + [
+            F.date_format("_ts", "yyyy").alias("year"),
+            F.date_format("_ts", "MM").alias("month"),
+            F.date_format("_ts", "dd").alias("day"),
+            F.date_format("_ts", "HH").alias("hour"),
+        ]
     return recs.select(F.explode(F.sequence(F.lit(1), copies)).alias("_copy"), *cols).drop("_copy")
 
 

@@ -1,0 +1 @@
+"""Structured Streaming ingestion on the batch transforms."""
