@@ -178,13 +178,14 @@ def _upsert(spark, source, path, key, partition_col, key_determines_partition) -
     scope = target.filter(F.col(partition_col).isin(touched))
     kept = scope.join(source.select(key), key, "left_anti")
     out = kept.unionByName(source.select(*target.columns))
-    out, obs = _observed(out, "upsert")
+    obs = Observation("upsert")
+    out = out.observe(obs, F.count(F.lit(1)).alias("rows"), F.collect_set(F.col(partition_col)).alias("days"))
     out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(partition_col).parquet(path)
-    if not key_determines_partition:
-        present = {_date_literal(v) for v in partition_values(spark.read.parquet(path).filter(F.col(partition_col).isin(touched)), partition_col)}
-        for v in touched:
-            if _date_literal(v) not in present:
-                delete_path(spark, f"{path}/{partition_col}={_date_literal(v)}")
+    # A touched day that received no rows (every row moved away) is cleared.
+    written = {_date_literal(v) for v in obs.get["days"]}
+    for v in touched:
+        if _date_literal(v) not in written:
+            delete_path(spark, f"{path}/{partition_col}={_date_literal(v)}")
     return {"created": False, "written": obs.get["rows"], "partitions": len(touched)}
 
 
@@ -297,7 +298,9 @@ def compact_partition(
     nbytes = path_bytes(spark, f"{path}/{partition_col}={_date_literal(value)}")
     n = max(1, math.ceil(nbytes / target_file_bytes))
     day = spark.read.parquet(path).filter(F.col(partition_col) == F.lit(_date_literal(value)).cast("date"))
-    out = day.repartitionByRange(n, *cluster_by).sortWithinPartitions(*cluster_by)
+    # The partitioned writer sorts by the partition column; leading with it
+    # keeps the clustering sort instead of having it replaced.
+    out = day.repartitionByRange(n, *cluster_by).sortWithinPartitions(partition_col, *cluster_by)
     out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(partition_col).parquet(path)
     return n
 
