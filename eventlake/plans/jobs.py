@@ -110,11 +110,7 @@ def gold_job(spark: SparkSession, lake: Lake, dates: list | None) -> dict:
         if dates is None or not writers.table_exists(spark, path):
             out[name] = writers.overwrite_table(df, path)
         else:
-            out[name] = writers.overwrite_partitions(df, path)
-            written = {writers._date_literal(v) for v in writers.partition_values(spark.read.parquet(path).filter(F.col("event_date").isin(dates)))}
-            for d in dates:
-                if writers._date_literal(d) not in written:
-                    writers.replace_partition(df.limit(0), path, d)
+            out[name] = writers.overwrite_partitions(df, path, expected=dates)
     return out
 
 

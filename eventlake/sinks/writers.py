@@ -203,13 +203,26 @@ def replace_partition(df: DataFrame, path: str, value, partition_col: str = DATE
     return obs.get["rows"]
 
 
-def overwrite_partitions(df: DataFrame, path: str, partition_col: str = DATE_COL) -> int:
-    """Replace every partition present in ``df`` (one job for many days)."""
-    df, obs = _observed(df, "overwrite_partitions")
+def overwrite_partitions(df: DataFrame, path: str, partition_col: str = DATE_COL, expected=None) -> int:
+    """Replace every partition present in ``df`` (one job for many days).
+
+    Days listed in ``expected`` that receive no rows are emptied, so a day
+    whose recomputation is empty does not keep stale rows.
+    """
+    obs = Observation("overwrite_partitions")
+    df = df.observe(obs, F.count(F.lit(1)).alias("rows"), F.collect_set(F.col(partition_col)).alias("days"))
     df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(partition_col).parquet(path)
+    written = {_date_literal(v) for v in obs.get["days"]}
+    for v in expected or []:
+        if _date_literal(v) not in written:
+            delete_path(spark_of(df), f"{path}/{partition_col}={_date_literal(v)}")
     return obs.get["rows"]
 
 
+def spark_of(df: DataFrame) -> SparkSession:
+    return df.sparkSession
+
+
 def overwrite_table(df: DataFrame, path: str, partition_col: str | None = DATE_COL) -> int:
     df, obs = _observed(df, "overwrite")
     w = df.write.mode("overwrite").option("partitionOverwriteMode", "static")
