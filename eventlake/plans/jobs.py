@@ -103,14 +103,19 @@ def gold_job(spark: SparkSession, lake: Lake, dates: list | None) -> dict:
     """Recompute gold for the given days (all days when None) and replace them."""
     events = _scope(spark.read.parquet(lake.silver), dates)
     repos = writers.read_versioned(spark, lake.repos)
-    tables = gold.gold_tables(events, repos)
-    out = {}
-    for name, df in tables.items():
-        path = lake.gold(name)
-        if dates is None or not writers.table_exists(spark, path):
-            out[name] = writers.overwrite_table(df, path)
-        else:
-            out[name] = writers.overwrite_partitions(df, path, expected=dates)
+    # Silver is scanned once into the activity cube; the five tables read the
+    # persisted cube (recomputed from silver if an executor is lost).
+    cube = gold.activity_cube(events).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        out = {}
+        for name, df in gold.gold_tables(cube, repos).items():
+            path = lake.gold(name)
+            if dates is None or not writers.table_exists(spark, path):
+                out[name] = writers.overwrite_table(df, path, compact=True)
+            else:
+                out[name] = writers.overwrite_partitions(df, path, expected=dates, compact=True)
+    finally:
+        cube.unpersist()
     return out
 
 

@@ -203,12 +203,23 @@ def replace_partition(df: DataFrame, path: str, value, partition_col: str = DATE
     return obs.get["rows"]
 
 
-def overwrite_partitions(df: DataFrame, path: str, partition_col: str = DATE_COL, expected=None) -> int:
+def one_file_per_day(df: DataFrame, partition_col: str = DATE_COL) -> DataFrame:
+    """Route each day to one writer task (for aggregate tables only: a day of
+    an aggregate is small, a day of raw events is not)."""
+    return df.repartition(F.col(partition_col))
+
+
+def overwrite_partitions(
+    df: DataFrame, path: str, partition_col: str = DATE_COL, expected=None, compact: bool = False
+) -> int:
     """Replace every partition present in ``df`` (one job for many days).
 
     Days listed in ``expected`` that receive no rows are emptied, so a day
-    whose recomputation is empty does not keep stale rows.
+    whose recomputation is empty does not keep stale rows.  ``compact`` writes
+    one file per day (aggregate tables).
     """
+    if compact:
+        df = one_file_per_day(df, partition_col)
     obs = Observation("overwrite_partitions")
     df = df.observe(obs, F.count(F.lit(1)).alias("rows"), F.collect_set(F.col(partition_col)).alias("days"))
     df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(partition_col).parquet(path)
@@ -223,7 +234,9 @@ def spark_of(df: DataFrame) -> SparkSession:
     return df.sparkSession
 
 
-def overwrite_table(df: DataFrame, path: str, partition_col: str | None = DATE_COL) -> int:
+def overwrite_table(df: DataFrame, path: str, partition_col: str | None = DATE_COL, compact: bool = False) -> int:
+    if compact and partition_col:
+        df = one_file_per_day(df, partition_col)
     df, obs = _observed(df, "overwrite")
     w = df.write.mode("overwrite").option("partitionOverwriteMode", "static")
     if partition_col:

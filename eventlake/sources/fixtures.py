@@ -37,6 +37,17 @@ def read_driver(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Give the scan at least one partition per core.
+
+    A driver table is one small file (one split); a landing zone holds many
+    files.  Without this, generating and parsing every line would run in a
+    single task.
+    """
+    n = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(n) if df.rdd.getNumPartitions() < n else df
+
+
 def _event_type(n: Column) -> Column:
     mapped = F.create_map(*[F.lit(x) for kv in EVENT_TYPE_MAP.items() for x in kv])[F.col("event_type")]
     return F.when(n % UNKNOWN_TYPE_MOD == 0, F.lit("SponsorshipEvent")).otherwise(mapped)
@@ -44,7 +55,7 @@ def _event_type(n: Column) -> Column:
 
 def event_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Driver ``events`` -> one struct per event in the public event shape."""
-    ev = read_driver(spark, sf_dir, "events").select("event_id", "ts", "user_id", "event_type", "props")
+    ev = spread(read_driver(spark, sf_dir, "events").select("event_id", "ts", "user_id", "event_type", "props"))
     n = F.col("event_id")
     k = F.get_json_object("props", "$.k").try_cast("bigint")
     etype = F.col("_type")
