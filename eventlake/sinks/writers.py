@@ -156,11 +156,16 @@ def merge_upsert(
     partition_col: str = DATE_COL,
     key_determines_partition: bool = True,
 ) -> dict:
-    """Update matching keys, insert new ones; rewrites touched partitions only.
+    """Update matching keys, insert new ones.
 
-    With ``key_determines_partition=False`` the partitions holding the source
-    keys are found by a key scan of the whole target (rows may move between
-    days); a partition a move leaves empty is removed.
+    Only days that hold a matching key are rewritten (dynamic partition
+    overwrite of target-minus-matches plus the source rows of those days);
+    source rows for every other day are new keys and are appended.  In steady
+    state (no replays) an upsert is a key scan plus an append.
+
+    With ``key_determines_partition=False`` the matching keys are searched in
+    the whole target (rows may move between days); a day left empty by a move
+    is removed.
     """
     if not table_exists(spark, path):
         return {"created": True, "written": create_table(source, path, partition_col)}
@@ -170,23 +175,31 @@ def merge_upsert(
 
 def _upsert(spark, source, path, key, partition_col, key_determines_partition) -> dict:
     target = spark.read.parquet(path)
-    touched = set(partition_values(source, partition_col))
-    if not key_determines_partition:
-        hits = target.select(key, partition_col).join(source.select(key), key, "left_semi")
-        touched |= set(partition_values(hits, partition_col))
-    touched = sorted(touched)
-    scope = target.filter(F.col(partition_col).isin(touched))
-    kept = scope.join(source.select(key), key, "left_anti")
-    out = kept.unionByName(source.select(*target.columns))
-    obs = Observation("upsert")
-    out = out.observe(obs, F.count(F.lit(1)).alias("rows"), F.collect_set(F.col(partition_col)).alias("days"))
-    out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(partition_col).parquet(path)
-    # A touched day that received no rows (every row moved away) is cleared.
-    written = {_date_literal(v) for v in obs.get["days"]}
-    for v in touched:
-        if _date_literal(v) not in written:
-            delete_path(spark, f"{path}/{partition_col}={_date_literal(v)}")
-    return {"created": False, "written": obs.get["rows"], "partitions": len(touched)}
+    cols = target.columns
+    scope = target
+    if key_determines_partition:
+        scope = target.filter(F.col(partition_col).isin(partition_values(source, partition_col)))
+    hits = scope.select(key, partition_col).join(source.select(key), key, "left_semi")
+    hit_days = partition_values(hits, partition_col)
+    in_hit_days = F.col(partition_col).isin(hit_days)
+    rewritten = appended = 0
+    if hit_days:
+        kept = target.filter(in_hit_days).join(source.select(key), key, "left_anti")
+        out = kept.unionByName(source.filter(in_hit_days).select(*cols))
+        obs = Observation("upsert_rewrite")
+        out = out.observe(obs, F.count(F.lit(1)).alias("rows"), F.collect_set(F.col(partition_col)).alias("days"))
+        out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(partition_col).parquet(path)
+        rewritten = obs.get["rows"]
+        # A rewritten day that received no rows (every row moved away) is cleared.
+        written = {_date_literal(v) for v in obs.get["days"]}
+        for v in hit_days:
+            if _date_literal(v) not in written:
+                delete_path(spark, f"{path}/{partition_col}={_date_literal(v)}")
+    rest = source.filter(~in_hit_days) if hit_days else source
+    rest, obs = _observed(rest.select(*cols), "upsert_append")
+    rest.write.mode("append").partitionBy(partition_col).parquet(path)
+    appended = obs.get["rows"]
+    return {"created": False, "rewritten": rewritten, "appended": appended, "partitions": len(hit_days)}
 
 
 # ---- W4 replace one partition, W5 full overwrite ----------------------------

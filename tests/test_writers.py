@@ -31,11 +31,19 @@ def test_upsert_updates_and_inserts(spark, tmp_root):
     w.merge_upsert(spark, _df(spark, [("a", 1, "2024-01-01"), ("b", 1, "2024-01-02")]), path)
     src = _df(spark, [("a", 2, "2024-01-01"), ("c", 2, "2024-01-01")])
     res = w.merge_upsert(spark, src, path)
-    assert res["partitions"] == 1
+    assert (res["partitions"], res["appended"]) == (1, 0)
     w.merge_upsert(spark, src, path)  # rerun converges
     assert _state(spark, path) == [("a", 2, "2024-01-01"), ("b", 1, "2024-01-02"), ("c", 2, "2024-01-01")]
 
 
+def test_upsert_of_new_keys_only_appends(spark, tmp_root):
+    path = f"{tmp_root}/silver"
+    w.merge_upsert(spark, _df(spark, [("a", 1, "2024-01-01")]), path)
+    res = w.merge_upsert(spark, _df(spark, [("b", 1, "2024-01-01"), ("c", 1, "2024-01-02")]), path)
+    assert (res["partitions"], res["rewritten"], res["appended"]) == (0, 0, 2)
+    assert _state(spark, path) == [("a", 1, "2024-01-01"), ("b", 1, "2024-01-01"), ("c", 1, "2024-01-02")]
+
+
 def test_upsert_moves_row_between_days(spark, tmp_root):
     path = f"{tmp_root}/silver"
     w.merge_upsert(spark, _df(spark, [("a", 1, "2024-01-01"), ("b", 1, "2024-01-02")]), path)
