@@ -23,6 +23,24 @@ DEFAULT_CONF = {
 }
 
 
+def cluster_conf(total_cores: int, daily_bytes: int) -> dict[str, str]:
+    """Starting settings for a large cluster (hundreds of executors).
+
+    Shuffle partitions start high enough that each holds ~128 MB of one day's
+    data and AQE coalesces them at run time; skew-join splitting stays on; scan
+    splits are 256 MB.  ``daily_bytes`` is the size of one day of silver.
+    """
+    target = 128 * 1024 * 1024
+    parts = max(2 * total_cores, -(-daily_bytes // target))
+    return {
+        "spark.sql.shuffle.partitions": str(parts),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target),
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(4 * target),
+        "spark.sql.files.maxPartitionBytes": str(2 * target),
+        "spark.sql.autoBroadcastJoinThreshold": str(64 * 1024 * 1024),
+    }
+
+
 def build_session(master: str = "local[*]", shuffle_partitions: int = 8, **extra: str) -> SparkSession:
     builder = SparkSession.builder.master(master).appName("eventlake")
     conf = dict(DEFAULT_CONF)
