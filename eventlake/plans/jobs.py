@@ -186,3 +186,35 @@ def refresh_dimension(
 
 def select_enrichment_targets(spark: SparkSession, lake: Lake, batch_size: int = 100) -> DataFrame:
     return ranking.enrichment_targets(spark.read.parquet(lake.silver), batch_size)
+
+
+GOLD_TABLES = [
+    "event_type_summary_hourly",
+    "hot_repos_hourly",
+    "contributor_activity_daily",
+    "language_trends_daily",
+    "topic_trends_daily",
+]
+
+
+def lake_tables(spark: SparkSession, lake: Lake) -> dict[str, DataFrame]:
+    """Every table of the lake that exists, keyed by its serving-source name."""
+    out: dict[str, DataFrame] = {}
+    for name in GOLD_TABLES:
+        if writers.table_exists(spark, lake.gold(name)):
+            out[name] = spark.read.parquet(lake.gold(name))
+    if writers.table_exists(spark, lake.silver):
+        out["silver_events"] = spark.read.parquet(lake.silver)
+    if writers.path_exists(spark, lake.dq_results):
+        out["dq_results"] = spark.read.parquet(lake.dq_results)
+    repos = writers.read_versioned(spark, lake.repos)
+    if repos is not None:
+        out["repos_scd2"] = repos
+    return out
+
+
+def register_lake_views(spark: SparkSession, lake: Lake) -> list[str]:
+    """Create or replace the serving views over the lake's tables."""
+    from eventlake.operators.serving import register_views
+
+    return register_views(spark, lake_tables(spark, lake))

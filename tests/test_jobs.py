@@ -39,6 +39,11 @@ def test_backfill_end_to_end_and_rerun(spark, tmp_root):
     dq = spark.read.parquet(lake.dq_results)
     assert set(r["layer"] for r in dq.select("layer").distinct().collect()) == {"bronze", "silver", "gold"}
     assert dq.filter((F.col("severity") == "critical") & ~F.col("passed")).count() == 0
+    views = jobs.register_lake_views(spark, lake)
+    assert len(views) == 10
+    top = spark.sql("SELECT * FROM vw_trending_repos ORDER BY contributors DESC, events DESC, repo_name LIMIT 20")
+    assert top.count() == 20
+    assert spark.sql("SELECT sum(events) AS n FROM vw_hourly_activity").first()["n"] == expected.count()
 
 
 def test_critical_failure_stops_the_chain(spark, tmp_root):
