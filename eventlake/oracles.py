@@ -381,6 +381,17 @@ SELECT id AS event_id, etype AS event_type, user_id AS actor_id, login AS actor_
        strftime(event_ts, '%Y-%m-%d %H:%M:%S') AS event_timestamp, 'stream' AS source_file
 FROM r WHERE id IS NOT NULL""")
     q["batch_job_gold"] = q["event_type_summary_hourly"]
+    q["batch_job_trends"] = q["language_trends_daily"]
+    q["batch_job_dimension"] = q["scd2_second_snapshot"]
+    q["batch_job_quarantine"] = with_events("""
+SELECT DISTINCT id AS event_id, dq_reason, raw_record FROM quarantine""")
+    q["stream_quarantine"] = with_events("""
+SELECT DISTINCT id AS event_id, 'stream' AS source_file, dq_reason, raw_record FROM quarantine""")
+    q["stream_bronze"] = with_events("""
+SELECT id AS event_id, etype AS event_type, user_id AS actor_id, login AS actor_login, repo_id, repo_name, payload,
+       strftime(event_ts, '%Y-%m-%d %H:%M:%S') AS event_timestamp, CAST(event_ts AS DATE) AS event_date,
+       'stream' AS source_file
+FROM valid""")
     q["hour_slots"] = """
 WITH b AS (SELECT date_trunc('hour', min(ts)) AS s, date_trunc('hour', max(ts)) AS e FROM events),
 x AS (SELECT unnest(generate_series(b.s, b.e, INTERVAL 1 HOUR)) AS slot FROM b)
