@@ -3,7 +3,7 @@ dimension refresh, each followed by its quality gate (Q10).
 
 Tables live under one root (on a cluster: the shared folder the session names):
 
-    {root}/bronze/gh_events_batch     event_date-partitioned, insert-only merge
+    {root}/bronze/events_batch     event_date-partitioned, insert-only merge
     {root}/silver/events              event_date-partitioned, upsert merge
     {root}/gold/<table>               event_date-partitioned, partition replace
     {root}/silver/repos_scd2/v=N      versioned full state
@@ -35,8 +35,8 @@ class Lake:
     def path(self, name: str) -> str:
         return f"{self.root.rstrip('/')}/{name}"
 
-    bronze = property(lambda s: s.path("bronze/gh_events_batch"))
-    bronze_stream = property(lambda s: s.path("bronze/gh_events_stream"))
+    bronze = property(lambda s: s.path("bronze/events_batch"))
+    bronze_stream = property(lambda s: s.path("bronze/events_stream"))
     silver = property(lambda s: s.path("silver/events"))
     repos = property(lambda s: s.path("silver/repos_scd2"))
     quarantine = property(lambda s: s.path("ops/quarantine"))

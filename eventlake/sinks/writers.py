@@ -346,7 +346,7 @@ def compact_partition(
 
 # Clustering columns per table (the usual filter / join keys).
 CLUSTERING = {
-    "bronze/gh_events_batch": ["repo_id"],
+    "bronze/events_batch": ["repo_id"],
     "silver/events": ["repo_id", "event_type"],
     "gold/hot_repos_hourly": ["repo_id"],
     "gold/event_type_summary_hourly": ["event_type"],
