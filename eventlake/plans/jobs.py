@@ -135,7 +135,7 @@ def batch_run(
     b = bronze_job(spark, lake, raw, None, ingestion_ts)
     rep.metrics["bronze"] = b
     dates = b["dates"]
-    label = ",".join(writers._date_literal(d) for d in dates)
+    label = ",".join(writers.date_text(d) for d in dates)
     run_quality(spark, lake, "bronze", _scope(spark.read.parquet(lake.bronze), dates), run_id, label)
     rep.metrics["silver"] = silver_job(spark, lake, dates)
     run_quality(spark, lake, "silver", _scope(spark.read.parquet(lake.silver), dates), run_id, label)

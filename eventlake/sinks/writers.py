@@ -77,7 +77,7 @@ def partition_values(df: DataFrame, col: str = DATE_COL) -> list:
     return sorted(r[0] for r in df.select(col).distinct().collect() if r[0] is not None)
 
 
-def _date_literal(v) -> str:
+def date_text(v) -> str:
     return v.isoformat() if hasattr(v, "isoformat") else str(v)
 
 
@@ -191,10 +191,10 @@ def _upsert(spark, source, path, key, partition_col, key_determines_partition) -
         out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(partition_col).parquet(path)
         rewritten = obs.get["rows"]
         # A rewritten day that received no rows (every row moved away) is cleared.
-        written = {_date_literal(v) for v in obs.get["days"]}
+        written = {date_text(v) for v in obs.get["days"]}
         for v in hit_days:
-            if _date_literal(v) not in written:
-                delete_path(spark, f"{path}/{partition_col}={_date_literal(v)}")
+            if date_text(v) not in written:
+                delete_path(spark, f"{path}/{partition_col}={date_text(v)}")
     rest = source.filter(~in_hit_days) if hit_days else source
     rest, obs = _observed(rest.select(*cols), "upsert_append")
     rest.write.mode("append").partitionBy(partition_col).parquet(path)
@@ -212,7 +212,7 @@ def replace_partition(df: DataFrame, path: str, value, partition_col: str = DATE
     df = df.filter(F.col(partition_col) == F.lit(value).cast(df.schema[partition_col].dataType)) \
         if partition_col in df.columns else df
     df, obs = _observed(df.drop(partition_col), "replace")
-    df.write.mode("overwrite").parquet(f"{path}/{partition_col}={_date_literal(value)}")
+    df.write.mode("overwrite").parquet(f"{path}/{partition_col}={date_text(value)}")
     return obs.get["rows"]
 
 
@@ -236,10 +236,10 @@ def overwrite_partitions(
     obs = Observation("overwrite_partitions")
     df = df.observe(obs, F.count(F.lit(1)).alias("rows"), F.collect_set(F.col(partition_col)).alias("days"))
     df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(partition_col).parquet(path)
-    written = {_date_literal(v) for v in obs.get["days"]}
+    written = {date_text(v) for v in obs.get["days"]}
     for v in expected or []:
-        if _date_literal(v) not in written:
-            delete_path(spark_of(df), f"{path}/{partition_col}={_date_literal(v)}")
+        if date_text(v) not in written:
+            delete_path(spark_of(df), f"{path}/{partition_col}={date_text(v)}")
     return obs.get["rows"]
 
 
@@ -334,9 +334,9 @@ def compact_partition(
     Parquet min/max statistics on the clustering columns then let scans skip
     row groups, which is what the clustering is for.
     """
-    nbytes = path_bytes(spark, f"{path}/{partition_col}={_date_literal(value)}")
+    nbytes = path_bytes(spark, f"{path}/{partition_col}={date_text(value)}")
     n = max(1, math.ceil(nbytes / target_file_bytes))
-    day = spark.read.parquet(path).filter(F.col(partition_col) == F.lit(_date_literal(value)).cast("date"))
+    day = spark.read.parquet(path).filter(F.col(partition_col) == F.lit(date_text(value)).cast("date"))
     # The partitioned writer sorts by the partition column; leading with it
     # keeps the clustering sort instead of having it replaced.
     out = day.repartitionByRange(n, *cluster_by).sortWithinPartitions(partition_col, *cluster_by)
