@@ -88,6 +88,20 @@ def comparisons(spark, sf_dir: str) -> dict:
             quality.run_checks(silver, [c]).collect()
 
     out["dq_suite_job_per_check"] = _timed(per_check)
+
+    events = queries.silver_df(spark, sf_dir).persist()
+    events.count()
+
+    def observed_write():
+        writers.create_table(events, scratch_dir(spark, "bench-observed"))
+
+    def count_then_write():
+        events.count()
+        events.write.partitionBy("event_date").parquet(scratch_dir(spark, "bench-counted"))
+
+    out["write_with_observed_metrics"] = _timed(observed_write)
+    out["count_then_write"] = _timed(count_then_write)
+    events.unpersist()
     return out
 
 

@@ -103,6 +103,16 @@ class _Pinned:
             self.df.unpersist()
 
 
+def balanced(df: DataFrame, partition_col: str | None) -> DataFrame:
+    """Rebalance rows by the partition column before a partitioned write.
+
+    AQE then packs each day into files of about the advisory partition size:
+    a multi-day batch does not write one small file per (task, day), and a hot
+    day is split over several tasks instead of one.
+    """
+    return df.hint("rebalance", partition_col) if partition_col else df
+
+
 def _observed(df: DataFrame, name: str) -> tuple[DataFrame, Observation]:
     obs = Observation(name)
     return df.observe(obs, F.count(F.lit(1)).alias("rows")), obs
@@ -111,7 +121,7 @@ def _observed(df: DataFrame, name: str) -> tuple[DataFrame, Observation]:
 # ---- W1 create -------------------------------------------------------------
 
 def create_table(df: DataFrame, path: str, partition_col: str | None = DATE_COL) -> int:
-    df, obs = _observed(df, "create")
+    df, obs = _observed(balanced(df, partition_col), "create")
     w = df.write.mode("errorifexists")
     if partition_col:
         w = w.partitionBy(partition_col)
@@ -138,7 +148,7 @@ def merge_insert_only(
             dates = partition_values(source, partition_col)
             target = target.filter(F.col(partition_col).isin(dates))
         new = source.join(target.select(key), key, "left_anti")
-        new, obs = _observed(new, "insert")
+        new, obs = _observed(balanced(new, partition_col), "insert")
         w = new.write.mode("append")
         if partition_col:
             w = w.partitionBy(partition_col)
@@ -185,7 +195,7 @@ def _upsert(spark, source, path, key, partition_col, key_determines_partition) -
     rewritten = appended = 0
     if hit_days:
         kept = target.filter(in_hit_days).join(source.select(key), key, "left_anti")
-        out = kept.unionByName(source.filter(in_hit_days).select(*cols))
+        out = balanced(kept.unionByName(source.filter(in_hit_days).select(*cols)), partition_col)
         obs = Observation("upsert_rewrite")
         out = out.observe(obs, F.count(F.lit(1)).alias("rows"), F.collect_set(F.col(partition_col)).alias("days"))
         out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(partition_col).parquet(path)
@@ -196,7 +206,7 @@ def _upsert(spark, source, path, key, partition_col, key_determines_partition) -
             if date_text(v) not in written:
                 delete_path(spark, f"{path}/{partition_col}={date_text(v)}")
     rest = source.filter(~in_hit_days) if hit_days else source
-    rest, obs = _observed(rest.select(*cols), "upsert_append")
+    rest, obs = _observed(balanced(rest.select(*cols), partition_col), "upsert_append")
     rest.write.mode("append").partitionBy(partition_col).parquet(path)
     appended = obs.get["rows"]
     return {"created": False, "rewritten": rewritten, "appended": appended, "partitions": len(hit_days)}
@@ -216,23 +226,13 @@ def replace_partition(df: DataFrame, path: str, value, partition_col: str = DATE
     return obs.get["rows"]
 
 
-def one_file_per_day(df: DataFrame, partition_col: str = DATE_COL) -> DataFrame:
-    """Route each day to one writer task (for aggregate tables only: a day of
-    an aggregate is small, a day of raw events is not)."""
-    return df.repartition(F.col(partition_col))
-
-
-def overwrite_partitions(
-    df: DataFrame, path: str, partition_col: str = DATE_COL, expected=None, compact: bool = False
-) -> int:
+def overwrite_partitions(df: DataFrame, path: str, partition_col: str = DATE_COL, expected=None) -> int:
     """Replace every partition present in ``df`` (one job for many days).
 
     Days listed in ``expected`` that receive no rows are emptied, so a day
-    whose recomputation is empty does not keep stale rows.  ``compact`` writes
-    one file per day (aggregate tables).
+    whose recomputation is empty does not keep stale rows.
     """
-    if compact:
-        df = one_file_per_day(df, partition_col)
+    df = balanced(df, partition_col)
     obs = Observation("overwrite_partitions")
     df = df.observe(obs, F.count(F.lit(1)).alias("rows"), F.collect_set(F.col(partition_col)).alias("days"))
     df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(partition_col).parquet(path)
@@ -247,10 +247,8 @@ def spark_of(df: DataFrame) -> SparkSession:
     return df.sparkSession
 
 
-def overwrite_table(df: DataFrame, path: str, partition_col: str | None = DATE_COL, compact: bool = False) -> int:
-    if compact and partition_col:
-        df = one_file_per_day(df, partition_col)
-    df, obs = _observed(df, "overwrite")
+def overwrite_table(df: DataFrame, path: str, partition_col: str | None = DATE_COL) -> int:
+    df, obs = _observed(balanced(df, partition_col), "overwrite")
     w = df.write.mode("overwrite").option("partitionOverwriteMode", "static")
     if partition_col:
         w = w.partitionBy(partition_col)
