@@ -488,6 +488,19 @@ def q_batch_job_dimension(spark, sf):
     return _dim_out(writers.read_versioned(spark, lake.repos))
 
 
+def _with_job_conf(fn: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
+    """Apply the session settings the transforms assume (UTC, dynamic
+    overwrite) whatever session the caller hands in."""
+
+    def run(spark: SparkSession, sf: str) -> DataFrame:
+        apply_job_conf(spark)
+        return fn(spark, sf)
+
+    run.__name__ = fn.__name__
+    run.__doc__ = fn.__doc__
+    return run
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "bronze_valid": q_bronze_valid,
     "bronze_quarantine": q_bronze_quarantine,
@@ -536,3 +549,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "batch_job_quarantine": q_batch_job_quarantine,
     "batch_job_dimension": q_batch_job_dimension,
 }
+
+QUERIES = {name: _with_job_conf(fn) for name, fn in QUERIES.items()}
