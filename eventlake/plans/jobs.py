@@ -6,7 +6,8 @@ Tables live under one root (on a cluster: the shared folder the session names):
     {root}/bronze/events_batch     event_date-partitioned, insert-only merge
     {root}/silver/events              event_date-partitioned, upsert merge
     {root}/gold/<table>               event_date-partitioned, partition replace
-    {root}/silver/repos_scd2/v=N      versioned full state
+    {root}/silver/repos_scd2/open/v=N versioned open (current) rows
+    {root}/silver/repos_scd2/history  closed versions, keyed append
     {root}/ops/quarantine             keyed append
     {root}/ops/dq_results             append
 """
@@ -39,6 +40,8 @@ class Lake:
     bronze_stream = property(lambda s: s.path("bronze/events_stream"))
     silver = property(lambda s: s.path("silver/events"))
     repos = property(lambda s: s.path("silver/repos_scd2"))
+    repos_open = property(lambda s: s.path("silver/repos_scd2/open"))
+    repos_history = property(lambda s: s.path("silver/repos_scd2/history"))
     quarantine = property(lambda s: s.path("ops/quarantine"))
     dq_results = property(lambda s: s.path("ops/dq_results"))
 
@@ -102,7 +105,7 @@ def silver_job(spark: SparkSession, lake: Lake, dates: list | None, source: str
 def gold_job(spark: SparkSession, lake: Lake, dates: list | None) -> dict:
     """Recompute gold for the given days (all days when None) and replace them."""
     events = _scope(spark.read.parquet(lake.silver), dates)
-    repos = writers.read_versioned(spark, lake.repos)
+    repos = read_dimension(spark, lake)
     # Silver is scanned once into the activity cube; the five tables read the
     # persisted cube (recomputed from silver if an executor is lost).
     cube = gold.activity_cube(events).persist(StorageLevel.MEMORY_AND_DISK)
@@ -172,16 +175,44 @@ def ingest_files(spark: SparkSession, lake: Lake, paths, run_id: str | None = No
     return batch_run(spark, lake, read_landing(spark, paths), run_id)
 
 
+VERSION_KEY = "version_key"
+
+
+def read_dimension(spark: SparkSession, lake: Lake) -> DataFrame | None:
+    """Full dimension state: closed history plus the current open version."""
+    open_rows = writers.read_versioned(spark, lake.repos_open)
+    if open_rows is None:
+        return None
+    if not writers.table_exists(spark, lake.repos_history):
+        return open_rows
+    history = spark.read.parquet(lake.repos_history).drop(VERSION_KEY)
+    return history.unionByName(open_rows)
+
+
 def refresh_dimension(
     spark: SparkSession, lake: Lake, snapshot: DataFrame, effective_ts: str | None = None
 ) -> dict:
-    """SCD2 upsert of a metadata snapshot into the versioned dimension."""
-    current = writers.read_versioned(spark, lake.repos)
+    """SCD2 upsert of a metadata snapshot.
+
+    Only open rows take part: rows the snapshot closes are appended to the
+    history (keyed on repo and valid_from, so a rerun appends nothing twice)
+    and the open rows are written as the next version.  A refresh therefore
+    costs the open rows plus the snapshot, however long the history grows.
+    """
+    current_open = writers.read_versioned(spark, lake.repos_open)
     ts = effective_ts if effective_ts else F.current_timestamp()
-    state = scd2.scd2_upsert(current, snapshot, "repo_id", REPO_TRACKED, ts, validate=True)
-    res = writers.write_version(spark, state, lake.repos)
-    stats = scd2.version_stats(spark.read.parquet(f"{lake.repos}/v={res['version']}")).first().asDict()
-    return {**res, **stats}
+    state = scd2.scd2_upsert(current_open, snapshot, "repo_id", REPO_TRACKED, ts, validate=True)
+    state = state.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        closed = state.filter(~F.col("is_current")).withColumn(
+            VERSION_KEY, F.concat_ws("|", F.col("repo_id").cast("string"), F.col("valid_from").cast("string"))
+        )
+        appended = writers.merge_insert_only(spark, closed, lake.repos_history, key=VERSION_KEY, partition_col=None)
+        res = writers.write_version(spark, state.filter(F.col("is_current")), lake.repos_open)
+    finally:
+        state.unpersist()
+    stats = scd2.version_stats(read_dimension(spark, lake)).first().asDict()
+    return {**res, "closed": appended["inserted"], **stats}
 
 
 def select_enrichment_targets(spark: SparkSession, lake: Lake, batch_size: int = 100) -> DataFrame:
@@ -207,7 +238,7 @@ def lake_tables(spark: SparkSession, lake: Lake) -> dict[str, DataFrame]:
         out["silver_events"] = spark.read.parquet(lake.silver)
     if writers.path_exists(spark, lake.dq_results):
         out["dq_results"] = spark.read.parquet(lake.dq_results)
-    repos = writers.read_versioned(spark, lake.repos)
+    repos = read_dimension(spark, lake)
     if repos is not None:
         out["repos_scd2"] = repos
     return out

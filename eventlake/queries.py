@@ -481,11 +481,12 @@ def q_batch_job_quarantine(spark, sf):
 
 
 def q_batch_job_dimension(spark, sf):
-    """Current version of the dimension written through the versioned writer."""
-    from eventlake.sinks import writers
+    """Dimension state as stored by the refresh job: keyed history plus the
+    versioned open rows (W6)."""
+    from eventlake.plans.jobs import read_dimension
 
     lake = _memo_lake(spark, sf, "batch", _batch_lake)
-    return _dim_out(writers.read_versioned(spark, lake.repos))
+    return _dim_out(read_dimension(spark, lake))
 
 
 def _with_job_conf(fn: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:

@@ -1,6 +1,5 @@
 from __future__ import annotations
 
-from pyspark.sql import functions as F
 
 from eventlake.operators import ranking, serving
 from eventlake.sources.landing import hour_slot, hour_slots
