@@ -30,6 +30,10 @@ def con():
     return duck(SMOKE_SF)
 
 
+SPARK_TO_DUCK = {"bigint": "BIGINT", "int": "INTEGER", "string": "VARCHAR", "boolean": "BOOLEAN",
+                 "date": "DATE", "double": "DOUBLE"}
+
+
 @pytest.mark.parametrize("name", FAST)
 def test_query_matches_oracle(spark, con, name):
     df = entry.queries()[name](spark, SMOKE_SF)
@@ -38,6 +42,10 @@ def test_query_matches_oracle(spark, con, name):
     b, bc = canon([d[0] for d in cur.description], cur.fetchall())
     assert ac == bc
     assert Counter(a) == Counter(b)
+    rel = con.sql(entry.oracle_sql()[name])
+    duck_types = {c: str(t) for c, t in zip(rel.columns, rel.types)}
+    spark_types = {f.name: SPARK_TO_DUCK.get(f.dataType.simpleString()) for f in df.schema.fields}
+    assert spark_types == duck_types
 
 
 def test_every_query_has_an_oracle():
