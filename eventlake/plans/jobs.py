@@ -215,6 +215,20 @@ def refresh_dimension(
     return {**res, "closed": appended["inserted"], **stats}
 
 
+def maintain_day(spark: SparkSession, lake: Lake, day: str, target_file_bytes: int = writers.TARGET_FILE_BYTES) -> dict:
+    """Compact and cluster one day of every day-partitioned table.
+
+    Each table's day is rewritten as range-clustered, sorted files on its
+    usual filter keys; tables or days that do not exist are skipped.
+    """
+    out = {}
+    for name, cols in writers.CLUSTERING.items():
+        path = lake.path(name)
+        if writers.path_exists(spark, f"{path}/event_date={day}"):
+            out[name] = writers.compact_partition(spark, path, day, cols, target_file_bytes=target_file_bytes)
+    return out
+
+
 def select_enrichment_targets(spark: SparkSession, lake: Lake, batch_size: int = 100) -> DataFrame:
     return ranking.enrichment_targets(spark.read.parquet(lake.silver), batch_size)
 

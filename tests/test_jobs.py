@@ -69,3 +69,17 @@ def test_dimension_refresh_versions(spark, tmp_root):
     expected = queries.dimension(spark, SMOKE_SF, 2)
     cols = expected.columns
     assert sorted(tuple(r) for r in full.select(*cols).collect()) == sorted(tuple(r) for r in expected.collect())
+
+
+def test_maintain_day_keeps_content(spark, tmp_root):
+    from eventlake.sinks import writers
+
+    lake = jobs.Lake(f"{tmp_root}/lake")
+    silver = queries.silver_df(spark, SMOKE_SF)
+    writers.create_table(silver, lake.silver)
+    writers.overwrite_table(queries.gold.event_type_summary_hourly(silver), lake.gold("event_type_summary_hourly"))
+    before = spark.read.parquet(lake.silver).count(), spark.read.parquet(lake.gold("event_type_summary_hourly")).count()
+    out = jobs.maintain_day(spark, lake, "2024-01-05")
+    assert set(out) == {"silver/events", "gold/event_type_summary_hourly"}
+    after = spark.read.parquet(lake.silver).count(), spark.read.parquet(lake.gold("event_type_summary_hourly")).count()
+    assert before == after
