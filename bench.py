@@ -118,11 +118,19 @@ def main() -> None:
     # warm-up (JVM, codegen, file listing) — not timed
     _run(QUERIES["quarantine_reasons"](spark, sf_dir))
 
-    times = {}
+    times, errors = {}, {}
     for name in HEADLINE:
-        times[name] = _timed(lambda n=name: _run(QUERIES[n](spark, sf_dir)))
-    extra = comparisons(spark, sf_dir) if os.environ.get("BENCH_COMPARE", "1") == "1" else {}
-    print(json.dumps({
+        try:
+            times[name] = _timed(lambda n=name: _run(QUERIES[n](spark, sf_dir)))
+        except Exception as exc:  # noqa: BLE001 - report and keep measuring the rest
+            errors[name] = f"{type(exc).__name__}: {str(exc)[:200]}"
+    extra = {}
+    if os.environ.get("BENCH_COMPARE", "1") == "1":
+        try:
+            extra = comparisons(spark, sf_dir)
+        except Exception as exc:  # noqa: BLE001
+            errors["comparisons"] = f"{type(exc).__name__}: {str(exc)[:200]}"
+    out = {
         "metric": "total_query_seconds",
         "value": round(sum(times.values()), 3),
         "unit": "sec",
@@ -130,7 +138,10 @@ def main() -> None:
         "sf": sf,
         "cpus": int(cpus),
         "comparisons": extra,
-    }))
+    }
+    if errors:
+        out["errors"] = errors
+    print(json.dumps(out))
 
 
 if __name__ == "__main__":
