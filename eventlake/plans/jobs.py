@@ -171,6 +171,22 @@ def backfill(
     return batch_run(spark, lake, raw, run_id, ingestion_ts)
 
 
+def run_day(spark: SparkSession, lake: Lake, landing_root: str, day: str, run_id: str | None = None) -> RunReport:
+    """All 24 landing hours of one day (the daily form of :func:`backfill`)."""
+    return backfill(spark, lake, landing_root, f"{day} 00:00:00", f"{day} 23:00:00", run_id)
+
+
+def dq_job(spark: SparkSession, lake: Lake, layer: str, execution_date: str | None = None, run_id: str | None = None) -> DataFrame:
+    """Stand-alone quality run for one layer's table.
+
+    The table is scoped to ``execution_date`` when it has ``event_date``;
+    results are appended to the DQ results table and a critical failure raises.
+    """
+    path = lake.path(quality.LAYER_TABLE.get(layer, quality.LAYER_TABLE["gold"]))
+    df = quality.scope_to_date(spark.read.parquet(path), execution_date)
+    return run_quality(spark, lake, layer, df, run_id or f"{layer}-{execution_date or 'all'}", execution_date)
+
+
 def ingest_files(spark: SparkSession, lake: Lake, paths, run_id: str | None = None) -> RunReport:
     return batch_run(spark, lake, read_landing(spark, paths), run_id)
 

@@ -83,3 +83,16 @@ def test_maintain_day_keeps_content(spark, tmp_root):
     assert set(out) == {"silver/events", "gold/event_type_summary_hourly"}
     after = spark.read.parquet(lake.silver).count(), spark.read.parquet(lake.gold("event_type_summary_hourly")).count()
     assert before == after
+
+
+def test_dq_job_scopes_to_the_day(spark, tmp_root):
+    from eventlake.sinks import writers
+
+    lake = jobs.Lake(f"{tmp_root}/lake")
+    writers.create_table(queries.silver_df(spark, SMOKE_SF), lake.silver)
+    res = {r["check_name"]: r for r in jobs.dq_job(spark, lake, "silver", "2024-01-05").collect()}
+    day_rows = spark.read.parquet(lake.silver).filter("event_date = DATE'2024-01-05'").count()
+    assert res["row_count_min"]["observed"] == str(day_rows)
+    assert res["row_count_min"]["execution_date"] == "2024-01-05"
+    with pytest.raises(quality.CriticalQualityFailure):
+        jobs.dq_job(spark, lake, "silver", "2030-01-01")  # no rows that day
