@@ -21,7 +21,7 @@ FAST = [
     "scd2_initial", "scd2_second_snapshot", "scd2_version_stats", "snapshot_normalise", "enrichment_targets",
     "vw_dq_health", "vw_bot_vs_human", "vw_batch_vs_stream", "trending_top20", "languages_top15",
     "topics_top20", "contributors_top20", "dq_bronze", "dq_silver", "dq_declarative", "hour_slots",
-    "merge_upsert", "replace_day",
+    "merge_upsert", "replace_day", "merge_insert_only", "compact_day", "stream_dedup_watermark",
 ]
 
 
