@@ -101,18 +101,6 @@ def q_trending_top20(spark, sf):
     return serving.top_trending(q_trending_repos(spark, sf), 20)
 
 
-def gold_all(spark, sf):
-    events = silver_df(spark, sf)
-    dim = dimension(spark, sf)
-    return {
-        "event_type_summary_hourly": gold.event_type_summary_hourly(events),
-        "hot_repos_hourly": gold.hot_repos_hourly(events),
-        "contributor_activity_daily": gold.contributor_activity_daily(events),
-        "language_trends_daily": gold.language_trends_daily(events, dim),
-        "topic_trends_daily": gold.topic_trends_daily(events, dim),
-    }
-
-
 def q_event_type_distribution(spark, sf):
     return serving.event_type_distribution(gold_table(spark, sf, "event_type_summary_hourly"))
 
@@ -272,9 +260,7 @@ def _lake(spark, name: str):
 
 
 def _silver_out(df: DataFrame) -> DataFrame:
-    return ts_text(df.drop("ingestion_timestamp", "silver_processed_at"), "event_timestamp").select(
-        *[c for c in SILVER_OUT]
-    )
+    return ts_text(df.drop("ingestion_timestamp", "silver_processed_at"), "event_timestamp").select(*SILVER_OUT)
 
 
 SILVER_OUT = [

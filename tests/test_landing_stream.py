@@ -40,3 +40,25 @@ def test_processing_time_trigger(spark, tmp_root):
         q.stop()
     got = sorted(r["event_id"] for r in spark.read.parquet(lake.silver).collect())
     assert got == ["p1", "p2"]
+
+
+def test_ingest_files_and_targets(spark, tmp_root):
+    from eventlake.plans import jobs
+
+    path = f"{tmp_root}/landing/2024-01-15-10.json.gz"
+    recs = [event(id=str(i), actor={"id": i, "login": f"u{i}"}) for i in range(4)] + [event(id=None)]
+    lines(spark, recs).coalesce(1).write.option("compression", "gzip").text(path)
+    lake = Lake(f"{tmp_root}/lake")
+    rep = jobs.ingest_files(spark, lake, [path], run_id="t")
+    assert rep.metrics["bronze"]["inserted"] == 4 and rep.metrics["bronze"]["quarantined"] == 1
+    top = jobs.select_enrichment_targets(spark, lake, batch_size=10).collect()
+    assert [(r["repo_id"], r["actors"], r["activity"]) for r in top] == [(7, 4, 4)]
+
+
+def test_cluster_conf_sizes_partitions():
+    from eventlake.session import cluster_conf
+
+    conf = cluster_conf(total_cores=4000, daily_bytes=300 * 1024**3)
+    assert int(conf["spark.sql.shuffle.partitions"]) == 8000  # 2 x cores beats 300 GB / 128 MB
+    conf = cluster_conf(total_cores=100, daily_bytes=300 * 1024**3)
+    assert int(conf["spark.sql.shuffle.partitions"]) == 2400
