@@ -30,9 +30,11 @@ from .piece_model import BYTE, NORMAL, SEGMENT, SPACE, UNKNOWN, USER_DEFINED, bu
 
 MODEL = "piece_bpe_32k.model"
 #: Segments that a task remembers; a full memory is emptied, which costs time only.
-MEMORY = 600_000
+MEMORY = 300_000
 #: Characters that are taken at a time.
-PART = 1 << 21
+PART = 1 << 20
+#: Segments given to the libraries in one call: their answers take about a kilobyte each.
+CALL = 8192
 
 
 def load_model(path: str | None = None) -> bytes:
@@ -76,9 +78,10 @@ class PieceCodec:
 
     def _checked(self, texts: list[str]) -> Iterator[tuple[list[int], bool]]:
         """The library's ids of each text, and whether ours are the same."""
-        mine = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
-        theirs = self.library.encode(texts, num_threads=1)
-        return ((b, a.ids == b) for a, b in zip(mine, theirs, strict=True))
+        for a in range(0, len(texts), CALL):
+            mine = self.tokenizer.encode_batch_fast(texts[a : a + CALL], add_special_tokens=False)
+            theirs = self.library.encode(texts[a : a + CALL], num_threads=1)
+            yield from ((y, x.ids == y) for x, y in zip(mine, theirs, strict=True))
 
     def encode(self, texts: list[str]) -> tuple[list[np.ndarray], np.ndarray]:
         """Ids and parity flag of each text."""
@@ -181,7 +184,7 @@ def encode_pieces(docs: DataFrame, model: bytes | None = None, text: str = "text
     """``docs`` with ``token_ids``, ``n_tokens``, ``parity`` and, with
     ``decode``, ``round_trip`` (the decoded ids are the text again)."""
     spark = docs.sparkSession
-    small_batches(spark)
+    small_batches(spark, 400)
     shared = spark.sparkContext.broadcast(model or load_model())
 
     @F.pandas_udf("ids array<int>, parity boolean, round_trip boolean")
