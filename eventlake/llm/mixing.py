@@ -131,15 +131,16 @@ def select_mix(docs: DataFrame, mix: Mix = Mix()) -> DataFrame:
 
 def mixed(docs: DataFrame, mix: Mix = Mix()) -> DataFrame:
     """The rows of ``docs``, each as many times as the mix uses it."""
-    keys = ["doc_id", "th", *LEAF[1:]]
-    used = cut(copies(docs, mix).groupBy(*keys).agg(F.sum("copies").alias("copies"), F.count("*").alias("rows")).where("copies > 0"))
-    mine = docs.withColumns({"th": F.xxhash64("text"), "lang_": F.coalesce("lang", F.lit("unknown")), "source_": F.coalesce("source", F.lit("unknown"))})
-    used = used.withColumnsRenamed({k: f"_{k}" for k in keys})
-    met = mine.join(used, reduce(lambda a, b: a & b, [mine[k].eqNullSafe(used[f"_{k}"]) for k in keys])).drop(*[f"_{k}" for k in keys])
-    if used.where("rows > 1").limit(1).count():  # equal rows share their uses
-        which = F.row_number().over(Window.partitionBy(*keys).orderBy("th"))
-        met = met.withColumn("copies", F.expr("copies div rows") + (which <= F.expr("copies % rows")).cast("int"))
-    return met.where("copies > 0").withColumn("_use", F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies")))).select(*docs.columns)
+    keys = {"doc_id": F.col("doc_id"), "th": F.xxhash64("text"), "lang_": F.coalesce("lang", F.lit("unknown")), "source_": F.coalesce("source", F.lit("unknown"))}
+    used = copies(docs, mix).groupBy(*keys).agg(F.sum("copies").alias("_mix_uses"), F.count("*").alias("_mix_rows")).where("_mix_uses > 0")
+    used = cut(used.withColumnsRenamed({k: f"_mix_used_{k}" for k in keys}))
+    mine = docs.withColumns({f"_mix_{k}": v for k, v in keys.items()})
+    met = mine.join(used, reduce(lambda a, b: a & b, [F.col(f"_mix_{k}").eqNullSafe(F.col(f"_mix_used_{k}")) for k in keys]))
+    if used.where("_mix_rows > 1").limit(1).count():  # equal rows share their uses
+        which = F.row_number().over(Window.partitionBy(*[f"_mix_{k}" for k in keys]).orderBy("_mix_th"))
+        met = met.withColumn("_mix_uses", F.expr("_mix_uses div _mix_rows") + (which <= F.expr("_mix_uses % _mix_rows")).cast("int"))
+    uses = F.explode(F.sequence(F.lit(1).cast("long"), F.col("_mix_uses")))
+    return met.where("_mix_uses > 0").withColumn("_mix_use", uses).select(*docs.columns)
 
 
 def q_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
