@@ -6,7 +6,7 @@ with each profile: every n-gram costs the difference of its two ranks, or the
 profile's length where the profile lacks it.  The nearest profile wins.
 
 N-grams (1 to 3 letters, a blank for what is between words) are packed into
-64-bit numbers, 21 bits a code point, so that numpy counts them by sorting.
+64-bit numbers, 21 bits a code point (a blank is code point 1), so that numpy counts them by sorting.
 Profiles are learned from the first ``per_language`` documents of each language
 in a seeded hash order.
 
@@ -31,6 +31,7 @@ from .common import crc_fold, small_batches, table
 PROFILE = 400
 PER_LANGUAGE = 500
 UNDETERMINED = "und"
+BLANK = 1  # no letter
 
 
 def letter_table() -> np.ndarray:
@@ -46,15 +47,18 @@ def letter_table() -> np.ndarray:
 
 def grams(text: str, letters: np.ndarray) -> np.ndarray:
     """All n-grams of the text, packed, in no order.  Runs of other characters
-    count as one blank (0); n-grams of blanks, or with one inside, are left out."""
+    count as one blank; a blank alone or inside an n-gram is left out."""
     codes = letters[np.frombuffer(text.encode("utf-32-le", "replace"), np.uint32)].astype(np.int64)
     codes = np.concatenate([[0], codes, [0]])
     keep = np.ones(len(codes), bool)
     keep[1:] = (codes[1:] != 0) | (codes[:-1] != 0)
     codes = codes[keep]
+    if len(codes) == 1:  # no letter at all
+        return codes[:0]
+    codes[codes == 0] = BLANK
     two = codes[:-1] << 21 | codes[1:]
-    three = (codes[:-2] << 42 | codes[1:-1] << 21 | codes[2:])[codes[1:-1] != 0] if len(codes) > 2 else codes[:0]
-    return np.concatenate([codes[codes != 0], two, three])
+    three = (codes[:-2] << 42 | codes[1:-1] << 21 | codes[2:])[codes[1:-1] != BLANK]
+    return np.concatenate([codes[codes != BLANK], two, three])
 
 
 def counted(text: str, letters: np.ndarray, piece: int = 1 << 20) -> tuple[np.ndarray, np.ndarray]:

@@ -66,8 +66,10 @@ def template_grams(spark: SparkSession) -> DataFrame:
     rows = []
     for tid, (base, (label, phrase)) in enumerate([(True, x) for x in BASE] + [(False, x) for x in NOTICES]):
         words = phrase.split()
-        rows += [(tid, label, base, len(words), at, words[at : at + K]) for at in range(len(words) - K + 1)]
-    grams = spark.createDataFrame(rows, "tid int, label string, base boolean, t_words int, t_at int, gram array<string>")
+        for at in range(len(words) - K + 1):
+            gram = ", ".join(f"'{w}'" for w in words[at : at + K])
+            rows.append(f"({tid}, '{label}', {str(base).lower()}, {len(words)}, {at}, array({gram}))")
+    grams = spark.sql(f"SELECT * FROM VALUES {', '.join(rows)} AS t(tid, label, base, t_words, t_at, gram)")
     return grams.withColumn("hash", F.xxhash64(*[F.get("gram", F.lit(j)) for j in range(K)]))
 
 

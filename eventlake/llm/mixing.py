@@ -94,10 +94,10 @@ def share_out(children: DataFrame, parent: list[str], name: str) -> DataFrame:
 def budgets(leaves: DataFrame, mix: Mix) -> DataFrame:
     """Leaf columns, total and budget.  ``leaves``: leaf columns and total."""
     caps = leaves.withColumn("capacity", F.col("total") * mix.max_epochs)
-    all_tokens = leaves.agg((F.floor(F.sum("total").cast(BIG) * mix.percent / 100)).cast("long").alias("budget"))
-    add = F.sum("capacity").alias("capacity")
-    domains = caps.groupBy("domain").agg(add).crossJoin(F.broadcast(all_tokens))  # one row on the right
-    domains = domains.withColumn("budget", F.least("budget", F.sum("capacity").over(Window.partitionBy(F.lit(0))).cast("long")))
+    add, all_ = F.sum("capacity").alias("capacity"), Window.partitionBy(F.lit(0))
+    domains = caps.groupBy("domain").agg(add, F.sum("total").alias("total"))  # one row a domain
+    domains = domains.withColumn("budget", F.floor(F.sum("total").over(all_).cast(BIG) * mix.percent / 100).cast("long"))
+    domains = domains.withColumn("budget", F.least("budget", F.sum("capacity").over(all_).cast("long")))
     level = share_out(domains.withColumn("weight", _weight(F.col("domain"), {d[0]: d[1] for d in mix.domains})), [], "domain").select("domain", "budget")
     langs = caps.groupBy("domain", "lang_").agg(add).join(level, "domain")
     level = share_out(langs.withColumn("weight", _weight(F.col("lang_"), mix.languages)), ["domain"], "lang_").select("domain", "lang_", "budget")

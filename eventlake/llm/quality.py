@@ -35,6 +35,7 @@ from .common import crc_fold, small_batches, table
 STRIDE, WIDTH = 4, 8  # a window is two strides wide
 LAGS = range(2, 34)  # distances at which a chunk is compared with itself
 PAD = 256  # the embedding row of no byte
+FILL = LAGS.stop  # padding after each text, so that no lag reaches into the text before
 
 
 @dataclass(frozen=True)
@@ -82,12 +83,12 @@ class ByteNet:
     def _score(self, texts: list[bytes], most: int) -> np.ndarray:
         if len(texts) == 1 and len(texts[0]) > most:  # chunk by chunk, the same chunks
             top, total, n, raw = None, 0.0, 0, texts[0]
-            for a in range(0, len(raw), most // self.chunk * self.chunk):
-                piece = raw[a : a + most // self.chunk * self.chunk + WIDTH - STRIDE]
-                last = a + most // self.chunk * self.chunk >= len(raw)
-                values = self._chunks([piece])[0]
-                if not last:  # the overlap belongs to the next piece's first chunk
-                    values = values[: most // self.chunk]
+            step = most // self.chunk * self.chunk
+            for a in range(0, len(raw), step):
+                # a chunk before and the overlap after are seen, and belong to the neighbours
+                values = self._chunks([raw[max(0, a - self.chunk) : a + step + WIDTH - STRIDE]])[0][a > 0 :]
+                if a + step < len(raw):
+                    values = values[: step // self.chunk]
                 top = values.max(0) if top is None else np.maximum(top, values.max(0))
                 total, n = total + values.sum(0), n + len(values)
             features = _order(top[None], (total / n)[None])
@@ -105,8 +106,8 @@ class ByteNet:
         """
         codes, sizes = pad_texts(texts, self.chunk)
         answers = self.windows(codes)
-        answers = np.maximum(np.concatenate([answers, np.zeros((1, answers.shape[1]), answers.dtype)]), 0)
         per = self.chunk // STRIDE
+        answers = closed(answers, sizes * per)
         values = answers.reshape(-1, per, answers.shape[1]).max(1)
         return np.concatenate([values, echo(codes, self.chunk)], 1), np.cumsum(sizes) - sizes
 
@@ -131,10 +132,18 @@ def _order(top: np.ndarray, mean: np.ndarray) -> np.ndarray:
     return np.concatenate([top[:, :-1], mean[:, :-1], 16 * top[:, -1:], 16 * mean[:, -1:]], 1)
 
 
+def closed(answers: np.ndarray, windows: np.ndarray) -> np.ndarray:
+    """Positive answers; the last window of each text, which would look into the
+    next text, gives none."""
+    answers = np.maximum(np.concatenate([answers, np.zeros((1, answers.shape[1]), answers.dtype)]), 0)
+    answers[np.cumsum(windows) - 1] = 0
+    return answers
+
+
 def pad_texts(texts: list[bytes], chunk: int) -> tuple[np.ndarray, np.ndarray]:
     """Codes of all texts end to end, each filled up to whole chunks with at
-    least WIDTH of padding, and each one's number of chunks."""
-    sizes = np.array([max(1, -(-(len(t) + WIDTH) // chunk)) for t in texts], np.int64)
+    least FILL of padding, and each one's number of chunks."""
+    sizes = np.array([max(1, -(-(len(t) + FILL) // chunk)) for t in texts], np.int64)
     codes = np.full(int(sizes.sum()) * chunk, PAD, np.int16)
     at = 0
     for t, n in zip(texts, sizes, strict=True):
@@ -179,7 +188,7 @@ def fit(texts: list[bytes], labels: np.ndarray, recipe: Recipe) -> ByteNet:
             codes, sizes = pad_texts([texts[i] for i in pick], recipe.chunk)
             starts = np.cumsum(sizes) - sizes
             answers = net.windows(codes)
-            answers = np.concatenate([answers, np.zeros((1, f), np.float32)]).reshape(-1, per, f)
+            answers = closed(answers, sizes * per).reshape(-1, per, f)
             best = answers.argmax(1)  # (chunks, filters)
             raw = np.take_along_axis(answers, best[:, None], 1)[:, 0]
             values = np.maximum(raw, 0)

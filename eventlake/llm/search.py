@@ -60,12 +60,13 @@ def usable(rows: DataFrame, vec: str = "embedding", key: str = "vec_id") -> Data
     return v.where(F.size("vec") == (size["n"] if size else 0))
 
 
-def blocks(rows: DataFrame, query: Column, search: Search) -> tuple[DataFrame, DataFrame]:
+def blocks(rows: DataFrame, query: Column | str, search: Search) -> tuple[DataFrame, DataFrame]:
     """The same rows under (block, shard), and the queries under (block, shard).
 
     Each row is there once for each block of queries, each query once for each
     shard, both by a number that has nothing to do with their values.
     """
+    query = F.expr(query) if isinstance(query, str) else query
     counts = rows.agg(F.count("*").alias("n"), F.count_if(query).alias("q")).first()
     shards, n_blocks = max(1, -(-counts["n"] // search.shard)), max(1, -(-counts["q"] // search.block))
     dealt = rows.withColumn("shard", (F.monotonically_increasing_id() % shards).cast("int"))
@@ -118,7 +119,7 @@ def _bounds(codes: Codes, met: np.ndarray, size: float, dims: int, epsilon: floa
     return base - cross * cosine, base - cross * (cosine + error)
 
 
-def nearest(rows: DataFrame, query: Column, search: Search = Search(), vec: str = "embedding", key: str = "vec_id") -> DataFrame:
+def nearest(rows: DataFrame, query: Column | str, search: Search = Search(), vec: str = "embedding", key: str = "vec_id") -> DataFrame:
     """query_id, rank, vec_id, score: the nearest rows of every row for which
     ``query`` (a condition on ``vec_id``) holds, itself left out."""
     spark, k = rows.sparkSession, search.k
@@ -252,7 +253,7 @@ class SegmentTables:
         return rows[top], far[top], len(rows)
 
 
-def hamming_nearest(codes: DataFrame, query: Column, search: Search = Search()) -> DataFrame:
+def hamming_nearest(codes: DataFrame, query: Column | str, search: Search = Search()) -> DataFrame:
     """query_id, rank, vec_id, score (bits that differ): exact top k of binary
     codes ``vec`` (arrays of 0 and 1, all of one length)."""
     k = search.k

@@ -73,6 +73,7 @@ class PieceCodec:
             else:
                 parts.append(b" \xe2\x81\x87 " if kind == UNKNOWN else b"")
         self.width = np.array([len(p) for p in parts], np.int64)
+        self.marked = np.array([piece.startswith(SPACE) for piece, _, _ in self.model.pieces], bool)
         self.start = np.cumsum(self.width) - self.width
         self.flat = np.frombuffer(b"".join(parts), np.uint8)
 
@@ -165,7 +166,8 @@ class PieceCodec:
             except UnicodeDecodeError:  # bytes that no text gives: as the library reads them
                 out.append(self.reader.decode([int(x) for x in ids]))
                 continue
-            out.append(text[1:] if self.model.add_dummy_prefix and text[:1] == " " else text)
+            first = next((int(x) for x in ids if self.width[x]), None)  # control pieces have no text
+            out.append(text[1:] if self.model.add_dummy_prefix and first is not None and self.marked[first] else text)
         return out
 
 
