@@ -8,6 +8,8 @@ to match Spark (DuckDB sums are HUGEINT, ``hour()`` is BIGINT).
 
 from __future__ import annotations
 
+from eventlake.operators.quality import KNOWN_EVENT_TYPES
+
 SOURCE_FILE = "landing/events.jsonl"
 
 # Driver events -> fixture fields, payload text, raw line text and reason.
@@ -197,14 +199,7 @@ def _gold(name: str) -> str:
     return f"gold_{name} AS ({GOLD_SQL[name]}\n)"
 
 
-KNOWN_TYPES_SQL = ", ".join(
-    f"'{t}'"
-    for t in (
-        "PushEvent PullRequestEvent IssuesEvent IssueCommentEvent WatchEvent ForkEvent CreateEvent DeleteEvent "
-        "ReleaseEvent PullRequestReviewEvent PullRequestReviewCommentEvent CommitCommentEvent GollumEvent "
-        "MemberEvent PublicEvent"
-    ).split()
-)
+KNOWN_TYPES_SQL = ", ".join(f"'{t}'" for t in KNOWN_EVENT_TYPES)
 
 LAYER_CTE = """,
 t_bronze AS (SELECT id AS event_id, etype AS event_type, repo_id, repo_name, event_ts AS event_timestamp FROM valid),
@@ -366,6 +361,19 @@ SELECT id AS event_id, etype AS event_type, user_id AS actor_id, login AS actor_
        strftime(event_ts, '%Y-%m-%d %H:%M:%S') AS event_timestamp, CAST(event_ts AS DATE) AS event_date,
        CASE WHEN CAST(event_ts AS DATE) <= DATE '2024-01-15' THEN 'batch-1' ELSE 'batch-2' END AS source_file
 FROM valid""")
+    q["merge_insert_moved_day"] = with_events(f"""
+SELECT id AS event_id, etype AS event_type, user_id AS actor_id, login AS actor_login, repo_id, repo_name, payload,
+       strftime(event_ts, '%Y-%m-%d %H:%M:%S') AS event_timestamp, CAST(event_ts AS DATE) AS event_date,
+       '{SOURCE_FILE}' AS source_file
+FROM valid""")
+    again = "right(event_id, 2) IN ('00', '50')"
+    q["merge_upsert_moved_day"] = with_events(f"""
+SELECT event_id, event_type, event_action, actor_id, actor_login, is_bot, repo_id, repo_name, repo_owner, ref, ref_type,
+       push_size, pr_or_issue_number, pr_merged, payload,
+       strftime(event_ts + CASE WHEN {again} THEN INTERVAL 1 DAY ELSE INTERVAL 0 DAY END, '%Y-%m-%d %H:%M:%S') AS event_timestamp,
+       CAST(event_date + CASE WHEN {again} THEN 1 ELSE 0 END AS DATE) AS event_date, event_hour, source_file,
+       CASE WHEN {again} THEN 'stream' ELSE 'batch' END AS source
+FROM silver""")
     q["merge_upsert"] = with_events(silver_select(
         "source_file", "CASE WHEN event_date >= DATE '2024-01-11' THEN 'stream' ELSE 'batch' END"))
     q["replace_day"] = with_events("""
@@ -384,9 +392,11 @@ FROM r WHERE id IS NOT NULL""")
     q["batch_job_trends"] = q["language_trends_daily"]
     q["batch_job_dimension"] = q["scd2_second_snapshot"]
     q["batch_job_quarantine"] = with_events("""
-SELECT DISTINCT id AS event_id, dq_reason, raw_record FROM quarantine""")
+SELECT id AS event_id, dq_reason, raw_record FROM quarantine""")
     q["stream_quarantine"] = with_events("""
-SELECT DISTINCT id AS event_id, 'stream' AS source_file, dq_reason, raw_record FROM quarantine""")
+SELECT id AS event_id, 'stream' AS source_file, dq_reason, raw_record FROM quarantine
+UNION ALL
+SELECT id, 'stream', dq_reason, raw_record FROM quarantine WHERE CAST(ts AS DATE) <= DATE '2024-01-03'""")
     q["stream_bronze"] = with_events("""
 SELECT id AS event_id, etype AS event_type, user_id AS actor_id, login AS actor_login, repo_id, repo_name, payload,
        strftime(event_ts, '%Y-%m-%d %H:%M:%S') AS event_timestamp, CAST(event_ts AS DATE) AS event_date,

@@ -26,7 +26,7 @@ from eventlake.operators.bronze import split_valid_quarantine, to_bronze
 from eventlake.operators.silver import to_silver_events
 from eventlake.schemas import REPO_TRACKED
 from eventlake.sinks import writers
-from eventlake.sources.landing import read_landing
+from eventlake.sources.landing import existing_paths, hour_slots, read_landing
 
 
 @dataclass
@@ -77,6 +77,19 @@ def run_quality(
     return results
 
 
+def check_unique(spark: SparkSession, lake: Lake, run_id: str, execution_date: str) -> None:
+    """One row per event over all days of silver; reads the key column only."""
+    table = quality.LAYER_TABLE["silver"]
+    keys = spark.read.parquet(lake.silver).select("event_id")
+    results = quality.run_checks(keys, [quality.unique("event_id")], layer="silver", table=table, run_id=run_id, execution_date=execution_date)
+    results = results.persist()
+    writers.append_results(results, lake.dq_results)
+    try:
+        quality.gate(results, "silver", table)
+    finally:
+        results.unpersist()
+
+
 def bronze_job(
     spark: SparkSession, lake: Lake, raw: DataFrame, source_file=None, ingestion_ts: str | None = None
 ) -> dict:
@@ -88,7 +101,7 @@ def bronze_job(
     parsed = to_bronze(raw, source_file, ingestion_ts).persist(StorageLevel.MEMORY_AND_DISK)
     try:
         valid, bad = split_valid_quarantine(parsed)
-        quarantined = writers.append_quarantine(spark, bad, lake.quarantine, replay_safe=True)
+        quarantined = writers.append_quarantine(spark, bad, lake.quarantine)
         merged = writers.merge_insert_only(spark, valid, lake.bronze)
         dates = writers.partition_values(valid)
     finally:
@@ -131,7 +144,8 @@ def batch_run(
 ) -> RunReport:
     """One batch end to end: bronze -> DQ -> silver -> DQ -> gold -> DQ.
 
-    Only the days present in this batch are read back and rewritten.
+    The days present in this batch are read back and recomputed, and with them
+    the days that lost a row because its event moved.
     """
     run_id = run_id or uuid.uuid4().hex[:12]
     rep = RunReport()
@@ -141,6 +155,8 @@ def batch_run(
     label = ",".join(writers.date_text(d) for d in dates)
     run_quality(spark, lake, "bronze", _scope(spark.read.parquet(lake.bronze), dates), run_id, label)
     rep.metrics["silver"] = silver_job(spark, lake, dates)
+    dates = sorted({*dates, *rep.metrics["silver"].get("days", [])})
+    check_unique(spark, lake, run_id, label)
     run_quality(spark, lake, "silver", _scope(spark.read.parquet(lake.silver), dates), run_id, label)
     rep.metrics["gold"] = gold_job(spark, lake, dates)
     run_quality(
@@ -160,15 +176,14 @@ def backfill(
 ) -> RunReport:
     """Every landing hour from ``start`` to ``end`` (inclusive) in one scan.
 
-    The landing folders ``year=/month=/day=/hour=`` are read as partitions and
-    the hour window is a partition filter, so only those folders are listed
-    into the scan.
+    Only the folders ``year=/month=/day=/hour=`` of the window are looked at,
+    however long the landing tree has grown; hours without a folder are skipped.
     """
-    raw = spark.read.text(landing_root)
-    slot = F.make_timestamp(F.col("year"), F.col("month"), F.col("day"), F.col("hour"), F.lit(0), F.lit(0))
-    raw = raw.filter(slot.between(F.to_timestamp(F.lit(start)), F.to_timestamp(F.lit(end))))
-    raw = raw.select("value", F.col("_metadata.file_path").alias("source_file"))
-    return batch_run(spark, lake, raw, run_id, ingestion_ts)
+    wanted = [r["folder"] for r in hour_slots(spark, start, end).select("folder").collect()]
+    folders = existing_paths(spark, [f"{landing_root.rstrip('/')}/{f}" for f in wanted])
+    if not folders:
+        return RunReport()
+    return batch_run(spark, lake, read_landing(spark, folders), run_id, ingestion_ts)
 
 
 def run_day(spark: SparkSession, lake: Lake, landing_root: str, day: str, run_id: str | None = None) -> RunReport:
@@ -188,7 +203,10 @@ def dq_job(spark: SparkSession, lake: Lake, layer: str, execution_date: str | No
 
 
 def ingest_files(spark: SparkSession, lake: Lake, paths, run_id: str | None = None) -> RunReport:
-    return batch_run(spark, lake, read_landing(spark, paths), run_id)
+    """The hourly run: a gzip file is read by one task, so its lines are spread
+    over all cores before they are parsed."""
+    raw = read_landing(spark, paths).repartition(spark.sparkContext.defaultParallelism)
+    return batch_run(spark, lake, raw, run_id)
 
 
 VERSION_KEY = "version_key"
@@ -206,18 +224,18 @@ def read_dimension(spark: SparkSession, lake: Lake) -> DataFrame | None:
 
 
 def refresh_dimension(
-    spark: SparkSession, lake: Lake, snapshot: DataFrame, effective_ts: str | None = None
+    spark: SparkSession, lake: Lake, snapshot: DataFrame, effective_ts: str
 ) -> dict:
     """SCD2 upsert of a metadata snapshot.
 
     Only open rows take part: rows the snapshot closes are appended to the
     history (keyed on repo and valid_from, so a rerun appends nothing twice)
-    and the open rows are written as the next version.  A refresh therefore
-    costs the open rows plus the snapshot, however long the history grows.
+    and the open rows are written as the next version.  ``effective_ts`` is the
+    run's own time: a rerun after a failure must be given the same one.  The
+    history is read for its keys, and once more for the statistics.
     """
     current_open = writers.read_versioned(spark, lake.repos_open)
-    ts = effective_ts if effective_ts else F.current_timestamp()
-    state = scd2.scd2_upsert(current_open, snapshot, "repo_id", REPO_TRACKED, ts, validate=True)
+    state = scd2.scd2_upsert(current_open, snapshot, "repo_id", REPO_TRACKED, effective_ts, validate=True)
     state = state.persist(StorageLevel.MEMORY_AND_DISK)
     try:
         closed = state.filter(~F.col("is_current")).withColumn(

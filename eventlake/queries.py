@@ -306,6 +306,35 @@ def q_merge_upsert(spark, sf):
     return _silver_out(spark.read.parquet(lake.silver))
 
 
+def moved(valid: DataFrame) -> DataFrame:
+    """Every 50th event or so, delivered again with a date one day later."""
+    again = valid.filter(F.substring("event_id", -2, 2).isin("00", "50"))
+    return again.withColumns({"event_timestamp": F.col("event_timestamp") + F.expr("INTERVAL 1 DAY"), "event_date": F.date_add("event_date", 1)})
+
+
+def q_merge_insert_moved_day(spark, sf):
+    """A known event that comes again with another date is not inserted."""
+    from eventlake.sinks import writers
+
+    lake = _lake(spark, "insert-moved")
+    valid = bronze_valid_df(spark, sf)
+    writers.merge_insert_only(spark, valid, lake.bronze)
+    writers.merge_insert_only(spark, moved(valid), lake.bronze)
+    return ts_text(spark.read.parquet(lake.bronze).drop("ingestion_timestamp"), "event_timestamp")
+
+
+def q_merge_upsert_moved_day(spark, sf):
+    """A known event that comes again with another date moves there."""
+    from eventlake.sinks import writers
+
+    lake = _lake(spark, "upsert-moved")
+    valid = bronze_valid_df(spark, sf)
+    writers.merge_upsert(spark, to_silver_events(valid, "batch"), lake.silver)
+    for _ in range(2):
+        writers.merge_upsert(spark, to_silver_events(moved(valid), "stream"), lake.silver)
+    return _silver_out(spark.read.parquet(lake.silver))
+
+
 CORRECTED_DAY = "2024-01-10"
 EMPTIED_DAY = "2024-01-11"
 
@@ -362,17 +391,6 @@ def stream_landing(spark, sf) -> str:
     return f"{root}/*/*"
 
 
-_LAKES: dict[tuple, object] = {}
-
-
-def _memo_lake(spark, sf: str, kind: str, build):
-    """Run a multi-step flow once per (session, scale) and reuse its lake."""
-    key = (id(spark.sparkContext), sf.rstrip("/"), kind)
-    if key not in _LAKES:
-        _LAKES[key] = build(spark, sf)
-    return _LAKES[key]
-
-
 def _stream_lake(spark, sf):
     """File stream -> foreachBatch (bronze insert-only, silver upsert,
     quarantine keyed append), drained with availableNow (ST1-ST5)."""
@@ -388,19 +406,19 @@ def _stream_lake(spark, sf):
 
 
 def q_stream_available_now(spark, sf):
-    lake = _memo_lake(spark, sf, "stream", _stream_lake)
+    lake = _stream_lake(spark, sf)
     return _silver_out(spark.read.parquet(lake.silver))
 
 
 def q_stream_bronze(spark, sf):
     """Stream bronze table after the replayed delivery: one row per event."""
-    lake = _memo_lake(spark, sf, "stream", _stream_lake)
+    lake = _stream_lake(spark, sf)
     return ts_text(spark.read.parquet(lake.bronze_stream).drop("ingestion_timestamp"), "event_timestamp")
 
 
 def q_stream_quarantine(spark, sf):
-    """Quarantine after the replayed delivery: each bad line once."""
-    lake = _memo_lake(spark, sf, "stream", _stream_lake)
+    """Quarantine after a replayed delivery: every bad line of both deliveries."""
+    lake = _stream_lake(spark, sf)
     return spark.read.parquet(lake.quarantine).drop("ingestion_timestamp", "record_key")
 
 
@@ -429,6 +447,17 @@ def q_stream_dedup_watermark(spark, sf):
 
 # ---- end-to-end batch job ------------------------------------------------------
 
+def batch_windows(spark, sf) -> list[tuple[str, str]]:
+    """Two backfill windows that cover every hour of the event table."""
+    hour = lambda c: F.date_trunc("hour", c.cast("timestamp"))
+    ends = fixtures.read_driver(spark, sf, "events").agg(hour(F.min("ts")).alias("a"), hour(F.max("ts")).alias("b"))
+    half = F.date_trunc("hour", F.timestamp_seconds((F.unix_timestamp("a") + F.unix_timestamp("b")) / 2))
+    r = ends.select("a", half.alias("m"), "b").select(*[F.date_format(c, "yyyy-MM-dd HH:mm:ss") for c in ("a", "m")],
+                                                      F.date_format(F.col("m") + F.expr("INTERVAL 1 HOUR"), "yyyy-MM-dd HH:mm:ss"),
+                                                      F.date_format("b", "yyyy-MM-dd HH:mm:ss")).first()
+    return [(r[0], r[1]), (r[2], r[3])]
+
+
 def _batch_lake(spark, sf):
     """Landing hour folders (gzip) -> dimension refresh x2 -> backfill in two
     windows plus a rerun of the first."""
@@ -443,26 +472,27 @@ def _batch_lake(spark, sf):
     lake = _lake(spark, "lake")
     for i in (1, 2):
         jobs.refresh_dimension(spark, lake, fixtures.repo_snapshot(spark, sf, i), SNAPSHOT_TS[i])
-    first = ("2024-01-01 00:00:00", "2024-01-15 23:00:00")
+    first, second = batch_windows(spark, sf)
     jobs.backfill(spark, lake, landing, *first)
-    jobs.backfill(spark, lake, landing, "2024-01-16 00:00:00", "2024-01-31 23:00:00")
+    jobs.backfill(spark, lake, landing, *second)
     jobs.backfill(spark, lake, landing, *first)
     return lake
 
 
 def q_batch_job_gold(spark, sf):
-    lake = _memo_lake(spark, sf, "batch", _batch_lake)
+    lake = _batch_lake(spark, sf)
     return spark.read.parquet(lake.gold("event_type_summary_hourly")).drop("gold_processed_at")
 
 
 def q_batch_job_trends(spark, sf):
-    lake = _memo_lake(spark, sf, "batch", _batch_lake)
+    lake = _batch_lake(spark, sf)
     return spark.read.parquet(lake.gold("language_trends_daily")).drop("gold_processed_at")
 
 
 def q_batch_job_quarantine(spark, sf):
-    """Quarantine after a window was ingested twice: each bad line once."""
-    lake = _memo_lake(spark, sf, "batch", _batch_lake)
+    """Quarantine after a window was ingested twice: every bad line of its files
+    as often as it stands there."""
+    lake = _batch_lake(spark, sf)
     return spark.read.parquet(lake.quarantine).select("event_id", "dq_reason", "raw_record")
 
 
@@ -471,7 +501,7 @@ def q_batch_job_dimension(spark, sf):
     versioned open rows (W6)."""
     from eventlake.plans.jobs import read_dimension
 
-    lake = _memo_lake(spark, sf, "batch", _batch_lake)
+    lake = _batch_lake(spark, sf)
     return _dim_out(read_dimension(spark, lake))
 
 
@@ -525,6 +555,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "hour_slots": q_hour_slots,
     "merge_insert_only": q_merge_insert_only,
     "merge_upsert": q_merge_upsert,
+    "merge_insert_moved_day": q_merge_insert_moved_day,
+    "merge_upsert_moved_day": q_merge_upsert_moved_day,
     "replace_day": q_replace_day,
     "compact_day": q_compact_day,
     "stream_available_now": q_stream_available_now,

@@ -61,28 +61,23 @@ def apply_job_conf(spark: SparkSession) -> None:
     spark.conf.set("spark.sql.jsonGenerator.ignoreNullFields", "true")
 
 
-_ROOTS: dict[int, str] = {}
-
-
 def shared_root(spark: SparkSession) -> str:
     """Shared folder for tables and lineage cuts.
 
     On a cluster this is the folder named in ``spark.checkpoint.dir`` (or the
-    one already set on the context).  Only when neither is set (local tests)
-    a fresh scratch folder is created and registered as the checkpoint dir.
+    one already set on the context).  Where neither is set, a local session
+    gets a fresh scratch folder as its checkpoint dir; a cluster must name one,
+    because its executors share no local folder.
     """
     sc = spark.sparkContext
-    cached = _ROOTS.get(id(sc))
-    if cached:
-        return cached
     root = sc.getConf().get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if not root:
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         root = tempfile.mkdtemp(prefix="eventlake-")
     if not sc.getCheckpointDir():
         sc.setCheckpointDir(root)
-    root = root.rstrip("/")
-    _ROOTS[id(sc)] = root
-    return root
+    return root.rstrip("/")
 
 
 def scratch_dir(spark: SparkSession, name: str) -> str:

@@ -10,18 +10,21 @@ is re-run after a failure:
 - day replace (W4) overwrites one partition folder, an empty result empties it;
 - versioned overwrite (W6) writes a new ``v=N`` folder and never deletes its
   own input;
-- keyed append (W7/W8) is an insert-only merge on a content key, so replayed
-  micro-batches do not duplicate rows.
+- keyed append (W7/W8) is an insert-only merge on a key of delivery, line and
+  occurrence, so a replayed delivery adds nothing and no row is lost.
 
-Partition pruning: when the key determines the partition (an event's date
-comes from its own timestamp), the anti-join reads only the source's dates.
-The set of dates is the only thing brought to the driver (bounded by the
-number of days in one batch).
+A key is matched over the whole target, whatever day its row is in: the merge
+reads the key and day columns only.  ``key_determines_partition=True`` narrows
+that to the source's days and is right only if a key can never change its day.
+The set of days is the only thing brought to the driver.
+
+One writer at a time: a table must not be merged into by two jobs at once.
 """
 
 from __future__ import annotations
 
 import math
+import time
 from collections.abc import Sequence
 
 from pyspark import StorageLevel
@@ -45,13 +48,9 @@ def path_exists(spark: SparkSession, path: str) -> bool:
 
 
 def table_exists(spark: SparkSession, path: str) -> bool:
-    """A table exists once a write committed into it (``_SUCCESS`` marker)."""
-    if not path_exists(spark, path):
-        return False
-    fs, p = _fs_path(spark, path)
-    if fs.exists(p.suffix("/_SUCCESS")):
-        return True
-    return any(s.getPath().getName().startswith(f"{DATE_COL}=") for s in fs.listStatus(p))
+    """A table exists once it holds data; a write of no rows, or what a failed
+    write left behind, does not make one."""
+    return any(name.startswith((f"{DATE_COL}=", "part-")) for name in list_children(spark, path))
 
 
 def delete_path(spark: SparkSession, path: str) -> None:
@@ -122,7 +121,7 @@ def _observed(df: DataFrame, name: str) -> tuple[DataFrame, Observation]:
 
 def create_table(df: DataFrame, path: str, partition_col: str | None = DATE_COL) -> int:
     df, obs = _observed(balanced(df, partition_col), "create")
-    w = df.write.mode("errorifexists")
+    w = df.write.mode("append")  # leftovers of a failed first write do no harm
     if partition_col:
         w = w.partitionBy(partition_col)
     w.parquet(path)
@@ -137,9 +136,9 @@ def merge_insert_only(
     path: str,
     key: str = "event_id",
     partition_col: str | None = DATE_COL,
-    key_determines_partition: bool = True,
+    key_determines_partition: bool = False,
 ) -> dict:
-    """Append source rows whose key is not in the target (re-run = no-op)."""
+    """Append source rows whose key is nowhere in the target (re-run = no-op)."""
     if not table_exists(spark, path):
         return {"created": True, "inserted": create_table(source, path, partition_col)}
     with _Pinned(source) as source:
@@ -164,7 +163,7 @@ def merge_upsert(
     path: str,
     key: str = "event_id",
     partition_col: str = DATE_COL,
-    key_determines_partition: bool = True,
+    key_determines_partition: bool = False,
 ) -> dict:
     """Update matching keys, insert new ones.
 
@@ -173,9 +172,9 @@ def merge_upsert(
     source rows for every other day are new keys and are appended.  In steady
     state (no replays) an upsert is a key scan plus an append.
 
-    With ``key_determines_partition=False`` the matching keys are searched in
-    the whole target (rows may move between days); a day left empty by a move
-    is removed.
+    Matching keys are searched in the whole target (rows may move between
+    days); a day left empty by a move is removed.  ``days`` in the result lists
+    the days that were rewritten, so that what depends on them can be redone.
     """
     if not table_exists(spark, path):
         return {"created": True, "written": create_table(source, path, partition_col)}
@@ -209,7 +208,7 @@ def _upsert(spark, source, path, key, partition_col, key_determines_partition) -
     rest, obs = _observed(balanced(rest.select(*cols), partition_col), "upsert_append")
     rest.write.mode("append").partitionBy(partition_col).parquet(path)
     appended = obs.get["rows"]
-    return {"created": False, "rewritten": rewritten, "appended": appended, "partitions": len(hit_days)}
+    return {"created": False, "rewritten": rewritten, "appended": appended, "partitions": len(hit_days), "days": hit_days}
 
 
 # ---- W4 replace one partition, W5 full overwrite ----------------------------
@@ -276,17 +275,24 @@ def read_versioned(spark: SparkSession, root: str) -> DataFrame | None:
     return spark.read.parquet(p) if p else None
 
 
-def write_version(spark: SparkSession, df: DataFrame, root: str, keep: int = 2) -> dict:
-    """Write ``df`` as the next version; older versions beyond ``keep`` are removed.
+def write_version(spark: SparkSession, df: DataFrame, root: str, retain_hours: float = 168.0) -> dict:
+    """Write ``df`` as the next version.
 
-    ``df`` may read the current version: it is never overwritten in place.
+    Versions that were replaced more than ``retain_hours`` ago are removed, so
+    a reader keeps its version that long.  ``df`` may read the current version:
+    it is never overwritten in place.  The number is past every folder there
+    is, also one that a failed write left behind.
     """
     versions = _versions(spark, root)
-    n = (versions[-1] + 1) if versions else 1
+    taken = [int(name[2:]) for name in list_children(spark, root) if name.startswith("v=") and name[2:].isdigit()]
+    n = max(taken, default=0) + 1
     df, obs = _observed(df, "version")
     df.write.mode("errorifexists").parquet(f"{root}/v={n}")
-    for old in versions[: max(0, len(versions) + 1 - keep)]:
-        delete_path(spark, f"{root}/v={old}")
+    fs, _ = _fs_path(spark, root)
+    for old, newer in zip(versions, versions[1:], strict=False):
+        replaced = fs.getFileStatus(_fs_path(spark, f"{root}/v={newer}/_SUCCESS")[1]).getModificationTime() / 1000
+        if time.time() - replaced >= retain_hours * 3600:
+            delete_path(spark, f"{root}/v={old}")
     return {"version": n, "rows": obs.get["rows"]}
 
 
@@ -296,14 +302,18 @@ def with_content_key(df: DataFrame, cols: Sequence[str], out: str = "record_key"
     return df.withColumn(out, F.sha2(F.concat_ws("\u0001", *[F.coalesce(F.col(c).cast("string"), F.lit("")) for c in cols]), 256))
 
 
-def append_quarantine(spark: SparkSession, quarantine: DataFrame, path: str, replay_safe: bool = True) -> int:
-    """Append bad rows (W7); with ``replay_safe`` a (raw line, source) seen
-    before is not appended again."""
-    if not replay_safe:
-        quarantine, obs = _observed(quarantine, "quarantine")
-        quarantine.write.mode("append").parquet(path)
-        return obs.get["rows"]
-    keyed = with_content_key(quarantine, ["raw_record", "source_file"]).dropDuplicates(["record_key"])
+def append_quarantine(spark: SparkSession, quarantine: DataFrame, path: str, delivery: str = "") -> int:
+    """Append bad rows (W7), each as often as it was delivered.
+
+    A row's key is its delivery (a micro-batch; files are named in the row),
+    its source file, its line and the number of its occurrence, so writing the
+    same delivery again adds nothing.  Equal lines are counted before they are
+    numbered: a line that makes up much of a file is one row in the shuffle.
+    """
+    counted = quarantine.groupBy(*quarantine.columns).agg(F.count(F.lit(1)).alias("_n"))
+    each = counted.withColumn("_i", F.explode(F.sequence(F.lit(1).cast("long"), F.col("_n"))))
+    each = each.withColumn("_d", F.lit(delivery))
+    keyed = with_content_key(each, ["_d", "source_file", "raw_record", "_i"]).drop("_n", "_i", "_d")
     return merge_insert_only(spark, keyed, path, key="record_key", partition_col=None)["inserted"]
 
 
@@ -337,12 +347,14 @@ def compact_partition(
     day = spark.read.parquet(path).filter(F.col(partition_col) == F.lit(date_text(value)).cast("date"))
     # The partitioned writer sorts by the partition column; leading with it
     # keeps the clustering sort instead of having it replaced.
-    out = day.repartitionByRange(n, *cluster_by).sortWithinPartitions(partition_col, *cluster_by)
+    # A key of its own as the last range column lets a hot value be split.
+    split = [c for c in ("event_id",) if c in day.columns and c not in cluster_by]
+    out = day.repartitionByRange(n, *cluster_by, *split).sortWithinPartitions(partition_col, *cluster_by)
     out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(partition_col).parquet(path)
     return n
 
 
-# Clustering columns per table (the usual filter / join keys).
+# Clustering columns of each day-partitioned table.
 CLUSTERING = {
     "bronze/events_batch": ["repo_id"],
     "silver/events": ["repo_id", "event_type"],

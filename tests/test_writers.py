@@ -47,7 +47,8 @@ def test_upsert_of_new_keys_only_appends(spark, tmp_root):
 def test_upsert_moves_row_between_days(spark, tmp_root):
     path = f"{tmp_root}/silver"
     w.merge_upsert(spark, _df(spark, [("a", 1, "2024-01-01"), ("b", 1, "2024-01-02")]), path)
-    w.merge_upsert(spark, _df(spark, [("a", 5, "2024-01-03")]), path, key_determines_partition=False)
+    res = w.merge_upsert(spark, _df(spark, [("a", 5, "2024-01-03")]), path)
+    assert [str(d) for d in res["days"]] == ["2024-01-01"]
     assert _state(spark, path) == [("a", 5, "2024-01-03"), ("b", 1, "2024-01-02")]
     assert not w.path_exists(spark, f"{path}/event_date=2024-01-01")
 
@@ -73,20 +74,48 @@ def test_versioned_overwrite_reads_its_own_input(spark, tmp_root):
     w.write_version(spark, spark.createDataFrame([(1,), (2,)], "k long"), root)
     cur = w.read_versioned(spark, root)
     w.write_version(spark, cur.withColumn("k", F.col("k") + 10), root)
-    w.write_version(spark, w.read_versioned(spark, root).withColumn("k", F.col("k") + 10), root)
+    w.write_version(spark, w.read_versioned(spark, root).withColumn("k", F.col("k") + 10), root, retain_hours=0)
     assert sorted(r["k"] for r in w.read_versioned(spark, root).collect()) == [21, 22]
     assert sorted(n for n in w.list_children(spark, root) if n.startswith("v=")) == ["v=2", "v=3"]
 
 
-def test_quarantine_append_is_replay_safe(spark, tmp_root):
+def test_insert_only_merge_matches_keys_of_every_day(spark, tmp_root):
+    path = f"{tmp_root}/bronze"
+    w.merge_insert_only(spark, _df(spark, [("a", 1, "2024-01-01")]), path)
+    assert w.merge_insert_only(spark, _df(spark, [("a", 2, "2024-01-02")]), path)["inserted"] == 0
+    assert _state(spark, path) == [("a", 1, "2024-01-01")]
+
+
+def test_an_empty_first_batch_and_a_failed_create_do_not_block(spark, tmp_root):
+    path = f"{tmp_root}/bronze"
+    assert w.merge_insert_only(spark, _df(spark, []), path)["inserted"] == 0
+    assert not w.table_exists(spark, path)
+    fs, p = w._fs_path(spark, f"{path}/_temporary/0/task_left_over")
+    fs.mkdirs(p)
+    assert w.merge_upsert(spark, _df(spark, [("a", 1, "2024-01-01")]), path)["created"]
+    assert w.merge_insert_only(spark, _df(spark, [("a", 1, "2024-01-01"), ("b", 1, "2024-01-02")]), path)["inserted"] == 1
+
+
+def test_a_failed_version_does_not_block_the_next(spark, tmp_root):
+    root = f"{tmp_root}/dim"
+    w.write_version(spark, spark.createDataFrame([(1,)], "k long"), root)
+    fs, p = w._fs_path(spark, f"{root}/v=2/_temporary/0")
+    fs.mkdirs(p)
+    assert w.write_version(spark, spark.createDataFrame([(2,)], "k long"), root)["version"] == 3
+    assert [r["k"] for r in w.read_versioned(spark, root).collect()] == [2]
+    assert w.read_versioned(spark, root) is not None and w.path_exists(spark, f"{root}/v=1")
+
+
+def test_quarantine_append_keeps_every_line_and_is_replay_safe(spark, tmp_root):
     path = f"{tmp_root}/quarantine"
     q = spark.createDataFrame(
         [("1", "f", None, "missing_repo_id", "{bad}"), ("1", "f", None, "missing_repo_id", "{bad}")],
         "event_id string, source_file string, ingestion_timestamp timestamp, dq_reason string, raw_record string",
     )
-    assert w.append_quarantine(spark, q, path) == 1
-    assert w.append_quarantine(spark, q, path) == 0
-    assert spark.read.parquet(path).count() == 1
+    assert w.append_quarantine(spark, q, path, "micro-batch 0") == 2
+    assert w.append_quarantine(spark, q, path, "micro-batch 0") == 0
+    assert w.append_quarantine(spark, q, path, "micro-batch 1") == 2
+    assert spark.read.parquet(path).count() == 4
 
 
 def test_compaction_keeps_content_and_sorts(spark, tmp_root):
