@@ -90,7 +90,22 @@ def kpi_totals(silver: DataFrame) -> DataFrame:
     )
 
 
-# ---- ranked tiles (K2-K6) ---------------------------------------------------
+# ---- whole results in order (K6) --------------------------------------------
+
+def layers_in_order(health: DataFrame) -> DataFrame:
+    return health.orderBy("layer")
+
+
+def event_types_in_order(distribution: DataFrame) -> DataFrame:
+    """Most frequent type first, equal counts by name."""
+    return distribution.orderBy(F.desc("events"), "event_type")
+
+
+def hours_in_order(activity: DataFrame) -> DataFrame:
+    return activity.orderBy("event_hour")
+
+
+# ---- ranked tiles (K2-K5) ---------------------------------------------------
 
 def top_trending(trending: DataFrame, n: int = 20) -> DataFrame:
     return trending.orderBy(F.desc("contributors"), F.desc("events"), F.asc("repo_name")).limit(n)

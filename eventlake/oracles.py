@@ -402,6 +402,9 @@ SELECT id AS event_id, etype AS event_type, user_id AS actor_id, login AS actor_
        strftime(event_ts, '%Y-%m-%d %H:%M:%S') AS event_timestamp, CAST(event_ts AS DATE) AS event_date,
        'stream' AS source_file
 FROM valid""")
+    q["dq_health_ordered"] = q["vw_dq_health"] + "\nORDER BY layer"
+    q["event_types_ordered"] = q["vw_event_type_distribution"] + "\nORDER BY events DESC, event_type"
+    q["hours_ordered"] = q["vw_hourly_activity"] + "\nORDER BY event_hour"
     q["hour_slots"] = """
 WITH b AS (SELECT date_trunc('hour', min(ts)) AS s, date_trunc('hour', max(ts)) AS e FROM events),
 x AS (SELECT unnest(generate_series(b.s, b.e, INTERVAL 1 HOUR)) AS slot FROM b)

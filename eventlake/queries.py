@@ -241,6 +241,20 @@ def q_dq_health(spark, sf):
     return quality.dq_health(_dq(spark, sf, ["bronze", "silver", "gold"], True, True))
 
 
+# ---- whole results in order (K6) ---------------------------------------------
+
+def q_dq_health_ordered(spark, sf):
+    return serving.layers_in_order(q_dq_health(spark, sf))
+
+
+def q_event_types_ordered(spark, sf):
+    return serving.event_types_in_order(q_event_type_distribution(spark, sf))
+
+
+def q_hours_ordered(spark, sf):
+    return serving.hours_in_order(q_hourly_activity(spark, sf))
+
+
 # ---- hour slots ------------------------------------------------------------
 
 def q_hour_slots(spark, sf):
@@ -552,6 +566,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "dq_silver": q_dq_silver,
     "dq_gold": q_dq_gold,
     "dq_declarative": q_dq_declarative,
+    "dq_health_ordered": q_dq_health_ordered,
+    "event_types_ordered": q_event_types_ordered,
+    "hours_ordered": q_hours_ordered,
     "hour_slots": q_hour_slots,
     "merge_insert_only": q_merge_insert_only,
     "merge_upsert": q_merge_upsert,

@@ -80,3 +80,13 @@ def test_kpi_totals(spark):
     df = spark.createDataFrame([(1, 1), (1, 2), (2, 2)], "repo_id long, actor_id long")
     r = serving.kpi_totals(df).collect()[0]
     assert (r["total_events"], r["distinct_repos"], r["distinct_contributors"]) == (3, 2, 2)
+
+
+def test_whole_results_come_in_order(spark):
+    from conftest import SMOKE_SF
+    from eventlake import queries
+
+    types = [(-r["events"], r["event_type"]) for r in queries.QUERIES["event_types_ordered"](spark, SMOKE_SF).collect()]
+    hours = [r["event_hour"] for r in queries.QUERIES["hours_ordered"](spark, SMOKE_SF).collect()]
+    layers = [r["layer"] for r in queries.QUERIES["dq_health_ordered"](spark, SMOKE_SF).collect()]
+    assert len(types) > 3 and types == sorted(types) and hours == sorted(set(hours)) and layers == ["bronze", "gold", "silver"]
