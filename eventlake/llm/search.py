@@ -69,7 +69,8 @@ def blocks(rows: DataFrame, query: Column | str, search: Search) -> tuple[DataFr
     query = F.expr(query) if isinstance(query, str) else query
     counts = rows.agg(F.count("*").alias("n"), F.count_if(query).alias("q")).first()
     shards, n_blocks = max(1, -(-counts["n"] // search.shard)), max(1, -(-counts["q"] // search.block))
-    dealt = rows.withColumn("shard", (F.monotonically_increasing_id() % shards).cast("int"))
+    # a hash: row numbers alone leave gaps that could favour some shards
+    dealt = rows.withColumn("shard", F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(shards)).cast("int"))
     dealt = dealt.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(n_blocks - 1))))
     asked = rows.where(query).groupBy("vec_id").agg(F.min("vec").alias("vec"))
     asked = asked.withColumn("block", F.pmod(F.xxhash64("vec_id"), F.lit(n_blocks)).cast("int"))
