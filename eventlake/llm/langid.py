@@ -30,6 +30,7 @@ from .common import crc_fold, small_batches, table
 
 PROFILE = 400
 PER_LANGUAGE = 500
+DEALT = 128  # parts of a language in the choice of ids
 UNDETERMINED = "und"
 BLANK = 1  # no letter
 
@@ -117,14 +118,18 @@ class Profiles:
 def learn_profiles(docs: DataFrame, learn: Column, letters=None, per_language: int = PER_LANGUAGE, length: int = PROFILE, seed: int = 8) -> Profiles:
     """Profiles of the languages in ``lang``; ``learn`` is a condition on ``_key``.
 
-    Ids are chosen without texts; the chosen texts are counted on the executors
-    and summed in a shuffle; ``length`` n-grams a language reach the driver.
+    Ids are chosen without texts, first within ``DEALT`` parts of a language and
+    then among the parts' choices, so that no task sees all rows of a language.
+    The chosen texts are counted on the executors and summed in a shuffle;
+    ``length`` n-grams a language reach the driver.
     """
     spark = docs.sparkSession
     letters = letters or spark.sparkContext.broadcast(letter_table())
     rows = docs.select(F.col("doc_id").alias("_key"), F.col("lang").alias("_lang"), F.col("text").alias("_text"))
-    order = Window.partitionBy("_lang").orderBy(F.xxhash64(F.lit(seed), "_key"), "_key")
-    ids = rows.where(learn & F.col("_lang").isNotNull()).select("_key", "_lang").withColumn("_n", F.row_number().over(order)).where(F.col("_n") <= per_language)
+    ids = rows.where(learn & F.col("_lang").isNotNull()).select("_key", "_lang", F.xxhash64(F.lit(seed), "_key").alias("_hash"))
+    for parts in (F.pmod("_hash", F.lit(DEALT)), F.lit(0)):
+        order = Window.partitionBy("_lang", "_part").orderBy("_hash", "_key")
+        ids = ids.withColumn("_part", parts).withColumn("_n", F.row_number().over(order)).where(F.col("_n") <= per_language).drop("_n", "_part")
     # per_language rows of an id and a name for each language
     chosen = rows.join(F.broadcast(ids.select("_key", "_lang").distinct()), ["_key", "_lang"]).select("_lang", "_text")
 
