@@ -17,7 +17,7 @@ EVENTS_CTE = r"""
 ev AS (
   SELECT event_id AS n, ts, user_id,
          CAST(regexp_extract(props, '"k"\s*:\s*(-?[0-9]+)', 1) AS BIGINT) AS k,
-         CASE WHEN event_id % 101 = 0 THEN 'SponsorshipEvent'
+         CASE WHEN event_id % 103 = 0 THEN NULL WHEN event_id % 101 = 0 THEN 'SponsorshipEvent'
               ELSE CASE event_type WHEN 'click' THEN 'PushEvent' WHEN 'view' THEN 'WatchEvent'
                                    WHEN 'signup' THEN 'ForkEvent' WHEN 'purchase' THEN 'PullRequestEvent'
                                    WHEN 'error' THEN 'IssuesEvent' END END AS etype
@@ -25,10 +25,10 @@ ev AS (
 ),
 f AS (
   SELECT n, ts, user_id, k, etype,
-         concat('user', CAST(user_id AS VARCHAR), CASE WHEN user_id % 10 = 0 THEN '[bot]' ELSE '' END) AS login,
-         CASE WHEN n % 97 <> 0 THEN CAST(n AS VARCHAR) END AS id,
+         CASE WHEN n % 79 <> 0 THEN concat('user', CAST(user_id AS VARCHAR), CASE WHEN user_id % 10 = 0 THEN '[bot]' ELSE '' END) END AS login,
+         CASE WHEN n % 97 <> 0 AND n % 109 <> 0 THEN CAST(n AS VARCHAR) END AS id,
          CASE WHEN n % 89 <> 0 THEN k END AS repo_id,
-         concat('org', CAST(k % 10 AS VARCHAR), '/repo', CAST(k AS VARCHAR)) AS repo_name,
+         CASE WHEN n % 107 <> 0 THEN concat('org', CAST(k % 10 AS VARCHAR), '/repo', CAST(k AS VARCHAR)) END AS repo_name,
          concat('org', CAST(k % 10 AS VARCHAR)) AS repo_owner,
          CASE n % 3 WHEN 0 THEN 'opened' WHEN 1 THEN 'closed' END AS action,
          CASE WHEN n % 83 = 0 THEN 'not-a-timestamp' ELSE strftime(ts, '%Y-%m-%dT%H:%M:%SZ') END AS created_at,
@@ -40,7 +40,9 @@ p AS (
   SELECT *,
          concat('{', concat_ws(',',
             CASE WHEN action IS NOT NULL THEN concat('"action":"', action, '"') END,
-            CASE WHEN etype = 'PushEvent' THEN concat('"size":', CAST(n % 5 AS VARCHAR)) END,
+            CASE WHEN etype = 'PushEvent' THEN concat('"ref":"refs/heads/b', CAST(n % 4 AS VARCHAR), '"') END,
+            CASE WHEN etype = 'PushEvent' THEN concat('"ref_type":"', CASE WHEN n % 4 = 0 THEN 'tag' ELSE 'branch' END, '"') END,
+            CASE WHEN etype = 'PushEvent' THEN concat('"size":', CAST(CAST(n % 5 + (n % 2) * 0.5 AS DOUBLE) AS VARCHAR)) END,
             CASE WHEN etype = 'IssuesEvent' THEN concat('"number":', CAST(n % 1000 AS VARCHAR)) END,
             CASE WHEN etype = 'PullRequestEvent' THEN concat('"pull_request":{"number":', CAST(n % 1000 AS VARCHAR),
                  ',"merged":', CASE WHEN n % 2 = 0 THEN 'true' ELSE 'false' END, '}') END
@@ -49,15 +51,15 @@ p AS (
 ),
 r AS (
   SELECT *,
-         concat('{', concat_ws(',',
+         CASE WHEN n % 109 = 0 THEN concat('broken line ', CAST(n AS VARCHAR)) ELSE concat('{', concat_ws(',',
             CASE WHEN id IS NOT NULL THEN concat('"id":"', id, '"') END,
-            concat('"type":"', etype, '"'),
-            concat('"actor":{"id":', CAST(user_id AS VARCHAR), ',"login":"', login, '"}'),
+            CASE WHEN etype IS NOT NULL THEN concat('"type":"', etype, '"') END,
+            concat('"actor":{"id":', CAST(user_id AS VARCHAR), CASE WHEN login IS NOT NULL THEN concat(',"login":"', login, '"') END, '}'),
             concat('"repo":{', concat_ws(',', CASE WHEN repo_id IS NOT NULL THEN concat('"id":', CAST(repo_id AS VARCHAR)) END,
-                   concat('"name":"', repo_name, '"')), '}'),
+                   CASE WHEN repo_name IS NOT NULL THEN concat('"name":"', repo_name, '"') END), '}'),
             concat('"payload":', payload),
             concat('"created_at":"', created_at, '"')
-         ), '}') AS raw_record,
+         ), '}') END AS raw_record,
          CASE WHEN id IS NULL THEN 'missing_event_id'
               WHEN etype IS NULL THEN 'missing_event_type'
               WHEN repo_id IS NULL THEN 'missing_repo_id'
@@ -71,8 +73,9 @@ quarantine AS (
 ),
 silver AS (
   SELECT id AS event_id, etype AS event_type, action AS event_action, user_id AS actor_id, login AS actor_login,
-         (user_id % 10 = 0) AS is_bot, repo_id, repo_name, repo_owner,
-         CAST(NULL AS VARCHAR) AS ref, CAST(NULL AS VARCHAR) AS ref_type,
+         CASE WHEN login IS NOT NULL THEN user_id % 10 = 0 END AS is_bot, repo_id, repo_name, repo_owner,
+         CASE WHEN etype = 'PushEvent' THEN concat('refs/heads/b', CAST(n % 4 AS VARCHAR)) END AS ref,
+         CASE WHEN etype = 'PushEvent' THEN CASE WHEN n % 4 = 0 THEN 'tag' ELSE 'branch' END END AS ref_type,
          CAST(CASE WHEN etype = 'PushEvent' THEN n % 5 END AS INTEGER) AS push_size,
          CAST(CASE WHEN etype IN ('IssuesEvent', 'PullRequestEvent') THEN n % 1000 END AS INTEGER) AS pr_or_issue_number,
          CASE WHEN etype = 'PullRequestEvent' THEN n % 2 = 0 END AS pr_merged,
@@ -301,6 +304,8 @@ SELECT count(*) AS rows_total, count(*) FILTER (WHERE is_current) AS current,
 SELECT repo_id, repo_name, count(DISTINCT actor_id) AS actors, count(*) AS activity
 FROM silver WHERE NOT is_bot GROUP BY repo_id, repo_name HAVING count(DISTINCT actor_id) >= 3
 ORDER BY actors DESC, activity DESC, repo_id ASC LIMIT 100""")
+    q["target_snapshot"] = with_all(", targets AS (" + q["enrichment_targets"].removeprefix("WITH " + EVENTS_CTE) + """)
+SELECT t.repo_id, t.repo_name, s.* EXCLUDE (repo_id, repo_name) FROM targets t JOIN snap1 s USING (repo_name)""")
     etsum = "," + _gold("event_type_summary_hourly")
     q["vw_event_type_distribution"] = with_events(etsum + """
 SELECT event_type, CAST(sum(event_count) AS BIGINT) AS events, CAST(sum(unique_actors) AS BIGINT) AS actors
@@ -405,6 +410,12 @@ FROM valid""")
     q["dq_health_ordered"] = q["vw_dq_health"] + "\nORDER BY layer"
     q["event_types_ordered"] = q["vw_event_type_distribution"] + "\nORDER BY events DESC, event_type"
     q["hours_ordered"] = q["vw_hourly_activity"] + "\nORDER BY event_hour"
+    q["lake_trending_repos"] = q["vw_trending_repos"]
+    q["lake_batch_vs_stream"] = q["vw_batch_vs_stream"]
+    three = ["event_type_summary_hourly", "hot_repos_hourly", "contributor_activity_daily"]
+    counts = ["SELECT 'bronze/events_batch' AS name, count(*) AS written, count(*) AS table_total FROM valid"]
+    counts += [f"SELECT 'gold/{t}', count(*), count(*) FROM gold_{t}" for t in three]
+    q["batch_job_metrics"] = with_events("," + ",".join(_gold(t) for t in three) + "\n" + "\nUNION ALL\n".join(counts))
     q["hour_slots"] = """
 WITH b AS (SELECT date_trunc('hour', min(ts)) AS s, date_trunc('hour', max(ts)) AS e FROM events),
 x AS (SELECT unnest(generate_series(b.s, b.e, INTERVAL 1 HOUR)) AS slot FROM b)

@@ -27,6 +27,7 @@ from eventlake.operators.silver import to_silver_events
 from eventlake.schemas import REPO_TRACKED
 from eventlake.sinks import writers
 from eventlake.sources.landing import existing_paths, hour_slots, read_landing
+from eventlake.sources.snapshots import target_snapshot
 
 
 @dataclass
@@ -103,10 +104,21 @@ def bronze_job(
         valid, bad = split_valid_quarantine(parsed)
         quarantined = writers.append_quarantine(spark, bad, lake.quarantine)
         merged = writers.merge_insert_only(spark, valid, lake.bronze)
-        dates = writers.partition_values(valid)
+        days = valid.groupBy("event_date").agg(F.count(F.lit(1)).alias("n")).collect()  # a row for each day of the batch
     finally:
         parsed.unpersist()
-    return {"quarantined": quarantined, "inserted": merged["inserted"], "dates": dates}
+    return {
+        "valid": sum(r["n"] for r in days),
+        "quarantined": quarantined,
+        "inserted": merged["inserted"],
+        "table_total": _total(spark, lake.bronze),
+        "dates": sorted(r["event_date"] for r in days),
+    }
+
+
+def _total(spark: SparkSession, path: str) -> int:
+    """Rows of a table, from the counts in its files' footers."""
+    return spark.read.parquet(path).count() if writers.table_exists(spark, path) else 0
 
 
 def silver_job(spark: SparkSession, lake: Lake, dates: list | None, source: str = "batch") -> dict:
@@ -127,9 +139,10 @@ def gold_job(spark: SparkSession, lake: Lake, dates: list | None) -> dict:
         for name, df in gold.gold_tables(cube, repos).items():
             path = lake.gold(name)
             if dates is None or not writers.table_exists(spark, path):
-                out[name] = writers.overwrite_table(df, path)
+                written = writers.overwrite_table(df, path)
             else:
-                out[name] = writers.overwrite_partitions(df, path, expected=dates)
+                written = writers.overwrite_partitions(df, path, expected=dates)
+            out[name] = {"written": written, "table_total": _total(spark, path)}
     finally:
         cube.unpersist()
     return out
@@ -242,7 +255,9 @@ def refresh_dimension(
             VERSION_KEY, F.concat_ws("|", F.col("repo_id").cast("string"), F.col("valid_from").cast("string"))
         )
         appended = writers.merge_insert_only(spark, closed, lake.repos_history, key=VERSION_KEY, partition_col=None)
-        res = writers.write_version(spark, state.filter(F.col("is_current")), lake.repos_open)
+        cols = writers.CLUSTERING["silver/repos_scd2"]
+        opened = state.filter(F.col("is_current")).repartitionByRange(*cols).sortWithinPartitions(*cols)
+        res = writers.write_version(spark, opened, lake.repos_open)
     finally:
         state.unpersist()
     stats = scd2.version_stats(read_dimension(spark, lake)).first().asDict()
@@ -267,6 +282,20 @@ def select_enrichment_targets(spark: SparkSession, lake: Lake, batch_size: int =
     return ranking.enrichment_targets(spark.read.parquet(lake.silver), batch_size)
 
 
+def enrich_dimension(spark: SparkSession, lake: Lake, records: DataFrame, effective_ts: str, batch_size: int = 100) -> dict:
+    """Refresh the dimension with the metadata of the ranked targets.
+
+    ``fetched`` of the ``targets`` had a record; the others are left as they are.
+    """
+    targets = select_enrichment_targets(spark, lake, batch_size).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        snapshot = target_snapshot(targets, records)
+        found = {"targets": targets.count(), "fetched": snapshot.count()}
+        return {**refresh_dimension(spark, lake, snapshot, effective_ts), **found}
+    finally:
+        targets.unpersist()
+
+
 GOLD_TABLES = [
     "event_type_summary_hourly",
     "hot_repos_hourly",

@@ -20,6 +20,7 @@ from eventlake.schemas import REPO_TRACKED
 from eventlake.session import apply_job_conf
 from eventlake.sources import fixtures
 from eventlake.sources.landing import slots_between
+from eventlake.sources.snapshots import target_snapshot
 
 INGEST_TS = "2024-02-01T00:00:00Z"
 SNAPSHOT_TS = {1: "2024-01-15T00:00:00Z", 2: "2024-01-16T00:00:00Z"}
@@ -164,6 +165,11 @@ def q_enrichment_targets(spark, sf):
     return ranking.enrichment_targets(silver_df(spark, sf), batch_size=100, min_actors=3)
 
 
+def q_target_snapshot(spark, sf):
+    """Metadata of the ranked repositories, found by name."""
+    return target_snapshot(q_enrichment_targets(spark, sf), fixtures.repo_records(spark, sf, 1))
+
+
 # ---- dimension -------------------------------------------------------------
 
 def _dim_out(df: DataFrame) -> DataFrame:
@@ -519,6 +525,53 @@ def q_batch_job_dimension(spark, sf):
     return _dim_out(read_dimension(spark, lake))
 
 
+def _day_lake(spark, sf, until: str | None = None):
+    """A lake after one batch run over the lines of the days up to ``until``."""
+    from eventlake.plans import jobs
+
+    apply_job_conf(spark)
+    lines = fixtures.raw_event_lines(spark, sf, with_day=True)
+    if until:
+        lines = lines.filter(F.col("day") <= F.to_date(F.lit(until)))
+    lake = _lake(spark, "day-lake")
+    raw = lines.select("value", F.lit(fixtures.FIXTURE_SOURCE_FILE).alias("source_file"))
+    return lake, jobs.batch_run(spark, lake, raw)
+
+
+def q_batch_job_metrics(spark, sf):
+    """What a run reports of its tables: rows written and rows in all."""
+    _, report = _day_lake(spark, sf)
+    bronze, made = report.metrics["bronze"], report.metrics["gold"]
+    rows = [("bronze/events_batch", bronze["valid"], bronze["table_total"])]
+    rows += [(f"gold/{name}", m["written"], m["table_total"]) for name, m in made.items()]
+    return spark.createDataFrame(rows, "name string, written long, table_total long")
+
+
+def q_lake_trending_repos(spark, sf):
+    """A serving view, in SQL, over the tables that a batch run wrote."""
+    from eventlake.plans.jobs import register_lake_views
+
+    lake, _ = _day_lake(spark, sf)
+    register_lake_views(spark, lake)
+    return spark.sql("SELECT * FROM vw_trending_repos")
+
+
+def q_lake_batch_vs_stream(spark, sf):
+    """Early days by the batch job, later days by the stream, one silver."""
+    from eventlake.plans.jobs import register_lake_views
+    from eventlake.session import scratch_dir
+    from eventlake.streaming.ingest import file_source, start_ingestion
+
+    lake, _ = _day_lake(spark, sf, BATCH_UNTIL)
+    landing = scratch_dir(spark, "later-days")
+    later = fixtures.raw_event_lines(spark, sf, with_day=True).filter(F.col("day") > F.to_date(F.lit(BATCH_UNTIL)))
+    later.select("value").write.text(landing)
+    source = file_source(spark, landing, STREAM_FILES_PER_TRIGGER)
+    start_ingestion(spark, source, lake, lake.path("_checkpoints/ingest"), available_now=True).awaitTermination()
+    register_lake_views(spark, lake)
+    return spark.sql("SELECT * FROM vw_batch_vs_stream")
+
+
 def _with_job_conf(fn: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
     """Apply the session settings the transforms assume (UTC, dynamic
     overwrite) whatever session the caller hands in."""
@@ -547,6 +600,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "scd2_version_stats": q_scd2_version_stats,
     "snapshot_normalise": q_snapshot_normalise,
     "enrichment_targets": q_enrichment_targets,
+    "target_snapshot": q_target_snapshot,
     "vw_dq_health": q_dq_health,
     "vw_event_type_distribution": q_event_type_distribution,
     "vw_trending_repos": q_trending_repos,
@@ -584,6 +638,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "batch_job_trends": q_batch_job_trends,
     "batch_job_quarantine": q_batch_job_quarantine,
     "batch_job_dimension": q_batch_job_dimension,
+    "batch_job_metrics": q_batch_job_metrics,
+    "lake_trending_repos": q_lake_trending_repos,
+    "lake_batch_vs_stream": q_lake_batch_vs_stream,
 }
 
 QUERIES = {name: _with_job_conf(fn) for name, fn in QUERIES.items()}

@@ -354,10 +354,12 @@ def compact_partition(
     return n
 
 
-# Clustering columns of each day-partitioned table.
+# Clustering columns of each table.  The dimension is clustered
+# when a version is written, the day-partitioned tables by the daily job.
 CLUSTERING = {
     "bronze/events_batch": ["repo_id"],
     "silver/events": ["repo_id", "event_type"],
+    "silver/repos_scd2": ["repo_id"],
     "gold/hot_repos_hourly": ["repo_id"],
     "gold/event_type_summary_hourly": ["event_type"],
     "gold/contributor_activity_daily": ["actor_id"],

@@ -30,6 +30,10 @@ UNKNOWN_TYPE_MOD = 101
 MISSING_REPO_ID_MOD = 89
 BAD_TIMESTAMP_MOD = 83
 DUPLICATE_MOD = 71
+NULL_LOGIN_MOD = 79
+MISSING_TYPE_MOD = 103
+MISSING_REPO_NAME_MOD = 107
+BROKEN_LINE_MOD = 109
 NEW_KEY_OFFSET = 1_000_000
 
 
@@ -50,7 +54,8 @@ def spread(df: DataFrame) -> DataFrame:
 
 def _event_type(n: Column) -> Column:
     mapped = F.create_map(*[F.lit(x) for kv in EVENT_TYPE_MAP.items() for x in kv])[F.col("event_type")]
-    return F.when(n % UNKNOWN_TYPE_MOD == 0, F.lit("SponsorshipEvent")).otherwise(mapped)
+    known = F.when(n % UNKNOWN_TYPE_MOD == 0, F.lit("SponsorshipEvent")).otherwise(mapped)
+    return F.when(n % MISSING_TYPE_MOD != 0, known)
 
 
 def event_records(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -62,7 +67,9 @@ def event_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     login = F.concat(F.lit("user"), F.col("user_id").cast("string"), F.when(F.col("user_id") % 10 == 0, "[bot]").otherwise(""))
     payload = F.struct(
         F.when(n % 3 == 0, "opened").when(n % 3 == 1, "closed").alias("action"),
-        F.when(etype == "PushEvent", n % 5).alias("size"),
+        F.when(etype == "PushEvent", F.concat(F.lit("refs/heads/b"), (n % 4).cast("string"))).alias("ref"),
+        F.when(etype == "PushEvent", F.when(n % 4 == 0, "tag").otherwise("branch")).alias("ref_type"),
+        F.when(etype == "PushEvent", n % 5 + (n % 2) * 0.5).alias("size"),
         F.when(etype == "IssuesEvent", n % 1000).alias("number"),
         F.when(
             etype == "PullRequestEvent",
@@ -75,10 +82,10 @@ def event_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     rec = F.struct(
         F.when(n % MISSING_ID_MOD != 0, n.cast("string")).alias("id"),
         etype.alias("type"),
-        F.struct(F.col("user_id").alias("id"), login.alias("login")).alias("actor"),
+        F.struct(F.col("user_id").alias("id"), F.when(n % NULL_LOGIN_MOD != 0, login).alias("login")).alias("actor"),
         F.struct(
             F.when(n % MISSING_REPO_ID_MOD != 0, k).alias("id"),
-            F.concat(F.lit("org"), (k % 10).cast("string"), F.lit("/repo"), k.cast("string")).alias("name"),
+            F.when(n % MISSING_REPO_NAME_MOD != 0, F.concat(F.lit("org"), (k % 10).cast("string"), F.lit("/repo"), k.cast("string"))).alias("name"),
         ).alias("repo"),
         payload.alias("payload"),
         created.alias("created_at"),
@@ -97,7 +104,9 @@ def raw_event_lines(spark: SparkSession, sf_dir: str, with_day: bool = False, wi
     """
     recs = event_records(spark, sf_dir)
     copies = F.when(F.col("n") % DUPLICATE_MOD == 0, 2).otherwise(1)
-    cols = [F.to_json("rec").alias("value")] + (["day"] if with_day else [])
+    broken = F.concat(F.lit("broken line "), F.col("n").cast("string"))
+    line = F.when(F.col("n") % BROKEN_LINE_MOD == 0, broken).otherwise(F.to_json("rec"))
+    cols = [line.alias("value")] + (["day"] if with_day else [])
     if with_slot:
         cols = [cols[0]] + [
             F.date_format("_ts", "yyyy").alias("year"),

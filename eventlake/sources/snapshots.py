@@ -32,3 +32,13 @@ def normalize_repo_records(records: DataFrame) -> DataFrame:
         F.coalesce(F.col("fork"), F.lit(False)).alias("is_fork"),
         F.col("size").cast("int").alias("size_kb"),
     )
+
+
+def target_snapshot(targets: DataFrame, records: DataFrame) -> DataFrame:
+    """Snapshot rows of the ranked repositories (repo_id, repo_name).
+
+    A record is found by the repository's name; the id and name of the events
+    are kept.  Targets without a record have no row.
+    """
+    found = normalize_repo_records(records)
+    return targets.select("repo_id", "repo_name").join(found.drop("repo_id"), "repo_name").select(*found.columns)

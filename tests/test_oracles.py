@@ -21,6 +21,7 @@ FAST = [
     "scd2_initial", "scd2_second_snapshot", "scd2_version_stats", "snapshot_normalise", "enrichment_targets",
     "vw_dq_health", "vw_bot_vs_human", "vw_batch_vs_stream", "trending_top20", "languages_top15",
     "topics_top20", "contributors_top20", "dq_bronze", "dq_silver", "dq_declarative", "hour_slots",
+    "target_snapshot", "batch_job_metrics", "lake_trending_repos", "lake_batch_vs_stream",
     "merge_upsert", "replace_day", "merge_insert_only", "compact_day", "stream_dedup_watermark",
 ]
 
@@ -48,8 +49,12 @@ def test_query_matches_oracle(spark, con, name):
     assert spark_types == duck_types
 
 
-def test_every_query_has_an_oracle():
-    assert set(entry.queries()) == set(entry.oracle_sql())
+def test_every_query_of_the_event_engine_has_an_oracle():
+    from eventlake.oracles import oracle_sql
+    from eventlake.queries import QUERIES
+
+    assert set(QUERIES) == set(oracle_sql())
+    assert set(QUERIES) <= set(entry.queries()) and set(entry.oracle_sql()) <= set(entry.queries())
 
 
 def test_entry_smoke(spark):
