@@ -45,12 +45,12 @@ def lines(spark, records):
 
 def event(**overrides) -> dict:
     e = {
-        "id": "1001",
-        "type": "PushEvent",
-        "actor": {"id": 42, "login": "octocat"},
-        "repo": {"id": 7, "name": "octocat/hello-world"},
-        "payload": {"size": 2, "ref": "refs/heads/main"},
-        "created_at": "2024-01-15T12:30:00Z",
+        "id": "e-1",
+        "type": "ForkEvent",
+        "actor": {"id": 11, "login": "ana"},
+        "repo": {"id": 7, "name": "lab/tools"},
+        "payload": {"action": "opened", "number": 5},
+        "created_at": "2024-01-15T09:05:00Z",
     }
     e.update(overrides)
     return e

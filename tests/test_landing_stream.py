@@ -62,3 +62,39 @@ def test_cluster_conf_sizes_partitions():
     assert int(conf["spark.sql.shuffle.partitions"]) == 8000  # 2 x cores beats 300 GB / 128 MB
     conf = cluster_conf(total_cores=100, daily_bytes=300 * 1024**3)
     assert int(conf["spark.sql.shuffle.partitions"]) == 2400
+
+
+def test_stream_source_options():
+    """What the message source asks of the reader; the connector is not here."""
+    from eventlake.streaming.ingest import kafka_source
+
+    class Reader(dict):
+        def format(self, name):
+            self["format"] = name
+            return self
+
+        def option(self, key, value):
+            self[key] = value
+            return self
+
+        def load(self):
+            return dict(self)
+
+    class Session:
+        readStream = Reader()
+
+    got = kafka_source(Session(), {"subscribe": "events"}, max_offsets=50)
+    assert got == {"format": "kafka", "startingOffsets": "earliest", "maxOffsetsPerTrigger": "50", "subscribe": "events"}
+
+
+def test_enrichment_keeps_event_ids_and_reports_targets(spark, tmp_root):
+    from eventlake.plans import jobs
+
+    lake = Lake(f"{tmp_root}/lake")
+    recs = [event(id=f"{r}-{i}", actor={"id": i, "login": f"u{i}"}, repo={"id": r, "name": f"lab/{r}"}) for r in (1, 2) for i in range(3)]
+    jobs.batch_run(spark, lake, lines(spark, recs).selectExpr("value", "'f' AS source_file"))
+    records = spark.createDataFrame([(900, "lab/1", "Go", 5, 1, 0, ["b", "a"], None, None, 3)], "id long, full_name string, language string, stargazers_count int, forks_count int, open_issues_count int, topics array<string>, description string, fork boolean, size int")
+    report = jobs.enrich_dimension(spark, lake, records, "2024-01-16T00:00:00Z")
+    assert (report["targets"], report["fetched"], report["current"]) == (2, 1, 1)
+    (row,) = jobs.read_dimension(spark, lake).collect()
+    assert (row["repo_id"], row["repo_name"], row["topics"], row["is_fork"]) == (1, "lab/1", "a,b", False)
