@@ -15,9 +15,11 @@ the output columns replace columns of the same names; empty table: no rows.
 
 from __future__ import annotations
 
+import os
 import re
 from array import array
 from collections.abc import Iterator
+from functools import cached_property, lru_cache
 
 import numpy as np
 import pandas as pd
@@ -35,6 +37,8 @@ MEMORY = 300_000
 PART = 1 << 20
 #: Segments given to the libraries in one call: their answers take about a kilobyte each.
 CALL = 8192
+#: Threads of one task's tokenizers library; each keeps memory of its own.
+THREADS = 2
 
 
 def load_model(path: str | None = None) -> bytes:
@@ -48,17 +52,25 @@ class PieceCodec:
     def __init__(self, data: bytes, memory: int = MEMORY, part: int = PART):
         import sentencepiece
 
+        os.environ.setdefault("RAYON_NUM_THREADS", str(THREADS))
+        self.data = data
         self.model = parse_model(data)
         self.by_segments = cuts_at_segments(self.model)
         plain = without_prefix(data) if self.by_segments else data
         self.tokenizer = build_tokenizer(parse_model(plain))
         self.library = sentencepiece.SentencePieceProcessor(model_proto=plain)
-        self.reader = sentencepiece.SentencePieceProcessor(model_proto=data)
         self.memory, self.part = memory, part
         self.find = re.compile(SEGMENT).findall
         self._forget()
         self._table()
 
+    @cached_property
+    def reader(self):
+        """The library, for ids that no text gives."""
+        import sentencepiece
+
+        return sentencepiece.SentencePieceProcessor(model_proto=self.data)
+
     def _forget(self) -> None:
         self.known: dict[str, int] = {}
         self.sizes, self.ids, self.same = array("q"), array("i"), array("b")
@@ -171,6 +183,12 @@ class PieceCodec:
         return out
 
 
+@lru_cache(maxsize=1)
+def codec_of(data: bytes) -> PieceCodec:
+    """One codec for all tasks that a Python worker runs in turn."""
+    return PieceCodec(data)
+
+
 def _parts(text: str, most: int) -> Iterator[str]:
     """A long text cut before blanks that follow another character."""
     at = 0
@@ -191,7 +209,7 @@ def encode_pieces(docs: DataFrame, model: bytes | None = None, text: str = "text
 
     @F.pandas_udf("ids array<int>, parity boolean, round_trip boolean")
     def run(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        codec = PieceCodec(shared.value)
+        codec = codec_of(shared.value)
         for batch in batches:
             known = batch.dropna()
             ids, parity = codec.encode(known.tolist())
@@ -209,7 +227,7 @@ def decode_pieces(rows: DataFrame, model: bytes | None = None, ids: str = "token
 
     @F.pandas_udf("string")
     def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        codec = PieceCodec(shared.value)
+        codec = codec_of(shared.value)
         for batch in batches:
             known = batch.dropna()
             yield pd.Series(codec.decode(known.tolist()), known.index, dtype=object).reindex(batch.index).astype(object).where(lambda x: x.notna(), None)
