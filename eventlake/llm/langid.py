@@ -119,7 +119,8 @@ def learn_profiles(docs: DataFrame, learn: Column, letters=None, per_language: i
     """Profiles of the languages in ``lang``; ``learn`` is a condition on ``_key``.
 
     Ids are chosen without texts, first within ``DEALT`` parts of a language and
-    then among the parts' choices, so that no task sees all rows of a language.
+    then among the parts' choices: the last task of a language sees at most
+    ``DEALT * per_language`` narrow rows (all of them where there are fewer).
     The chosen texts are counted on the executors and summed in a shuffle;
     ``length`` n-grams a language reach the driver.
     """
