@@ -24,8 +24,9 @@ def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def keep_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose language can be told."""
-    return langid.classify_language(docs).where(F.col("lang_pred") != langid.UNDETERMINED).select(*docs.columns)
+    """Documents whose language can be told; it fills a null ``lang``."""
+    told = langid.classify_language(docs).where(F.col("lang_pred") != langid.UNDETERMINED)
+    return told.withColumn("lang", F.coalesce("lang", "lang_pred")).select(*docs.columns)
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -16,8 +16,9 @@ documents never meets in one task.
 
 Tokens here are words between ASCII blanks.  Defined results: null language or
 source: the leaf ``unknown``; null or empty text: 0 tokens; names without a
-weight weigh 1; a weight of 0 gives no budget; an empty table gives no rows;
-repeated rows are documents of their own; null ids sort by an empty id.
+weight weigh 1 or, with ``by_tokens``, get the share of the family's budget that
+they have of its tokens; a weight of 0 gives no budget; an empty table gives no
+rows; repeated rows are documents of their own; null ids sort by an empty id.
 """
 
 from __future__ import annotations
@@ -51,12 +52,36 @@ class Mix:
     percent: int = 60
     max_epochs: int = 2
     seed: int = 6
+    #: Names without a weight share by their tokens; sources of a domain are known names.
+    by_tokens: bool = False
+
+
+#: The mix of the corpus; ``Mix()`` is that of op6 and its SQL.
+CORPUS = Mix(by_tokens=True)
 
 
 def _weight(name: Column, weights: dict[str, int]) -> Column:
     return reduce(lambda out, x: F.when(name == x[0], F.lit(int(x[1]))).otherwise(out), reversed(list(weights.items())), F.lit(1)).cast("long")
 
 
+def weighed(children: DataFrame, parent: list[str], name: str, weights: dict[str, int], mix: Mix) -> DataFrame:
+    """``children`` (parent columns, ``name``, capacity) with their weight.
+
+    By tokens, weights are parts of 10^12 of the family: names without a weight
+    get their share of its capacity, the others share the rest by weight.
+    """
+    given = _weight(F.col(name), weights)
+    if not mix.by_tokens:
+        return children.withColumn("weight", given)
+    listed = F.col(name).isin(*weights)
+    family = Window.partitionBy(*parent) if parent else Window.partitionBy(F.lit(0))
+    c = children.withColumns({"_g": F.when(listed, given).otherwise(0), "_l": F.when(listed & (given > 0), F.col("capacity")).otherwise(0), "_u": F.when(listed, 0).otherwise(F.col("capacity"))})
+    every = lambda x: F.sum(x).over(family).cast("double")
+    c = c.withColumns({"_part": F.when(listed, F.col("_g") * every("_l") / F.greatest(every("_g"), F.lit(1.0))).otherwise(F.col("_u").cast("double")), "_all": F.greatest(every("_l") + every("_u"), F.lit(1.0))})
+    weight = F.when(F.col("_part") > 0, F.greatest(F.lit(1).cast("long"), F.round(F.col("_part") / F.col("_all") * 1e12).cast("long"))).otherwise(0)
+    return c.withColumn("weight", weight.cast("long")).drop("_g", "_l", "_u", "_part", "_all")
+
+
 def narrow(docs: DataFrame, mix: Mix) -> DataFrame:
     """doc_id, text hash, leaf and tokens of every row."""
     source = F.coalesce("source", F.lit("unknown"))
@@ -98,14 +123,15 @@ def budgets(leaves: DataFrame, mix: Mix) -> DataFrame:
     domains = caps.groupBy("domain").agg(add, F.sum("total").alias("total"))  # one row a domain
     domains = domains.withColumn("budget", F.floor(F.sum("total").over(all_).cast(BIG) * mix.percent / 100).cast("long"))
     domains = domains.withColumn("budget", F.least("budget", F.sum("capacity").over(all_).cast("long")))
-    level = share_out(domains.withColumn("weight", _weight(F.col("domain"), {d[0]: d[1] for d in mix.domains})), [], "domain").select("domain", "budget")
+    level = share_out(weighed(domains, [], "domain", {d[0]: d[1] for d in mix.domains}, mix), [], "domain").select("domain", "budget")
     langs = caps.groupBy("domain", "lang_").agg(add).join(level, "domain")
-    level = share_out(langs.withColumn("weight", _weight(F.col("lang_"), mix.languages)), ["domain"], "lang_").select("domain", "lang_", "budget")
+    level = share_out(weighed(langs, ["domain"], "lang_", mix.languages, mix), ["domain"], "lang_").select("domain", "lang_", "budget")
     sources = caps.join(level, ["domain", "lang_"])
-    return share_out(sources.withColumn("weight", _weight(F.col("source_"), mix.sources)), ["domain", "lang_"], "source_").select(*LEAF, "total", "budget")
+    known = {s: 1 for d in mix.domains for s in d[2]} | mix.sources
+    return share_out(weighed(sources, ["domain", "lang_"], "source_", known, mix), ["domain", "lang_"], "source_").select(*LEAF, "total", "budget")
 
 
-def copies(docs: DataFrame, mix: Mix = Mix()) -> DataFrame:
+def copies(docs: DataFrame, mix: Mix = CORPUS) -> DataFrame:
     """doc_id, th, leaf, tokens and ``copies`` (0 or more) of every row."""
     rows = cut(narrow(docs, mix))
     leaves = cut(budgets(cut(rows.groupBy(*LEAF).agg(F.sum("tokens").alias("total"))), mix))
@@ -123,13 +149,13 @@ def copies(docs: DataFrame, mix: Mix = Mix()) -> DataFrame:
     return last.unionByName(other).select("doc_id", "th", *LEAF, "tokens", (F.col("whole") + F.col("picked").cast("int")).alias("copies"))
 
 
-def select_mix(docs: DataFrame, mix: Mix = Mix()) -> DataFrame:
+def select_mix(docs: DataFrame, mix: Mix = CORPUS) -> DataFrame:
     """doc_id, epoch, domain, lang, source, tokens: a row for each use."""
     used = copies(docs, mix).where("copies > 0")
     return used.select("doc_id", F.explode(F.sequence(F.lit(0).cast("long"), F.col("copies") - 1)).alias("epoch"), "domain", F.col("lang_").alias("lang"), F.col("source_").alias("source"), "tokens")
 
 
-def mixed(docs: DataFrame, mix: Mix = Mix()) -> DataFrame:
+def mixed(docs: DataFrame, mix: Mix = CORPUS) -> DataFrame:
     """The rows of ``docs``, each as many times as the mix uses it."""
     keys = {"doc_id": F.col("doc_id"), "th": F.xxhash64("text"), "lang_": F.coalesce("lang", F.lit("unknown")), "source_": F.coalesce("source", F.lit("unknown"))}
     used = copies(docs, mix).groupBy(*keys).agg(F.sum("copies").alias("_mix_uses"), F.count("*").alias("_mix_rows")).where("_mix_uses > 0")
@@ -144,7 +170,7 @@ def mixed(docs: DataFrame, mix: Mix = Mix()) -> DataFrame:
 
 
 def q_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return select_mix(table(spark, sf_dir, "documents"))
+    return select_mix(table(spark, sf_dir, "documents"), Mix())
 
 
 def _sql_weight(column: str, weights: dict[str, int]) -> str:

@@ -82,3 +82,13 @@ def test_empty_documents(spark):
     for name, stage in corpus_pipeline.STAGES:
         out = stage(spark, docs, SF)
         assert out.where(F.lit(True)).count() == 0
+
+
+def test_language_stage_fills_null_languages(spark):
+    docs = table(spark, SF, "documents").where("lang is not null")
+    some = docs.withColumn("lang", F.when(F.col("doc_id") % 3 != 0, F.col("lang")))
+    out = corpus_pipeline.keep_language(spark, some, SF)
+    assert out.columns == docs.columns and out.where("lang is null").count() == 0
+    true = {r["doc_id"]: r["lang"] for r in docs.collect()}
+    got = out.where("doc_id % 3 = 0").collect()
+    assert got and sum(true[r["doc_id"]] == r["lang"] for r in got) > 0.9 * len(got)

@@ -116,3 +116,21 @@ def test_mixed_rows_are_the_selected_ones_with_clashing_names(spark):
     got = Counter(r["doc_id"] for r in out.collect())
     assert got == Counter(r["doc_id"] for r in mixing.select_mix(docs).collect())
     assert out.where("copies <> 'k' or th <> 't' or rows <> 1").count() == 0
+
+
+def test_hot_names_without_a_weight_keep_their_share(spark):
+    rows = [(i, words(10), "en" if i % 2 else "de", f"src{i % 20}", 0) for i in range(400)]
+    for other in ([(1000 + i, words(10), "en", "new", 0) for i in range(200)], [(1000 + i, words(10), None, f"src{i % 20}", 0) for i in range(200)]):
+        docs = spark.createDataFrame(rows + other, SCHEMA)
+        used = mixing.select_mix(docs)
+        new = used.where("doc_id >= 1000").count()
+        assert 0.3 * used.count() < new < 0.37 * used.count()
+
+
+def test_shares_by_tokens_leave_weights_among_listed_names(spark):
+    rows = [(i, words(10), "en", f"src{10 * (i % 2)}", 0) for i in range(200)] + [(1000 + i, words(10), "en", "new", 0) for i in range(100)]
+    mix = mixing.Mix(domains=(("a", 3, ("src0",)), ("b", 1, ("src10",)), ("z", 0, ("src5",))), percent=60, by_tokens=True)
+    tokens = Counter()
+    for r in mixing.select_mix(spark.createDataFrame([*rows, (5000, words(50), "en", "src5", 0)], SCHEMA), mix).collect():
+        tokens[r["domain"]] += r["tokens"]
+    assert tokens["z"] == 0 and abs(tokens["a"] - 3 * tokens["b"]) <= 40 and abs(tokens["other"] - sum(tokens.values()) / 3) <= 20
