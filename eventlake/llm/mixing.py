@@ -6,7 +6,9 @@ epochs allowed; what it can't take goes to its siblings by their weights, and
 only what a whole family can't take goes to the families beside it, because a
 family's capacity is the sum of its members' capacities.  Each level is one
 window: children ordered by capacity over weight are full up to some child, and
-the rest share what is left; whole tokens, nothing lost by rounding.
+the rest share what is left; whole tokens, nothing lost by rounding.  With
+``min_epochs`` every leaf has so many epochs of its own, whatever its weight, and
+the weights share out the rest of the budget.
 
 A leaf's budget is used up in seeded epochs: whole epochs first, then a prefix
 of the next epoch's order (md5 of seed, epoch and doc_id), up to the document
@@ -54,10 +56,13 @@ class Mix:
     seed: int = 6
     #: Names without a weight share by their tokens; sources of a domain are known names.
     by_tokens: bool = False
+    #: Epochs that every document gets before the weights count.
+    min_epochs: int = 0
 
 
-#: The mix of the corpus; ``Mix()`` is that of op6 and its SQL.
-CORPUS = Mix(by_tokens=True)
+#: The mix of the corpus: each document once, half an epoch more by the weights.
+#: ``Mix()`` is that of op6 and its SQL.
+CORPUS = Mix(percent=150, by_tokens=True, min_epochs=1)
 
 
 def _weight(name: Column, weights: dict[str, int]) -> Column:
@@ -118,24 +123,24 @@ def share_out(children: DataFrame, parent: list[str], name: str) -> DataFrame:
 
 def budgets(leaves: DataFrame, mix: Mix) -> DataFrame:
     """Leaf columns, total and budget.  ``leaves``: leaf columns and total."""
-    caps = leaves.withColumn("capacity", F.col("total") * mix.max_epochs)
+    caps = leaves.withColumn("capacity", F.col("total") * (mix.max_epochs - mix.min_epochs))
     add, all_ = F.sum("capacity").alias("capacity"), Window.partitionBy(F.lit(0))
     domains = caps.groupBy("domain").agg(add, F.sum("total").alias("total"))  # one row a domain
-    domains = domains.withColumn("budget", F.floor(F.sum("total").over(all_).cast(BIG) * mix.percent / 100).cast("long"))
+    domains = domains.withColumn("budget", F.floor(F.sum("total").over(all_).cast(BIG) * max(0, mix.percent - 100 * mix.min_epochs) / 100).cast("long"))
     domains = domains.withColumn("budget", F.least("budget", F.sum("capacity").over(all_).cast("long")))
     level = share_out(weighed(domains, [], "domain", {d[0]: d[1] for d in mix.domains}, mix), [], "domain").select("domain", "budget")
     langs = caps.groupBy("domain", "lang_").agg(add).join(level, "domain")
     level = share_out(weighed(langs, ["domain"], "lang_", mix.languages, mix), ["domain"], "lang_").select("domain", "lang_", "budget")
     sources = caps.join(level, ["domain", "lang_"])
     known = {s: 1 for d in mix.domains for s in d[2]} | mix.sources
-    return share_out(weighed(sources, ["domain", "lang_"], "source_", known, mix), ["domain", "lang_"], "source_").select(*LEAF, "total", "budget")
+    return share_out(weighed(sources, ["domain", "lang_"], "source_", known, mix), ["domain", "lang_"], "source_").select(*LEAF, "total", (F.col("budget") + F.col("total") * mix.min_epochs).alias("budget"))
 
 
 def copies(docs: DataFrame, mix: Mix = CORPUS) -> DataFrame:
     """doc_id, th, leaf, tokens and ``copies`` (0 or more) of every row."""
     rows = cut(narrow(docs, mix))
     leaves = cut(budgets(cut(rows.groupBy(*LEAF).agg(F.sum("tokens").alias("total"))), mix))
-    plan = leaves.select(*LEAF, F.expr("CASE WHEN total > 0 THEN budget div total ELSE 0 END").alias("whole"), F.expr("CASE WHEN total > 0 THEN budget % total ELSE 0 END").alias("rest"))
+    plan = leaves.select(*LEAF, F.expr(f"CASE WHEN total > 0 THEN budget div total ELSE {mix.min_epochs} END").alias("whole"), F.expr("CASE WHEN total > 0 THEN budget % total ELSE 0 END").alias("rest"))
     key = F.md5(F.concat_ws(":", F.lit(str(mix.seed)), F.col("whole").cast("string"), F.coalesce(F.col("doc_id").cast("string"), F.lit(""))).cast("binary"))
     rows = cut(rows.join(plan, LEAF).withColumn("place", key).withColumn("bin", F.substring("place", 1, 3)))
     sums = rows.where("rest > 0").groupBy(*LEAF, "bin").agg(F.sum("tokens").alias("in_bin"))

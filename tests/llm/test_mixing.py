@@ -134,3 +134,17 @@ def test_shares_by_tokens_leave_weights_among_listed_names(spark):
     for r in mixing.select_mix(spark.createDataFrame([*rows, (5000, words(50), "en", "src5", 0)], SCHEMA), mix).collect():
         tokens[r["domain"]] += r["tokens"]
     assert tokens["z"] == 0 and abs(tokens["a"] - 3 * tokens["b"]) <= 40 and abs(tokens["other"] - sum(tokens.values()) / 3) <= 20
+
+
+def test_the_corpus_mix_leaves_no_document_out(spark):
+    docs = table(spark, "/root/testdata/sf0.01", "documents")
+    used = Counter(r["doc_id"] for r in mixing.mixed(docs).collect())
+    assert set(used) == {r["doc_id"] for r in docs.select("doc_id").collect()} and max(used.values()) == 2
+    rows = mixing.narrow(docs, mixing.CORPUS).select(*mixing.LEAF, "tokens").collect()
+    largest = {}  # a leaf's last document may go over its budget
+    for r in rows:
+        largest[r[:3]] = max(largest.get(r[:3], 0), r["tokens"])
+    over = sum(r["tokens"] for r in mixing.select_mix(docs).collect()) - sum(r["tokens"] for r in rows) * 150 // 100
+    assert 0 <= over <= sum(largest.values())
+    empty = spark.createDataFrame([(1, None, "en", "s1", 0), (2, "", "de", "s2", 0)], SCHEMA)
+    assert sorted(r["doc_id"] for r in mixing.mixed(empty).collect()) == [1, 2]
