@@ -111,7 +111,7 @@ def cuts_at_segments(model: PieceModel) -> bool:
     normaliser that changes nothing but blanks to markers.
     """
     whole = re.compile(SEGMENT).findall
-    inside = all(len(whole(p.replace(SPACE, " "))) == 1 for p, _, kind in model.pieces if kind in (NORMAL, USER_DEFINED))
+    inside = all(len(whole(p.replace(SPACE, " "))) == 1 for p, _, kind in model.pieces if kind in (NORMAL, USER_DEFINED, UNUSED))  # unused pieces are merged before they are taken apart
     return inside and model.escape_whitespaces and not model.remove_extra_whitespaces and not model.charsmap and (model.byte_fallback or model.model_type == BPE)
 
 

@@ -94,3 +94,10 @@ def test_table_with_nulls_and_clashing_names(spark, model):
     back = decode_pieces(encode_pieces(rows, model), model, out="again").collect()
     assert all(r["again"] == r["text"] for r in back)
     assert encode_pieces(rows.limit(0), model).count() == 0
+
+
+def test_unused_pieces_that_cross_segments_forbid_cuts(model):
+    read = pm.parse_model(model)
+    assert pm.cuts_at_segments(read)
+    read.pieces.append(("a▁b", -1.0, pm.UNUSED))
+    assert not pm.cuts_at_segments(read)
