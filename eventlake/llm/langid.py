@@ -13,7 +13,9 @@ in a seeded hash order.
 Defined results: a text that is null or has no letter is ``und`` with score 0;
 so is every text if no language could be learned.  Equal distances go to the
 smaller language name, equal counts to the smaller n-gram.  Repeated rows each
-get an answer; null ids and null languages are not learned from.
+get an answer; null ids and null languages are not learned from.  Columns of
+other names pass through, those named as the results are replaced; an empty
+table gives no rows.
 """
 
 from __future__ import annotations
@@ -26,7 +28,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .common import crc_fold, small_batches, table
+from .common import crc_fold, small_batches, spare, table
 
 PROFILE = 400
 PER_LANGUAGE = 500
@@ -93,6 +95,7 @@ class Profiles:
     """All languages' profiles as one table of n-grams by languages."""
 
     def __init__(self, by_language: dict[str, list[int]], length: int = PROFILE):
+        self.by_language = by_language
         self.names = sorted(by_language)
         self.length = length
         self.keys = np.unique(np.array([k for v in by_language.values() for k in v], np.int64))
@@ -156,16 +159,19 @@ def identify_language(docs: DataFrame, profiles: Profiles, letters=None, text: s
     spark = docs.sparkSession
     small_batches(spark)
     letters = letters or spark.sparkContext.broadcast(letter_table())
-    shared = spark.sparkContext.broadcast(profiles)  # some kilobytes a language
+    # some kilobytes a language; plain values, as a worker may not know the class
+    shared = spark.sparkContext.broadcast((profiles.by_language, profiles.length))
 
     @F.pandas_udf("lang_pred string, score double")
     def run(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        known = Profiles(*shared.value)
         for batch in batches:
-            found = [shared.value.identify(t, letters.value) for t in batch]
+            found = [known.identify(t, letters.value) for t in batch]
             yield pd.DataFrame({"lang_pred": [f[0] for f in found], "score": [f[1] for f in found]}, index=batch.index)
 
-    done = docs.withColumn("_language", run(F.col(f"`{text}`")))
-    return done.withColumns({"lang_pred": F.col("_language.lang_pred"), "score": F.col("_language.score")}).drop("_language")
+    told = spare(docs, "_language")
+    done = docs.withColumn(told, run(F.col(f"`{text}`")))
+    return done.withColumns({"lang_pred": F.col(f"{told}.lang_pred"), "score": F.col(f"{told}.score")}).drop(told)
 
 
 def classify_language(docs: DataFrame, folds: int = 4, fold: int = 2, **fit) -> DataFrame:

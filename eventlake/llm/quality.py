@@ -261,11 +261,12 @@ def train(docs: DataFrame, labels: DataFrame, recipe: Recipe, learn: Column, tex
 def score_quality(docs: DataFrame, net: ByteNet, text: str = "text", out: str = "score") -> DataFrame:
     """``docs`` with the probability that its quality label is 1."""
     small_batches(docs.sparkSession)
-    shared = docs.sparkSession.sparkContext.broadcast(net)  # a few kilobytes
+    # a few kilobytes; plain values, as a worker may not know the class
+    shared = docs.sparkSession.sparkContext.broadcast((net.embed, net.kernel, net.bias, net.out, net.base, net.chunk))
 
     @F.pandas_udf("double")
     def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        model = shared.value
+        model = ByteNet(*shared.value)
         for batch in batches:
             texts = [(t or "").encode("utf-8") for t in batch]
             order = np.argsort([len(t) for t in texts], kind="stable")  # long texts on their own

@@ -19,7 +19,7 @@ import os
 import re
 from array import array
 from collections.abc import Iterator
-from functools import cached_property, lru_cache
+from functools import cached_property
 
 import numpy as np
 import pandas as pd
@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import small_batches, table, tokenizer_file
+from .common import small_batches, spare, table, tokenizer_file
 from .piece_model import BYTE, NORMAL, SEGMENT, SPACE, UNKNOWN, USER_DEFINED, build_tokenizer, cuts_at_segments, parse_model, without_prefix
 
 MODEL = "piece_bpe_32k.model"
@@ -183,10 +183,12 @@ class PieceCodec:
         return out
 
 
-@lru_cache(maxsize=1)
-def codec_of(data: bytes) -> PieceCodec:
-    """One codec for all tasks that a Python worker runs in turn."""
-    return PieceCodec(data)
+def codec_of(shared: dict) -> PieceCodec:
+    """One codec for all tasks that a Python worker runs in turn: the worker's
+    copy of the broadcast keeps it, beside the model file."""
+    if "codec" not in shared:
+        shared["codec"] = PieceCodec(shared["model"])
+    return shared["codec"]
 
 
 def _parts(text: str, most: int) -> Iterator[str]:
@@ -205,7 +207,7 @@ def encode_pieces(docs: DataFrame, model: bytes | None = None, text: str = "text
     ``decode``, ``round_trip`` (the decoded ids are the text again)."""
     spark = docs.sparkSession
     small_batches(spark, 400)
-    shared = spark.sparkContext.broadcast(model or load_model())
+    shared = spark.sparkContext.broadcast({"model": model or load_model()})
 
     @F.pandas_udf("ids array<int>, parity boolean, round_trip boolean")
     def run(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
@@ -216,14 +218,15 @@ def encode_pieces(docs: DataFrame, model: bytes | None = None, text: str = "text
             same = [a == b for a, b in zip(codec.decode(ids), known, strict=True)] if decode else [None] * len(known)
             yield pd.DataFrame({"ids": pd.Series(ids, known.index, dtype=object), "parity": pd.Series(parity, known.index, dtype=object), "round_trip": pd.Series(same, known.index, dtype=object)}).reindex(batch.index).astype(object).where(lambda x: x.notna(), None)
 
-    done = docs.withColumn("_pieces", run(F.col(f"`{text}`")))
-    extra = {"round_trip": F.col("_pieces.round_trip")} if decode else {}
-    return done.withColumns({"token_ids": F.col("_pieces.ids"), "n_tokens": F.coalesce(F.size("_pieces.ids").cast("long"), F.lit(0).cast("long")), "parity": F.col("_pieces.parity")} | extra).drop("_pieces")
+    got = spare(docs, "_pieces")
+    done = docs.withColumn(got, run(F.col(f"`{text}`")))
+    extra = {"round_trip": F.col(f"{got}.round_trip")} if decode else {}
+    return done.withColumns({"token_ids": F.col(f"{got}.ids"), "n_tokens": F.coalesce(F.size(f"{got}.ids").cast("long"), F.lit(0).cast("long")), "parity": F.col(f"{got}.parity")} | extra).drop(got)
 
 
 def decode_pieces(rows: DataFrame, model: bytes | None = None, ids: str = "token_ids", out: str = "text") -> DataFrame:
     """``rows`` with the text of the ids (null ids: null)."""
-    shared = rows.sparkSession.sparkContext.broadcast(model or load_model())
+    shared = rows.sparkSession.sparkContext.broadcast({"model": model or load_model()})
 
     @F.pandas_udf("string")
     def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:

@@ -13,7 +13,8 @@ chain, form a group.
 
 Defined results: null and empty texts have fingerprint 0 and are linked like
 others; ``component_id`` is the smallest non-null doc_id of the group (null if
-all are null); repeated rows each get a row.
+all are null); repeated rows each get a row; an empty table gives no rows;
+other columns of the documents pass through ``one_of_each`` unchanged.
 """
 
 from __future__ import annotations
@@ -23,7 +24,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import cut, small_batches, table
+from .common import cut, small_batches, spare, table
 from .components import components
 
 SHINGLE = 3
@@ -95,9 +96,10 @@ def one_of_each(docs: DataFrame, max_bits: int = MAX_BITS, words: int = SHINGLE)
     rows = cut(fingerprints(hashed, words=words).select("doc_id", "_th", "fp"))
     first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "_th")).alias("first")
     kept = rows.join(groups(rows, max_bits).select("fp", "root"), "fp").groupBy("root").agg(first).select(F.col("first.doc_id").alias("_id"), F.col("first._th").alias("_kth"))
-    mine = docs.withColumn("_th", F.xxhash64("text"))
-    found = mine.join(kept, mine["doc_id"].eqNullSafe(kept["_id"]) & (mine["_th"] == kept["_kth"]), "left_semi")
-    return found.dropDuplicates(["doc_id", "_th"]).drop("_th")
+    th = spare(docs, "_th")
+    mine = docs.withColumn(th, F.xxhash64("text"))
+    found = mine.join(kept, mine["doc_id"].eqNullSafe(kept["_id"]) & (mine[th] == kept["_kth"]), "left_semi")
+    return found.dropDuplicates(["doc_id", th]).drop(th)
 
 
 def q_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
