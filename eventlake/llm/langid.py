@@ -181,5 +181,16 @@ def classify_language(docs: DataFrame, folds: int = 4, fold: int = 2, **fit) ->
     return identify_language(docs, profiles, letters).withColumn("held_out", F.coalesce(crc_fold(F.col("doc_id"), folds) == fold, F.lit(False)))
 
 
+def with_language(docs: DataFrame) -> DataFrame:
+    """The rows of ``docs`` that have letters; their language fills a null
+    ``lang``.  Other columns pass through, whatever their names."""
+    own = ("text", "lang")
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns if c.lower() not in own]).alias("_row"), "doc_id", *own)
+    told = classify_language(rows)
+    known = F.nullif(F.col("lang_pred"), F.lit(UNDETERMINED))
+    kept = told.where(known.isNotNull() | F.col("text").rlike(r"\p{L}"))
+    return kept.select(*[{"lang": F.coalesce("lang", known), "text": F.col("text")}.get(c.lower(), F.col(f"_row.`{c}`")).alias(c) for c in docs.columns])
+
+
 def q_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return classify_language(table(spark, sf_dir, "documents").select("doc_id", "text", "lang")).select("doc_id", "held_out", "lang_pred", "score")

@@ -30,7 +30,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import crc_fold, small_batches, table
+from .common import crc_fold, small_batches, spare, table
 
 STRIDE, WIDTH = 4, 8  # a window is two strides wide
 LAGS = range(2, 34)  # distances at which a chunk is compared with itself
@@ -285,6 +285,13 @@ def classify_quality(docs: DataFrame, labels: DataFrame, recipe: Recipe = Recipe
     return scored.withColumns({"held_out": F.coalesce(crc_fold(F.col("doc_id"), folds) == fold, F.lit(False)), "predicted": (F.col("score") >= recipe.threshold).cast("int")})
 
 
+def accepted(docs: DataFrame, labels: DataFrame, recipe: Recipe = Recipe(), folds: int = 5, fold: int = 0) -> DataFrame:
+    """The rows of ``docs`` that are accepted, their columns as they are."""
+    mark = spare(docs, "_quality")
+    net = train(docs, labels, recipe, crc_fold(F.col("_key"), folds) != fold)
+    return score_quality(docs, net, out=mark).where(F.col(mark) >= recipe.threshold).select(*docs.columns)
+
+
 def q_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     done = classify_quality(table(spark, sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "labels"))
     return done.select("doc_id", "held_out", "score", "predicted")

@@ -57,6 +57,21 @@ def test_language_stage_drops_texts_without_letters(spark):
     assert sorted(r["doc_id"] for r in corpus_pipeline.keep_language(spark, docs, SF).collect()) == [1, 5]
 
 
+def test_language_stage_keeps_a_corpus_without_languages(spark):
+    docs = spark.createDataFrame([(1, "the cat", None, "s", 7), (2, None, None, "s", 0), (3, "12", None, "s", 2), (5, "le chat", None, "s", 7)], "doc_id long, text string, lang string, source string, n_chars long")
+    assert sorted((r["doc_id"], r["lang"]) for r in corpus_pipeline.keep_language(spark, docs, SF).collect()) == [(1, None), (5, None)]
+
+
+def test_stages_pass_clashing_columns_through(spark):
+    names = ["score", "held_out", "predicted", "lang_pred", "_language", "_row", "_th", "_pieces", "_quality", "fp", "_key", "_mix_th"]
+    docs = table(spark, SF, "documents").where("doc_id < 300").withColumns({n: F.concat(F.lit(n), F.col("doc_id").cast("string")) for n in names})
+    for _, stage in corpus_pipeline.STAGES[:3]:
+        docs = stage(spark, docs, SF)
+        assert docs.columns == ["doc_id", "text", "lang", "source", "n_chars", *names]
+        rows = docs.collect()
+        assert rows and all(r[n] == f"{n}{r['doc_id']}" for r in rows for n in names)
+
+
 def test_registered_and_optional(spark, monkeypatch):
     spec = importlib.util.spec_from_file_location("entry_here", f"{ROOT}/__spark_entry__.py")
     entry = importlib.util.module_from_spec(spec)
