@@ -10,7 +10,6 @@ the last return the columns of documents.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from eventlake.llm import langid, mixing, quality, sentence_pieces, simhash
 from eventlake.llm.common import table
@@ -18,29 +17,45 @@ from eventlake.session import scratch_dir
 
 
 def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the classifier, fitted on the labels of other rows, accepts."""
-    scored = quality.classify_quality(docs, table(spark, sf_dir, "labels"))
-    return scored.where("predicted = 1").select(*docs.columns)
+    """Documents that the classifier, fitted on the labels of other rows, accepts.
+
+    Each row is judged by its own text: repeats are kept or go together, null
+    and empty texts are judged as empty ones; an empty table stays empty; other
+    columns, ``score`` among them, pass through.
+    """
+    return quality.accepted(docs, table(spark, sf_dir, "labels"))
 
 
 def keep_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose language can be told; it fills a null ``lang``."""
-    told = langid.classify_language(docs).where(F.col("lang_pred") != langid.UNDETERMINED)
-    return told.withColumn("lang", F.coalesce("lang", "lang_pred")).select(*docs.columns)
+    """Documents with letters, whose language can be told; it fills a null ``lang``.
+
+    Where no language can be learned (no row has a ``lang``) nothing can be
+    told: texts with letters stay, and a null ``lang`` stays null.  Texts that
+    are null or have no letter go; repeats are treated alike; other columns
+    pass through.
+    """
+    return langid.with_language(docs)
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near-duplicates."""
+    """One document of each group of near-duplicates: that of the smallest doc_id
+    (null last).  Null and empty texts are near-duplicates of each other; of
+    repeated rows one stays."""
     return simhash.one_of_each(docs).select(*docs.columns)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents as often as the mix of domains, languages and sources uses them."""
+    """Documents as often as the mix of domains, languages and sources uses them.
+
+    A null ``lang`` or ``source`` is a name of its own; documents without words
+    take no tokens and stay; repeated rows share their uses.
+    """
     return mixing.mixed(docs)
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token ids of the documents."""
+    """Token ids of the documents; a null text has none (null), an empty one no
+    ids; each repeated row is encoded."""
     return sentence_pieces.encode_pieces(docs).select("doc_id", "lang", "source", "n_tokens", "parity", "round_trip", "token_ids")
 
 
