@@ -179,7 +179,7 @@ def descend(steps: list[DataFrame], group: list[str], tops: DataFrame, levels: i
         if step is steps[0]:
             return last
         done = cut(child_paths(last, levels))
-        down = done.select(*group, F.explode(F.arrays_zip("nodes", "paths")).alias("x")).select(*group, F.col("x.nodes.pos").alias("block"), F.col("x.paths").alias("path"), "top")
+        down = done.select(*group, "top", F.explode(F.arrays_zip("nodes", "paths")).alias("x")).select(*group, F.col("x.nodes.pos").alias("block"), F.col("x.paths").alias("path"), "top")
     raise ValueError("a tree has one step at least")
 
 
