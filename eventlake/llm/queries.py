@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import chat, langid, licenses, manifest, mixing, quality, search, sentence_pieces, simhash, token_counts
+from . import chat, langid, licenses, manifest, mixing, negatives, quality, search, sentence_pieces, simhash, token_counts
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_sentence_pieces": sentence_pieces.q_sentence_pieces,
@@ -19,6 +19,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_language_id": langid.q_language,
     "op9_simhash": simhash.q_simhash,
     "op10_token_counts": token_counts.q_token_counts,
+    "op11_hard_negatives": negatives.q_negatives,
     "op13_manifest": manifest.q_manifest,
 }
 
@@ -30,5 +31,6 @@ def oracle_sql() -> dict[str, str]:
         "op5_hamming_top_k": search.SQL_HAMMING,
         "op6_source_mixing": mixing.sql_mixing(),
         "op7_license_scan": licenses.sql_licenses(),
-        "op13_manifest": manifest.sql_manifest(),
+        "op11_hard_negatives": negatives.q_negatives,
+    "op13_manifest": manifest.sql_manifest(),
     }
