@@ -197,5 +197,5 @@ s AS (SELECT a.vec_id AS anchor_id, b.vec_id AS other, a.label = b.label AS same
 p AS (SELECT anchor_id, other AS positive_id, score AS positive_score FROM s WHERE same QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, other) <= 5)
 SELECT anchor_id, positive_id, (row_number() OVER w)::INTEGER AS rank, other AS negative_id, positive_score, score AS negative_score
 FROM p JOIN s USING (anchor_id) WHERE NOT same AND 30 * positive_score <= 100 * score AND 100 * score <= 90 * positive_score
-QUALIFY row_number() OVER w <= 10 WINDOW w AS (PARTITION BY anchor_id, positive_id ORDER BY score DESC, other)
+WINDOW w AS (PARTITION BY anchor_id, positive_id ORDER BY score DESC, other) QUALIFY row_number() OVER w <= 10
 """

@@ -31,6 +31,6 @@ def oracle_sql() -> dict[str, str]:
         "op5_hamming_top_k": search.SQL_HAMMING,
         "op6_source_mixing": mixing.sql_mixing(),
         "op7_license_scan": licenses.sql_licenses(),
-        "op11_hard_negatives": negatives.q_negatives,
-    "op13_manifest": manifest.sql_manifest(),
+        "op11_hard_negatives": negatives.SQL_NEGATIVES,
+        "op13_manifest": manifest.sql_manifest(),
     }
