@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import chat, langid, licenses, manifest, mixing, negatives, quality, search, sentence_pieces, simhash, token_counts
+from . import chat, contamination, langid, licenses, manifest, mixing, negatives, quality, search, sentence_pieces, simhash, token_counts
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_sentence_pieces": sentence_pieces.q_sentence_pieces,
@@ -20,6 +20,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_simhash": simhash.q_simhash,
     "op10_token_counts": token_counts.q_token_counts,
     "op11_hard_negatives": negatives.q_negatives,
+    "op12_contamination": contamination.q_contamination,
     "op13_manifest": manifest.q_manifest,
 }
 
@@ -32,5 +33,6 @@ def oracle_sql() -> dict[str, str]:
         "op6_source_mixing": mixing.sql_mixing(),
         "op7_license_scan": licenses.sql_licenses(),
         "op11_hard_negatives": negatives.SQL_NEGATIVES,
+        "op12_contamination": contamination.sql_contamination(),
         "op13_manifest": manifest.sql_manifest(),
     }

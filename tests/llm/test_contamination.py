@@ -1,0 +1,122 @@
+"""FM-index against plain search, and decontamination against brute force."""
+
+import hashlib
+import re
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from eventlake.llm import contamination as c
+from eventlake.llm.common import table
+from eventlake.llm.fm_index import Bits, FMIndex, suffix_ranks
+
+
+def words_of(text):
+    return re.findall(c.WORD, c.lowered(text or ""))
+
+
+def brute(docs, items, size=10):
+    windows = {}
+    for item, text in items:
+        w = words_of(text)
+        for a in range(max(1, len(w) - size + 1) if w else 0):
+            windows.setdefault(tuple(w[a : a + size]), set()).add(item)
+    out = []
+    for doc_id, text in docs:
+        w, hit, found = words_of(text), set(), set()
+        for n in {len(x) for x in windows}:
+            for a in range(len(w) - n + 1):
+                if owners := windows.get(tuple(w[a : a + n])):
+                    hit.update(range(a, a + n))
+                    found |= owners
+        names = sorted(str(x) for x in found - {None})
+        out.append((doc_id, len(w), len(hit), len(names), hashlib.sha256(",".join(names).encode()).hexdigest(), bool(hit)))
+    return sorted(out, key=str)
+
+
+def result(docs, items, how=c.Windows()):
+    found = c.find_contamination(docs, items, how)
+    hit = F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + s["n_words"])
+    rows = found.select("doc_id", "n_words", hit.alias("h"), "items").collect()
+    return sorted([(r[0], r[1], r[2], len(r[3]), hashlib.sha256(",".join(sorted(map(str, r[3]))).encode()).hexdigest(), r[2] > 0) for r in rows], key=str)
+
+
+def test_bits():
+    flags = np.random.default_rng(1).random(1000) < 0.3
+    bits = Bits(flags)
+    at = np.arange(1001)
+    assert (bits.rank(at) == np.concatenate([[0], np.cumsum(flags)])).all() and (bits.get(at[:-1]) == flags).all() and bits.ones == flags.sum()
+
+
+@pytest.mark.parametrize("n,symbols,share", [(1, 1, 0), (50, 2, 0.1), (400, 3, 0.02), (3000, 40, 0.3), (257, 1, 0.0)])
+def test_index_finds_every_place(n, symbols, share):
+    rng = np.random.default_rng(n)
+    text = np.where(rng.random(n) < share, 0, rng.integers(1, symbols + 1, n))
+    if n == 400:
+        text = np.concatenate([text, [0], text, text[:100]])  # long repeats
+    line = np.append(text, 0) if text[-1] else text
+    ranks = suffix_ranks(line, np.bincount(line, minlength=symbols + 1))
+    breaks = np.cumsum(line == 0)
+    key = lambda i: [(1, int(x)) if x else (0, int(b)) for x, b in zip(line[i : i + (line[i:] == 0).argmax() + 1], breaks[i:])]
+    assert sorted(range(len(line)), key=key) == np.argsort(ranks).tolist()
+    index = FMIndex(text, symbols)
+    for size in (1, 2, 3, 7):
+        asked = {tuple(text[i : i + size]) for i in range(len(text) - size + 1)} | {tuple(rng.integers(1, symbols + 1, size)) for _ in range(20)}
+        asked = [a for a in asked if 0 not in a]
+        if not asked:
+            continue
+        low, high = index.search(np.array([[0] * (7 - size) + list(map(int, a)) for a in asked]), np.full(len(asked), size))
+        for a, lo, hi in zip(asked, low, high, strict=True):
+            want = [i for i in range(len(text) - size + 1) if tuple(text[i : i + size]) == a]
+            assert sorted(index.locate(np.arange(lo, hi))) == want
+
+
+@pytest.mark.parametrize("piece", [1 << 21, 7])
+def test_words_of_bytes(piece):
+    texts = ["The  Cat's 12-ñandú", "", "ÀÉ x" * 20, "a", "b", "\x7f\x00zz", "long" * 30]
+    raw = c.LOWER[np.frombuffer("".join(texts).encode(), np.uint8)]
+    edges = np.cumsum([0, *[len(t.encode()) for t in texts]])
+    found = [(bytes(raw[b:e]).decode(), h) for x in c.WordHash(1, piece).words(raw, edges[:-1]) for b, e, h in zip(*x)]
+    assert [w for w, _ in found] == [w for t in texts for w in words_of(t)]
+    by = {}
+    for w, h in found:
+        assert by.setdefault(w, h) == h
+    assert len(set(by.values())) == len(by)
+
+
+ITEMS = [(1, "one two three four five six seven eight nine ten eleven"), (2, "Short ITEM here"), (3, None), (4, ""), (5, "..."), (None, "no id phrase"), (1, "second row"), (10, "short item here"), (2, "Short ITEM here"), (7, "ÑANDÚ ñandú")]
+TEXTS = [None, "", "!!", "one two, THREE four five\nsix seven eight nine ten eleven twelve", "a short item here and short-item-here", "one two three four five six seven eight nine", "no id phrase", "second ROW second row", "x" * 5000 + " short item here", "short item", "here short item here short", "ÑandÚ ñandú", "ñandú ñandú", "two three four five six seven eight nine ten eleven " * 50, "short item here"]
+
+
+@pytest.mark.parametrize("how", [c.Windows(), c.Windows(part=5, shard=64, block=40, piece=11), c.Windows(words=3, part=16)])
+def test_odd_texts(spark, how):
+    docs = [(i, t) for i, t in enumerate(TEXTS)] + [(None, "short item here"), (3, "short item here"), (3, "short item here")]
+    frame = spark.createDataFrame(docs, "doc_id long, text string").withColumns({"id": F.lit("x"), "t": F.lit(1), "n_words": F.lit("old"), "other": F.lit(5)}).coalesce(2)
+    items = spark.createDataFrame(ITEMS, "item_id long, text string")
+    assert result(frame, items, how) == brute(docs, ITEMS, how.words)
+    assert c.find_contamination(frame, items, how).columns == ["doc_id", "text", "id", "t", "n_words", "other", "spans", "items"]
+    assert result(frame.limit(0), items, how) == []
+    assert result(frame, items.limit(0), how) == brute(docs, [], how.words)
+
+
+def test_spans_are_cut_out(spark):
+    docs = spark.createDataFrame([(1, "a ñ one two three; b One TWO three."), (2, None), (3, "clean")], "doc_id long, text string")
+    found = c.find_contamination(docs, spark.createDataFrame([(1, "one two three")], "item_id long, text string"))
+    assert [r["text"] for r in c.without_spans(found).orderBy("doc_id").collect()] == ["a ñ ; b .", None, "clean"]
+
+
+def test_long_text_in_parts(spark):
+    rng = np.random.default_rng(5)
+    text = " ".join(rng.choice(["aa", "bb", "cc", "dd"], 30000))
+    items = [(i, " ".join(rng.choice(["aa", "bb", "cc", "dd"], 6))) for i in range(200)] + [(999, text[3000:3300])]
+    docs = [(1, text), (2, text[:1000])]
+    how = c.Windows(part=1000)
+    assert result(spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string"), how) == brute(docs, items)
+
+
+def test_registered_query(spark):
+    sf = "/root/testdata/sf0.001"
+    rows = sorted([tuple(r) for r in c.q_contamination(spark, sf).collect()], key=str)
+    docs = [tuple(r) for r in table(spark, sf, "documents").select("doc_id", "text").collect()]
+    assert rows == brute(docs, [tuple(r) for r in table(spark, sf, "benchmark").select("item_id", "text").collect()]) and any(r[5] for r in rows)
