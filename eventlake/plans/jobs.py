@@ -4,12 +4,16 @@ dimension refresh, each followed by its quality gate (Q10).
 Tables live under one root (on a cluster: the shared folder the session names):
 
     {root}/bronze/events_batch     event_date-partitioned, insert-only merge
-    {root}/silver/events              event_date-partitioned, upsert merge
+    {root}/silver/events              event_date-partitioned; upserts are commits in
+                                      events.log beside it until a fold (row_log)
     {root}/gold/<table>               event_date-partitioned, partition replace
     {root}/silver/repos_scd2/open/v=N versioned open (current) rows
     {root}/silver/repos_scd2/history  closed versions, keyed append
-    {root}/ops/quarantine             keyed append
-    {root}/ops/dq_results             append
+    {root}/ops/quarantine             keyed append, by delivery
+    {root}/ops/dq_results             by run and layer
+    {root}/ops/ledger                 sinks that a stream's micro-batches finished
+
+Sketches of a table's keys stand in <table>.keys beside it (key_sketch).
 """
 
 from __future__ import annotations
@@ -26,6 +30,7 @@ from eventlake.operators.bronze import split_valid_quarantine, to_bronze
 from eventlake.operators.silver import to_silver_events
 from eventlake.schemas import REPO_TRACKED
 from eventlake.sinks import writers
+from eventlake.sinks.row_log import RowLog
 from eventlake.sources.landing import existing_paths, hour_slots, read_landing
 from eventlake.sources.snapshots import target_snapshot
 
@@ -45,11 +50,21 @@ class Lake:
     repos_history = property(lambda s: s.path("silver/repos_scd2/history"))
     quarantine = property(lambda s: s.path("ops/quarantine"))
     dq_results = property(lambda s: s.path("ops/dq_results"))
+    ledger = property(lambda s: s.path("ops/ledger"))
 
     def gold(self, name: str) -> str:
         return self.path(f"gold/{name}")
 
 
+def silver_log(spark: SparkSession, lake: Lake) -> RowLog:
+    return RowLog(spark, lake.silver)
+
+
+def read_silver(spark: SparkSession, lake: Lake, days: list | None = None) -> DataFrame:
+    """Silver events after all commits of all writers, or some days of them."""
+    return silver_log(spark, lake).read(days)
+
+
 @dataclass
 class RunReport:
     metrics: dict = field(default_factory=dict)
@@ -70,7 +85,7 @@ def run_quality(
         df, quality.layer_suite(layer), layer=layer, table=table, run_id=run_id, execution_date=execution_date or ""
     )
     results = results.persist()
-    writers.append_results(results, lake.dq_results)
+    writers.append_results(results, lake.dq_results, run_id, layer)
     try:
         quality.gate(results, layer, table)
     finally:
@@ -78,17 +93,29 @@ def run_quality(
     return results
 
 
-def check_unique(spark: SparkSession, lake: Lake, run_id: str, execution_date: str) -> None:
-    """One row per event over all days of silver; reads the key column only."""
+def rows_of_keys(spark: SparkSession, log: RowLog, keys: DataFrame) -> DataFrame:
+    """All rows that the table has of the keys, on whatever day.  Only days
+    that hold one of the keys are read."""
+    days = log.days_of_keys(keys)
+    return log.read(days).join(keys.select(log.key).distinct(), log.key, "left_semi") if days else log.read([])
+
+
+def check_unique(spark: SparkSession, lake: Lake, keys: DataFrame, run_id: str, execution_date: str) -> DataFrame:
+    """One row in silver, on whatever day, for every event of this run (Q3).
+
+    A table whose keys were unique before stays so if the keys that were written
+    are; the first run's keys are all there are.  Other events are not read.
+    """
     table = quality.LAYER_TABLE["silver"]
-    keys = spark.read.parquet(lake.silver).select("event_id")
-    results = quality.run_checks(keys, [quality.unique("event_id")], layer="silver", table=table, run_id=run_id, execution_date=execution_date)
+    mine = rows_of_keys(spark, silver_log(spark, lake), keys).select("event_id")
+    results = quality.run_checks(mine, [quality.unique("event_id")], layer="silver", table=table, run_id=run_id, execution_date=execution_date)
     results = results.persist()
-    writers.append_results(results, lake.dq_results)
+    writers.append_results(results, lake.dq_results, run_id, "silver-unique")
     try:
         quality.gate(results, "silver", table)
     finally:
         results.unpersist()
+    return results
 
 
 def bronze_job(
@@ -121,15 +148,26 @@ def _total(spark: SparkSession, path: str) -> int:
     return spark.read.parquet(path).count() if writers.table_exists(spark, path) else 0
 
 
-def silver_job(spark: SparkSession, lake: Lake, dates: list | None, source: str = "batch") -> dict:
+def silver_job(spark: SparkSession, lake: Lake, dates: list | None, source: str = "batch", run_id: str | None = None) -> dict:
+    """Upsert the days' bronze events into silver, as a commit of this run.
+
+    ``days`` are those that held one of the events before: an event that moved
+    leaves its old day, which has to be computed again with the new one.
+    """
     bronze = _scope(spark.read.parquet(lake.bronze), dates)
-    res = writers.merge_upsert(spark, to_silver_events(bronze, source), lake.silver)
-    return res
+    log = silver_log(spark, lake)
+    events = to_silver_events(bronze, source).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        days = log.days_of_keys(events.select("event_id"))
+        log.append(events, source, f"{run_id or 'run'}-{uuid.uuid4().hex[:8]}")  # a rerun is a later commit
+        return {"days": days}
+    finally:
+        events.unpersist()
 
 
 def gold_job(spark: SparkSession, lake: Lake, dates: list | None) -> dict:
     """Recompute gold for the given days (all days when None) and replace them."""
-    events = _scope(spark.read.parquet(lake.silver), dates)
+    events = read_silver(spark, lake, dates)
     repos = read_dimension(spark, lake)
     # Silver is scanned once into the activity cube; the five tables read the
     # persisted cube (recomputed from silver if an executor is lost).
@@ -167,10 +205,11 @@ def batch_run(
     dates = b["dates"]
     label = ",".join(writers.date_text(d) for d in dates)
     run_quality(spark, lake, "bronze", _scope(spark.read.parquet(lake.bronze), dates), run_id, label)
-    rep.metrics["silver"] = silver_job(spark, lake, dates)
-    dates = sorted({*dates, *rep.metrics["silver"].get("days", [])})
-    check_unique(spark, lake, run_id, label)
-    run_quality(spark, lake, "silver", _scope(spark.read.parquet(lake.silver), dates), run_id, label)
+    rep.metrics["silver"] = silver_job(spark, lake, dates, run_id=run_id)
+    keys = _scope(spark.read.parquet(lake.bronze), dates).select("event_id")
+    dates = sorted({*dates, *rep.metrics["silver"]["days"]})
+    check_unique(spark, lake, keys, run_id, label)
+    run_quality(spark, lake, "silver", read_silver(spark, lake, dates), run_id, label)
     rep.metrics["gold"] = gold_job(spark, lake, dates)
     run_quality(
         spark, lake, "gold", _scope(spark.read.parquet(lake.gold("event_type_summary_hourly")), dates), run_id, label
@@ -211,7 +250,7 @@ def dq_job(spark: SparkSession, lake: Lake, layer: str, execution_date: str | No
     results are appended to the DQ results table and a critical failure raises.
     """
     path = lake.path(quality.LAYER_TABLE.get(layer, quality.LAYER_TABLE["gold"]))
-    df = quality.scope_to_date(spark.read.parquet(path), execution_date)
+    df = quality.scope_to_date(read_silver(spark, lake) if path == lake.silver else spark.read.parquet(path), execution_date)
     return run_quality(spark, lake, layer, df, run_id or f"{layer}-{execution_date or 'all'}", execution_date)
 
 
@@ -264,22 +303,32 @@ def refresh_dimension(
     return {**res, "closed": appended["inserted"], **stats}
 
 
+def fold_silver(spark: SparkSession, lake: Lake) -> dict:
+    """Merge the writers' commits into the silver table (the daily job's part of
+    W3; no other job rewrites a day of silver)."""
+    return silver_log(spark, lake).fold()
+
+
 def maintain_day(spark: SparkSession, lake: Lake, day: str, target_file_bytes: int = writers.TARGET_FILE_BYTES) -> dict:
-    """Compact and cluster one day of every day-partitioned table.
+    """Fold silver's commits, then compact and cluster one day of every
+    day-partitioned table (W10) and put its key sketches together.
 
     Each table's day is rewritten as range-clustered, sorted files on its
     usual filter keys; tables or days that do not exist are skipped.
     """
+    fold_silver(spark, lake)
     out = {}
     for name, cols in writers.CLUSTERING.items():
         path = lake.path(name)
         if writers.path_exists(spark, f"{path}/event_date={day}"):
             out[name] = writers.compact_partition(spark, path, day, cols, target_file_bytes=target_file_bytes)
+            if writers.path_exists(spark, f"{path}.keys"):
+                writers.key_sketch(spark, path).rebuild(spark.read.parquet(path), day)
     return out
 
 
 def select_enrichment_targets(spark: SparkSession, lake: Lake, batch_size: int = 100) -> DataFrame:
-    return ranking.enrichment_targets(spark.read.parquet(lake.silver), batch_size)
+    return ranking.enrichment_targets(read_silver(spark, lake), batch_size)
 
 
 def enrich_dimension(spark: SparkSession, lake: Lake, records: DataFrame, effective_ts: str, batch_size: int = 100) -> dict:
@@ -311,10 +360,10 @@ def lake_tables(spark: SparkSession, lake: Lake) -> dict[str, DataFrame]:
     for name in GOLD_TABLES:
         if writers.table_exists(spark, lake.gold(name)):
             out[name] = spark.read.parquet(lake.gold(name))
-    if writers.table_exists(spark, lake.silver):
-        out["silver_events"] = spark.read.parquet(lake.silver)
+    if silver_log(spark, lake).exists():
+        out["silver_events"] = read_silver(spark, lake)
     if writers.path_exists(spark, lake.dq_results):
-        out["dq_results"] = spark.read.parquet(lake.dq_results)
+        out["dq_results"] = spark.read.parquet(lake.dq_results).drop(writers.DELIVERY)
     repos = read_dimension(spark, lake)
     if repos is not None:
         out["repos_scd2"] = repos

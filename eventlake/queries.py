@@ -426,8 +426,9 @@ def _stream_lake(spark, sf):
 
 
 def q_stream_available_now(spark, sf):
-    lake = _stream_lake(spark, sf)
-    return _silver_out(spark.read.parquet(lake.silver))
+    from eventlake.plans.jobs import read_silver
+
+    return _silver_out(read_silver(spark, _stream_lake(spark, sf)))
 
 
 def q_stream_bronze(spark, sf):
@@ -439,7 +440,7 @@ def q_stream_bronze(spark, sf):
 def q_stream_quarantine(spark, sf):
     """Quarantine after a replayed delivery: every bad line of both deliveries."""
     lake = _stream_lake(spark, sf)
-    return spark.read.parquet(lake.quarantine).drop("ingestion_timestamp", "record_key")
+    return spark.read.parquet(lake.quarantine).drop("ingestion_timestamp", "record_key", "delivery")
 
 
 def q_stream_dedup_watermark(spark, sf):

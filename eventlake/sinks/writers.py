@@ -5,25 +5,29 @@ is re-run after a failure:
 
 - insert-only merge (W2) anti-joins the source against the target keys and
   appends only new keys; a rerun appends nothing;
-- upsert merge (W3) rewrites only the touched ``event_date`` partitions with
-  dynamic partition overwrite; a rerun rewrites the same content;
+- upsert merge (W3) appends the rows of other days, then rewrites the
+  ``event_date`` partitions that hold a matching key with dynamic partition
+  overwrite; a rerun converges, also after a failure in between;
 - day replace (W4) overwrites one partition folder, an empty result empties it;
 - versioned overwrite (W6) writes a new ``v=N`` folder and never deletes its
   own input;
-- keyed append (W7/W8) is an insert-only merge on a key of delivery, line and
-  occurrence, so a replayed delivery adds nothing and no row is lost.
+- quarantine and result tables (W7/W8) are partitioned by delivery; a delivery
+  written again adds nothing, and no row is lost.
 
-A key is matched over the whole target, whatever day its row is in: the merge
-reads the key and day columns only.  ``key_determines_partition=True`` narrows
-that to the source's days and is right only if a key can never change its day.
-The set of days is the only thing brought to the driver.
+A key is matched over the whole target, whatever day its row is in.  Sketches of
+each day's keys (``key_sketch``) tell which days may hold a key of the source; the
+keys of those days alone are read.  ``key_determines_partition=True`` narrows that
+to the source's days and is right only if a key can never change its day.  The
+set of days is the only thing brought to the driver.
 
 One writer at a time: a table must not be merged into by two jobs at once.
+Writers that share a table append to ``row_log`` instead.
 """
 
 from __future__ import annotations
 
 import math
+import re
 import time
 from collections.abc import Sequence
 
@@ -31,44 +35,17 @@ from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-DATE_COL = "event_date"
-
-
-# ---- file-system helpers (Hadoop FS through the session) --------------------
-
-def _fs_path(spark: SparkSession, path: str):
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
+from eventlake.sinks.files import delete_path, fs_path, list_children, path_bytes, path_exists
+from eventlake.sinks.key_sketch import KeySketch
 
-
-def path_exists(spark: SparkSession, path: str) -> bool:
-    fs, p = _fs_path(spark, path)
-    return bool(fs.exists(p))
+DATE_COL = "event_date"
+DELIVERY = "delivery"
 
 
 def table_exists(spark: SparkSession, path: str) -> bool:
     """A table exists once it holds data; a write of no rows, or what a failed
     write left behind, does not make one."""
-    return any(name.startswith((f"{DATE_COL}=", "part-")) for name in list_children(spark, path))
-
-
-def delete_path(spark: SparkSession, path: str) -> None:
-    fs, p = _fs_path(spark, path)
-    if fs.exists(p):
-        fs.delete(p, True)
-
-
-def path_bytes(spark: SparkSession, path: str) -> int:
-    fs, p = _fs_path(spark, path)
-    return int(fs.getContentSummary(p).getLength()) if fs.exists(p) else 0
-
-
-def list_children(spark: SparkSession, path: str) -> list[str]:
-    fs, p = _fs_path(spark, path)
-    if not fs.exists(p):
-        return []
-    return [s.getPath().getName() for s in fs.listStatus(p)]
+    return any(name.startswith((f"{DATE_COL}=", f"{DELIVERY}=", "part-")) for name in list_children(spark, path))
 
 
 def partition_values(df: DataFrame, col: str = DATE_COL) -> list:
@@ -128,6 +105,30 @@ def create_table(df: DataFrame, path: str, partition_col: str | None = DATE_COL)
     return obs.get["rows"]
 
 
+# ---- days that hold a key (W2, W3) -------------------------------------------
+
+def key_sketch(spark: SparkSession, path: str, key: str = "event_id", partition_col: str = DATE_COL) -> KeySketch:
+    """The table's sketches, made from its keys where a table has none yet."""
+    sketch = KeySketch(spark, path, key, partition_col)
+    if not sketch.exists() and table_exists(spark, path):
+        sketch.add(spark.read.parquet(path).select(key, partition_col))
+    return sketch
+
+
+def in_days(df: DataFrame, days: list, partition_col: str) -> DataFrame:
+    return df.filter(F.col(partition_col).isin([F.lit(date_text(d)).cast("date") for d in days])) if days else df.filter(F.lit(False))
+
+
+def days_of_keys(spark: SparkSession, keys: DataFrame, path: str, key: str = "event_id", partition_col: str = DATE_COL) -> dict:
+    """``days`` of the table that hold one of the keys, and ``suspects``, the
+    days whose keys were read for that (the others of them were false)."""
+    suspects = key_sketch(spark, path, key, partition_col).suspect_days(keys)
+    if not suspects:
+        return {"days": [], "suspects": 0}
+    scope = in_days(spark.read.parquet(path), suspects, partition_col).select(key, partition_col)
+    return {"days": partition_values(scope.join(keys.select(key), key, "left_semi"), partition_col), "suspects": len(suspects)}
+
+
 # ---- W2 insert-only merge --------------------------------------------------
 
 def merge_insert_only(
@@ -138,21 +139,48 @@ def merge_insert_only(
     partition_col: str | None = DATE_COL,
     key_determines_partition: bool = False,
 ) -> dict:
-    """Append source rows whose key is nowhere in the target (re-run = no-op)."""
-    if not table_exists(spark, path):
+    """Append source rows whose key is nowhere in the target (re-run = no-op).
+
+    ``suspects`` in the result counts the days whose keys were read, ``false``
+    those of them that held none of the source's.
+    """
+    exists = table_exists(spark, path)
+    if not exists and not partition_col:
         return {"created": True, "inserted": create_table(source, path, partition_col)}
     with _Pinned(source) as source:
-        target = spark.read.parquet(path)
-        if partition_col and key_determines_partition:
-            dates = partition_values(source, partition_col)
-            target = target.filter(F.col(partition_col).isin(dates))
-        new = source.join(target.select(key), key, "left_anti")
-        new, obs = _observed(balanced(new, partition_col), "insert")
-        w = new.write.mode("append")
-        if partition_col:
-            w = w.partitionBy(partition_col)
-        w.parquet(path)
-        return {"created": False, "inserted": obs.get["rows"]}
+        if not partition_col:
+            new = source.join(spark.read.parquet(path).select(key), key, "left_anti")
+            new, obs = _observed(new, "insert")
+            new.write.mode("append").parquet(path)
+            return {"created": False, "inserted": obs.get["rows"]}
+        sketch = key_sketch(spark, path, key, partition_col)
+        if not exists:
+            sketch.add(source.select(key, partition_col))
+            return {"created": True, "inserted": create_table(source, path, partition_col), "suspects": 0, "false": 0}
+        within = [date_text(d) for d in partition_values(source, partition_col)] if key_determines_partition else None
+        suspects = sketch.suspect_days(source.select(key), within)
+        met = with_held_day(spark, source, path, key, partition_col, suspects).persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            new = met.filter(F.col(HELD).isNull()).drop(HELD)
+            inserted = sum(sketch.add(new.select(key, partition_col)).values())
+            if inserted:
+                balanced(new, partition_col).write.mode("append").partitionBy(partition_col).parquet(path)
+            hits = len(partition_values(met, HELD)) if suspects else 0
+            return {"created": False, "inserted": inserted, "suspects": len(suspects), "false": len(suspects) - hits}
+        finally:
+            met.unpersist()
+
+
+HELD = "_held_on"
+
+
+def with_held_day(spark: SparkSession, source: DataFrame, path: str, key: str, partition_col: str, suspects: list[str]) -> DataFrame:
+    """``source`` with the day on which the target has its key, looked for on the
+    suspect days only.  Without suspects no key of the target is read."""
+    if not suspects:
+        return source.withColumn(HELD, F.lit(None).cast("date"))
+    target = in_days(spark.read.parquet(path), suspects, partition_col).select(F.col(key).alias("_held"), F.col(partition_col).alias(HELD))
+    return source.join(target, source[key] == target["_held"], "left").drop("_held")
 
 
 # ---- W3 upsert merge -------------------------------------------------------
@@ -170,28 +198,38 @@ def merge_upsert(
     Only days that hold a matching key are rewritten (dynamic partition
     overwrite of target-minus-matches plus the source rows of those days);
     source rows for every other day are new keys and are appended.  In steady
-    state (no replays) an upsert is a key scan plus an append.
+    state (no replays) an upsert is a look at the sketches plus an append.
 
     Matching keys are searched in the whole target (rows may move between
     days); a day left empty by a move is removed.  ``days`` in the result lists
     the days that were rewritten, so that what depends on them can be redone.
+
+    Rows of days without a match are appended first: a run that ends in between
+    leaves a moved row on both days, never on neither, and the rerun finds both.
     """
-    if not table_exists(spark, path):
-        return {"created": True, "written": create_table(source, path, partition_col)}
     with _Pinned(source) as source:
+        if not table_exists(spark, path):
+            KeySketch(spark, path, key, partition_col).add(source.select(key, partition_col))
+            return {"created": True, "written": create_table(source, path, partition_col)}
         return _upsert(spark, source, path, key, partition_col, key_determines_partition)
 
 
 def _upsert(spark, source, path, key, partition_col, key_determines_partition) -> dict:
     target = spark.read.parquet(path)
     cols = target.columns
-    scope = target
-    if key_determines_partition:
-        scope = target.filter(F.col(partition_col).isin(partition_values(source, partition_col)))
-    hits = scope.select(key, partition_col).join(source.select(key), key, "left_semi")
-    hit_days = partition_values(hits, partition_col)
-    in_hit_days = F.col(partition_col).isin(hit_days)
-    rewritten = appended = 0
+    sketch = key_sketch(spark, path, key, partition_col)
+    within = [date_text(d) for d in partition_values(source, partition_col)] if key_determines_partition else None
+    suspects = sketch.suspect_days(source.select(key), within)
+    hit_days = []
+    if suspects:
+        scope = in_days(target, suspects, partition_col).select(key, partition_col)
+        hit_days = partition_values(scope.join(source.select(key), key, "left_semi"), partition_col)
+    by_day = sketch.add(source.select(key, partition_col))
+    in_hit_days = F.col(partition_col).isin(hit_days) if hit_days else F.lit(False)
+    appended, rewritten = sum(n for d, n in by_day.items() if d not in {date_text(h) for h in hit_days}), 0
+    if appended:
+        rest = balanced(source.filter(~in_hit_days).select(*cols), partition_col)
+        rest.write.mode("append").partitionBy(partition_col).parquet(path)
     if hit_days:
         kept = target.filter(in_hit_days).join(source.select(key), key, "left_anti")
         out = balanced(kept.unionByName(source.filter(in_hit_days).select(*cols)), partition_col)
@@ -204,11 +242,7 @@ def _upsert(spark, source, path, key, partition_col, key_determines_partition) -
         for v in hit_days:
             if date_text(v) not in written:
                 delete_path(spark, f"{path}/{partition_col}={date_text(v)}")
-    rest = source.filter(~in_hit_days) if hit_days else source
-    rest, obs = _observed(balanced(rest.select(*cols), partition_col), "upsert_append")
-    rest.write.mode("append").partitionBy(partition_col).parquet(path)
-    appended = obs.get["rows"]
-    return {"created": False, "rewritten": rewritten, "appended": appended, "partitions": len(hit_days), "days": hit_days}
+    return {"created": False, "rewritten": rewritten, "appended": appended, "partitions": len(hit_days), "days": hit_days, "suspects": len(suspects)}
 
 
 # ---- W4 replace one partition, W5 full overwrite ----------------------------
@@ -288,9 +322,9 @@ def write_version(spark: SparkSession, df: DataFrame, root: str, retain_hours: f
     n = max(taken, default=0) + 1
     df, obs = _observed(df, "version")
     df.write.mode("errorifexists").parquet(f"{root}/v={n}")
-    fs, _ = _fs_path(spark, root)
+    fs, _ = fs_path(spark, root)
     for old, newer in zip(versions, versions[1:], strict=False):
-        replaced = fs.getFileStatus(_fs_path(spark, f"{root}/v={newer}/_SUCCESS")[1]).getModificationTime() / 1000
+        replaced = fs.getFileStatus(fs_path(spark, f"{root}/v={newer}/_SUCCESS")[1]).getModificationTime() / 1000
         if time.time() - replaced >= retain_hours * 3600:
             delete_path(spark, f"{root}/v={old}")
     return {"version": n, "rows": obs.get["rows"]}
@@ -305,23 +339,32 @@ def with_content_key(df: DataFrame, cols: Sequence[str], out: str = "record_key"
 def append_quarantine(spark: SparkSession, quarantine: DataFrame, path: str, delivery: str = "") -> int:
     """Append bad rows (W7), each as often as it was delivered.
 
-    A row's key is its delivery (a micro-batch; files are named in the row),
-    its source file, its line and the number of its occurrence, so writing the
-    same delivery again adds nothing.  Equal lines are counted before they are
-    numbered: a line that makes up much of a file is one row in the shuffle.
+    The table is partitioned by delivery: a micro-batch, or the source file where
+    no delivery is named.  Within one, a row's key is its file, its line and the
+    number of its occurrence, so writing the same delivery again adds nothing, and
+    only the deliveries at hand are looked at.  Equal lines are counted before they
+    are numbered: a line that makes up much of a file is one row in the shuffle.
     """
     counted = quarantine.groupBy(*quarantine.columns).agg(F.count(F.lit(1)).alias("_n"))
     each = counted.withColumn("_i", F.explode(F.sequence(F.lit(1).cast("long"), F.col("_n"))))
-    each = each.withColumn("_d", F.lit(delivery))
-    keyed = with_content_key(each, ["_d", "source_file", "raw_record", "_i"]).drop("_n", "_i", "_d")
-    return merge_insert_only(spark, keyed, path, key="record_key", partition_col=None)["inserted"]
-
-
-def append_results(df: DataFrame, path: str) -> int:
-    """Append DQ result rows."""
-    df, obs = _observed(df, "dq_results")
-    df.write.mode("append").parquet(path)
-    return obs.get["rows"]
+    name = F.lit(delivery) if delivery else F.md5(F.coalesce("source_file", F.lit("")).cast("binary"))
+    keyed = with_content_key(each, ["source_file", "raw_record", "_i"]).withColumn(DELIVERY, name).drop("_n", "_i")
+    with _Pinned(keyed) as keyed:
+        at_hand = [delivery] if delivery else partition_values(keyed, DELIVERY)
+        new = keyed
+        if table_exists(spark, path):
+            held = spark.read.parquet(path).filter(F.col(DELIVERY).isin(at_hand)).select("record_key", F.col(DELIVERY).cast("string"))
+            new = keyed.join(held, ["record_key", DELIVERY], "left_anti").select(*keyed.columns)
+        rows = new.count()
+        if rows:
+            balanced(new, DELIVERY).write.mode("append").partitionBy(DELIVERY).parquet(path)
+        return rows
+
+
+def append_results(df: DataFrame, path: str, run_id: str, part: str) -> None:
+    """DQ result rows (W8) of one part of a run; the same run again replaces them."""
+    name = re.sub(r"[^A-Za-z0-9_.-]", "-", f"{run_id}-{part}")
+    df.write.mode("overwrite").parquet(f"{path}/{DELIVERY}={name}")
 
 
 # ---- W10 compaction ----------------------------------------------------------

@@ -24,14 +24,14 @@ def test_backfill_end_to_end_and_rerun(spark, tmp_root):
         jobs.refresh_dimension(spark, lake, fixtures.repo_snapshot(spark, SMOKE_SF, i), queries.SNAPSHOT_TS[i])
     rep = jobs.backfill(spark, lake, landing, "2024-01-01 00:00:00", "2024-01-31 23:00:00", run_id="r1")
     assert rep.metrics["bronze"]["inserted"] > 0
-    silver = spark.read.parquet(lake.silver)
+    silver = jobs.read_silver(spark, lake)
     expected = queries.silver_df(spark, SMOKE_SF)
     assert silver.count() == expected.count()
     # rerun of the same window converges
     rep2 = jobs.backfill(spark, lake, landing, "2024-01-01 00:00:00", "2024-01-31 23:00:00", run_id="r2")
     assert rep2.metrics["bronze"]["inserted"] == 0
     assert rep2.metrics["bronze"]["quarantined"] == 0
-    assert spark.read.parquet(lake.silver).count() == expected.count()
+    assert jobs.read_silver(spark, lake).count() == expected.count()
     gold = {p: spark.read.parquet(lake.gold(p)).count() for p in
             ["event_type_summary_hourly", "hot_repos_hourly", "contributor_activity_daily",
              "language_trends_daily", "topic_trends_daily"]}

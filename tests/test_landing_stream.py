@@ -2,7 +2,7 @@ from __future__ import annotations
 
 from conftest import event, lines
 
-from eventlake.plans.jobs import Lake
+from eventlake.plans.jobs import Lake, read_silver
 from eventlake.sources.landing import decode_stream_value, existing_paths, hour_slots, read_landing, slot_paths
 from eventlake.streaming.ingest import file_source, start_ingestion
 
@@ -38,7 +38,7 @@ def test_processing_time_trigger(spark, tmp_root):
         q.processAllAvailable()
     finally:
         q.stop()
-    got = sorted(r["event_id"] for r in spark.read.parquet(lake.silver).collect())
+    got = sorted(r["event_id"] for r in read_silver(spark, lake).collect())
     assert got == ["p1", "p2"]
 
 

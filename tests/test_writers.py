@@ -90,7 +90,7 @@ def test_an_empty_first_batch_and_a_failed_create_do_not_block(spark, tmp_root):
     path = f"{tmp_root}/bronze"
     assert w.merge_insert_only(spark, _df(spark, []), path)["inserted"] == 0
     assert not w.table_exists(spark, path)
-    fs, p = w._fs_path(spark, f"{path}/_temporary/0/task_left_over")
+    fs, p = w.fs_path(spark, f"{path}/_temporary/0/task_left_over")
     fs.mkdirs(p)
     assert w.merge_upsert(spark, _df(spark, [("a", 1, "2024-01-01")]), path)["created"]
     assert w.merge_insert_only(spark, _df(spark, [("a", 1, "2024-01-01"), ("b", 1, "2024-01-02")]), path)["inserted"] == 1
@@ -99,7 +99,7 @@ def test_an_empty_first_batch_and_a_failed_create_do_not_block(spark, tmp_root):
 def test_a_failed_version_does_not_block_the_next(spark, tmp_root):
     root = f"{tmp_root}/dim"
     w.write_version(spark, spark.createDataFrame([(1,)], "k long"), root)
-    fs, p = w._fs_path(spark, f"{root}/v=2/_temporary/0")
+    fs, p = w.fs_path(spark, f"{root}/v=2/_temporary/0")
     fs.mkdirs(p)
     assert w.write_version(spark, spark.createDataFrame([(2,)], "k long"), root)["version"] == 3
     assert [r["k"] for r in w.read_versioned(spark, root).collect()] == [2]
