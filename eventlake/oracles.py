@@ -381,6 +381,36 @@ SELECT event_id, event_type, event_action, actor_id, actor_login, is_bot, repo_i
 FROM silver""")
     q["merge_upsert"] = with_events(silver_select(
         "source_file", "CASE WHEN event_date >= DATE '2024-01-11' THEN 'stream' ELSE 'batch' END"))
+    q["merge_insert_bloom_days"] = q["merge_insert_moved_day"]
+    third = "event_date >= DATE '2024-01-18' OR event_date < DATE '2024-01-11'"
+    q["upsert_two_writers"] = q["merge_upsert_moved_day"].replace(
+        "ELSE 'batch' END AS source", f"WHEN {third} THEN 'batch' ELSE 'stream' END AS source"
+    )
+    q["dq_unique_incremental"] = with_events(f"""
+SELECT 'unique:event_id' AS check_name, 'unique' AS check_type, 'critical' AS severity, count(*) = 0 AS passed,
+       concat(CAST(count(*) AS VARCHAR), ' dups') AS observed, '0 dups' AS expected, 'silver' AS layer
+FROM silver WHERE event_date > DATE '2024-01-15' AND {again}""")
+    set_keys = {
+        "event_type_summary_hourly": ["event_date", "event_hour", "event_type"],
+        "hot_repos_hourly": ["event_date", "event_hour", "repo_id", "repo_name", "repo_owner"],
+        "contributor_activity_daily": ["event_date", "actor_id", "actor_login", "is_bot"],
+    }
+    set_counts = {
+        "event_type_summary_hourly": ["event_count", "unique_actors", "unique_repos"],
+        "hot_repos_hourly": ["event_count", "forks", "issues", "pull_requests", "pushes", "stars", "unique_actors"],
+        "contributor_activity_daily": ["issue_events", "issues_opened", "pr_events", "prs_opened", "push_events", "repos_touched", "stars_given", "total_events"],
+    }
+    all_keys = list(dict.fromkeys(k for ks in set_keys.values() for k in ks))
+    q["gold_grouping_sets"] = with_events("," + ",".join(_gold(t) for t in set_keys) + "\n" + "\nUNION ALL BY NAME\n".join(
+        f"SELECT '{t}' AS table_name, {', '.join(k if k in set_keys[t] else f'NULL AS {k}' for k in all_keys)}, "
+        f"concat_ws(',', {', '.join(f"concat('{c}=', {c})" for c in set_counts[t])}) AS counts FROM gold_{t}"
+        for t in set_keys
+    ))
+    q["contributors_rollup"] = with_events("," + _gold("hot_repos_hourly") + """
+SELECT h.repo_name, CAST(sum(h.event_count) AS BIGINT) AS events, CAST(sum(h.unique_actors) AS BIGINT) AS contributors_summed,
+       any_value(e.n) AS contributors_exact, true AS within_error
+FROM gold_hot_repos_hourly h JOIN (SELECT repo_name, count(DISTINCT actor_id) AS n FROM silver GROUP BY repo_name) e USING (repo_name)
+GROUP BY h.repo_name""")
     q["replace_day"] = with_events("""
 SELECT event_date, event_hour, event_type, count(*) AS event_count,
        count(DISTINCT actor_id) AS unique_actors, count(DISTINCT repo_id) AS unique_repos
@@ -388,11 +418,23 @@ FROM silver
 WHERE NOT (event_date = DATE '2024-01-10' AND event_type = 'PushEvent') AND event_date <> DATE '2024-01-11'
 GROUP BY event_date, event_hour, event_type""")
     q["compact_day"] = with_events(silver_select("source_file", "source"))
+    q["compact_day_zorder"] = q["compact_day"]
     q["stream_available_now"] = with_events(silver_select("'stream'", "'stream'"))
     q["stream_dedup_watermark"] = with_events("""
 SELECT id AS event_id, etype AS event_type, user_id AS actor_id, login AS actor_login, repo_id, repo_name, payload,
        strftime(event_ts, '%Y-%m-%d %H:%M:%S') AS event_timestamp, 'stream' AS source_file
 FROM r WHERE id IS NOT NULL""")
+    q["stream_replayed_batch"] = q["stream_bad_first_batch"] = q["stream_offsets"] = q["stream_available_now"]
+    # more than 5000 other ids lie between the first days and their second coming
+    q["stream_recent_set"] = with_events("""
+SELECT id AS event_id, etype AS event_type, repo_id FROM r JOIN (VALUES (1), (2)) AS c(i)
+  ON c.i = 1 OR (CAST(ts AS DATE) <= DATE '2024-01-03'
+                 AND (SELECT count(DISTINCT id) FROM r WHERE CAST(ts AS DATE) > DATE '2024-01-03') > 5000)
+WHERE id IS NOT NULL""")
+    q["batch_job_moved_day"] = with_events(f""",
+moved AS (SELECT * REPLACE (CAST(event_date + CASE WHEN {again} THEN 1 ELSE 0 END AS DATE) AS event_date) FROM silver)"""
+        + GOLD_SQL["event_type_summary_hourly"].replace("FROM silver", "FROM moved"))
+    q["batch_job_hot_hour"] = q["event_type_summary_hourly"]
     q["batch_job_gold"] = q["event_type_summary_hourly"]
     q["batch_job_trends"] = q["language_trends_daily"]
     q["batch_job_dimension"] = q["scd2_second_snapshot"]

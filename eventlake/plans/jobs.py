@@ -31,7 +31,7 @@ from eventlake.operators.silver import to_silver_events
 from eventlake.schemas import REPO_TRACKED
 from eventlake.sinks import writers
 from eventlake.sinks.row_log import RowLog
-from eventlake.sources.landing import existing_paths, hour_slots, read_landing
+from eventlake.sources.landing import existing_paths, hour_slots, spread_landing
 from eventlake.sources.snapshots import target_snapshot
 
 
@@ -169,12 +169,12 @@ def gold_job(spark: SparkSession, lake: Lake, dates: list | None) -> dict:
     """Recompute gold for the given days (all days when None) and replace them."""
     events = read_silver(spark, lake, dates)
     repos = read_dimension(spark, lake)
-    # Silver is scanned once into the activity cube; the five tables read the
-    # persisted cube (recomputed from silver if an executor is lost).
-    cube = gold.activity_cube(events).persist(StorageLevel.MEMORY_AND_DISK)
+    # One scan of silver gives every grain; the five tables are cut from it
+    # (computed from silver again if an executor is lost).
+    sets = gold.gold_sets(events).persist(StorageLevel.MEMORY_AND_DISK)
     try:
         out = {}
-        for name, df in gold.gold_tables(cube, repos).items():
+        for name, df in gold.gold_tables(sets, repos).items():
             path = lake.gold(name)
             if dates is None or not writers.table_exists(spark, path):
                 written = writers.overwrite_table(df, path)
@@ -182,7 +182,7 @@ def gold_job(spark: SparkSession, lake: Lake, dates: list | None) -> dict:
                 written = writers.overwrite_partitions(df, path, expected=dates)
             out[name] = {"written": written, "table_total": _total(spark, path)}
     finally:
-        cube.unpersist()
+        sets.unpersist()
     return out
 
 
@@ -235,7 +235,7 @@ def backfill(
     folders = existing_paths(spark, [f"{landing_root.rstrip('/')}/{f}" for f in wanted])
     if not folders:
         return RunReport()
-    return batch_run(spark, lake, read_landing(spark, folders), run_id, ingestion_ts)
+    return batch_run(spark, lake, spread_landing(spark, folders), run_id, ingestion_ts)
 
 
 def run_day(spark: SparkSession, lake: Lake, landing_root: str, day: str, run_id: str | None = None) -> RunReport:
@@ -255,10 +255,8 @@ def dq_job(spark: SparkSession, lake: Lake, layer: str, execution_date: str | No
 
 
 def ingest_files(spark: SparkSession, lake: Lake, paths, run_id: str | None = None) -> RunReport:
-    """The hourly run: a gzip file is read by one task, so its lines are spread
-    over all cores before they are parsed."""
-    raw = read_landing(spark, paths).repartition(spark.sparkContext.defaultParallelism)
-    return batch_run(spark, lake, raw, run_id)
+    """The hourly run, over landing files."""
+    return batch_run(spark, lake, spread_landing(spark, paths), run_id)
 
 
 VERSION_KEY = "version_key"

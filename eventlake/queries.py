@@ -355,6 +355,91 @@ def q_merge_upsert_moved_day(spark, sf):
     return _silver_out(spark.read.parquet(lake.silver))
 
 
+def q_merge_insert_bloom_days(spark, sf):
+    """Early days, then the later ones (all new: of the days before, none but
+    those that the key sketches name falsely are looked at), then known events
+    under other dates and the later days again, of which none is inserted (W2)."""
+    from eventlake.sinks import writers
+
+    lake = _lake(spark, "merge-bloom")
+    valid = bronze_valid_df(spark, sf)
+    early = F.col("event_date") <= F.to_date(F.lit(BATCH_UNTIL))
+    writers.merge_insert_only(spark, valid.filter(early), lake.bronze)
+    writers.merge_insert_only(spark, valid.filter(~early), lake.bronze)
+    writers.merge_insert_only(spark, moved(valid), lake.bronze)
+    writers.merge_insert_only(spark, valid.filter(~early), lake.bronze)
+    return ts_text(spark.read.parquet(lake.bronze).drop("ingestion_timestamp"), "event_timestamp")
+
+
+def two_writers(spark, sf, log):
+    """Batch and stream upsert into one silver table in turn, with a fold in
+    between; the last commits are not folded."""
+    valid = bronze_valid_df(spark, sf)
+    d = F.col("event_date")
+    log.append(to_silver_events(valid.filter(d <= F.to_date(F.lit(UPSERT_FIRST_UNTIL))), "batch"), "batch", "1")
+    log.append(to_silver_events(valid.filter(d >= F.to_date(F.lit(UPSERT_SECOND_FROM))), "stream"), "stream", "1")
+    log.fold()
+    log.append(to_silver_events(valid.filter(d >= F.to_date(F.lit(UPSERT_THIRD_FROM))), "batch"), "batch", "2")
+    log.append(to_silver_events(moved(valid), "stream"), "stream", "2")
+    log.append(to_silver_events(moved(valid), "stream"), "stream", "2")  # the same batch again
+
+
+UPSERT_THIRD_FROM = "2024-01-18"
+
+
+def q_upsert_two_writers(spark, sf):
+    """Every event as its last writer left it, whoever that was."""
+    from eventlake.plans.jobs import silver_log
+
+    log = silver_log(spark, _lake(spark, "two-writers"))
+    two_writers(spark, sf, log)
+    return _silver_out(log.read())
+
+
+def q_dq_unique_incremental(spark, sf):
+    """Uniqueness of a batch's keys in the whole table (Q3): a table in which
+    every 50th event or so was written a second time, on another day; the batch
+    checks the events of the later days."""
+    from eventlake.plans.jobs import rows_of_keys, silver_log
+    from eventlake.sinks import writers
+
+    lake = _lake(spark, "unique")
+    valid = bronze_valid_df(spark, sf)
+    rows = to_silver_events(valid, "batch").unionByName(to_silver_events(moved(valid), "batch"))
+    writers.create_table(rows, lake.silver)
+    batch = valid.filter(F.col("event_date") > F.to_date(F.lit(BATCH_UNTIL))).select("event_id")
+    mine = rows_of_keys(spark, silver_log(spark, lake), batch)
+    return quality.run_checks(mine, [quality.unique("event_id")], layer="silver", table=quality.LAYER_TABLE["silver"]).select(*DQ_OUT)
+
+
+def q_gold_grouping_sets(spark, sf):
+    """The three event tables out of one aggregate over one scan, side by side."""
+    sets = gold.gold_sets(silver_df(spark, sf))
+    keys = list(dict.fromkeys(k for g in gold.GRAINS.values() for k in g.keys))
+    kinds, out = {f.name: f.dataType for f in sets.schema.fields}, None
+    for name, grain in gold.GRAINS.items():
+        table = gold.from_sets(sets, grain)
+        counts = F.concat_ws(",", *[F.concat(F.lit(f"{c}="), F.col(c).cast("string")) for c in sorted(set(table.columns) - set(keys))])
+        row = [F.col(k) if k in grain.keys else F.lit(None).cast(kinds[k]).alias(k) for k in keys]
+        shown = table.select(F.lit(name).alias("table_name"), *row, counts.alias("counts"))
+        out = shown if out is None else out.unionByName(shown)
+    return out
+
+
+def q_contributors_rollup(spark, sf):
+    """Hourly sketches of a repository's actors, stored and added up over all
+    hours, against the exact number: within 5 per cent, three standard errors (A12, A20)."""
+    from eventlake.session import scratch_dir
+
+    events = silver_df(spark, sf)
+    path = scratch_dir(spark, "actor-sketches")
+    gold.hot_repos_sketches(events).write.partitionBy("event_date").parquet(path)
+    rolled = serving.contributors_rollup(spark.read.parquet(path))
+    exact = events.groupBy("repo_name").agg(F.count_distinct("actor_id").alias("contributors_exact"))
+    near = F.abs(F.col("contributors") - F.col("contributors_exact")) <= 0.05 * F.col("contributors_exact")
+    return rolled.join(exact, "repo_name").select("repo_name", "events", "contributors_summed", "contributors_exact", near.alias("within_error"))
+
+
 CORRECTED_DAY = "2024-01-10"
 EMPTIED_DAY = "2024-01-11"
 
@@ -392,6 +477,21 @@ def q_compact_day(spark, sf):
     return _silver_out(spark.read.parquet(lake.silver))
 
 
+def q_compact_day_zorder(spark, sf):
+    """Every day of silver rewritten along a Z-order curve of repository and
+    event type, several files a day; content unchanged (W10)."""
+    from eventlake.sinks import writers
+
+    lake = _lake(spark, "zorder")
+    writers.create_table(silver_df(spark, sf), lake.silver)
+    for day in writers.partition_values(spark.read.parquet(lake.silver)):
+        writers.compact_partition(spark, lake.silver, day, writers.CLUSTERING["silver/events"], target_file_bytes=ZORDER_FILE_BYTES)
+    return _silver_out(spark.read.parquet(lake.silver))
+
+
+ZORDER_FILE_BYTES = 64 * 1024
+
+
 # ---- streaming ---------------------------------------------------------------
 
 STREAM_FILES_PER_TRIGGER = 3
@@ -443,6 +543,121 @@ def q_stream_quarantine(spark, sf):
     return spark.read.parquet(lake.quarantine).drop("ingestion_timestamp", "record_key", "delivery")
 
 
+class Interrupted(Exception):
+    """A failure put in on purpose."""
+
+
+def drain(spark, source, lake, checkpoint, before=None) -> int:
+    """Run the ingestion to the end, starting again after each failure put in;
+    how often that was."""
+    from pyspark.errors import StreamingQueryException
+
+    from eventlake.streaming.ingest import start_ingestion
+
+    failures = 0
+    while True:
+        try:
+            start_ingestion(spark, source, lake, checkpoint, before=before).awaitTermination()
+            return failures
+        except StreamingQueryException as e:
+            if Interrupted.__name__ not in str(e):
+                raise
+            failures += 1
+
+
+def replayed_lake(spark, sf):
+    """A stream that fails once ahead of each sink, in different batches."""
+    from eventlake.streaming.ingest import SINKS, file_source
+
+    apply_job_conf(spark)
+    lake = _lake(spark, "replayed")
+    source = file_source(spark, stream_landing(spark, sf), STREAM_FILES_PER_TRIGGER)
+    due = {(i, sink) for i, sink in enumerate(SINKS)}
+
+    def fail_once(sink: str, batch_id: int) -> None:
+        if (batch_id, sink) in due:
+            due.discard((batch_id, sink))
+            raise Interrupted(f"ahead of {sink}")
+
+    failures = drain(spark, source, lake, lake.path("_checkpoints/ingest"), fail_once)
+    return lake, failures
+
+
+def q_stream_replayed_batch(spark, sf):
+    """Silver of a stream whose batches were cut off between sinks (ST1, ST3)."""
+    from eventlake.plans.jobs import read_silver
+
+    return _silver_out(read_silver(spark, replayed_lake(spark, sf)[0]))
+
+
+def q_stream_bad_first_batch(spark, sf):
+    """A stream whose first batch has bad lines only (ST1)."""
+    from eventlake.plans.jobs import read_silver
+    from eventlake.session import scratch_dir
+    from eventlake.streaming.ingest import file_source
+
+    lake, landing = _lake(spark, "bad-first"), scratch_dir(spark, "bad-first-landing")
+    lines = fixtures.raw_event_lines(spark, sf).select("value")
+    bad = to_bronze(lines, "x").where("_dq_reason is not null").select(F.col("_raw").alias("value"))
+    bad.coalesce(1).write.text(f"{landing}/part=1")
+    lines.write.text(f"{landing}/part=2")
+    drain(spark, file_source(spark, f"{landing}/*", 1), lake, lake.path("_checkpoints/ingest"))
+    return _silver_out(read_silver(spark, lake))
+
+
+def recent_landing(spark, sf) -> str:
+    """Files of the first days, then of the others, then the first days again."""
+    from eventlake.session import scratch_dir
+
+    root = scratch_dir(spark, "recent-landing")
+    lines = fixtures.raw_event_lines(spark, sf, with_day=True)
+    first = F.col("day") <= F.to_date(F.lit(REPLAY_UNTIL))
+    for name, rows in (("a", lines.filter(first)), ("b", lines.filter(~first)), ("c", lines.filter(first))):
+        rows.hint("rebalance", "day").write.partitionBy("day").text(f"{root}/{name}")
+    return f"{root}/*/*"
+
+
+def q_stream_recent_set(spark, sf):
+    """Ids remembered by number (ST6): events that come again after some
+    thousands of others are let through again."""
+    from eventlake.streaming.ingest import STREAM_SOURCE_FILE, file_source
+    from eventlake.streaming.recent import drop_recent
+
+    lake = _lake(spark, "recent")
+    parsed = to_bronze(file_source(spark, recent_landing(spark, sf), 1), STREAM_SOURCE_FILE, INGEST_TS)
+    new = drop_recent(parsed.select("event_id", "event_type", "repo_id"))
+    out = lake.path("recent")
+    done = new.writeStream.format("parquet").option("path", out).option("checkpointLocation", lake.path("_checkpoints/recent")).trigger(availableNow=True).start()
+    done.awaitTermination()
+    return spark.read.parquet(out)
+
+
+OFFSETS_PER_TRIGGER = 2000
+TOPIC_PARTITIONS = 2
+
+
+def q_stream_offsets(spark, sf):
+    """A topic of two partitions read by offsets, 2000 messages a trigger,
+    stopped half-way and gone on with from the checkpoint (S4)."""
+    from eventlake.plans.jobs import read_silver
+    from eventlake.session import scratch_dir
+    from eventlake.sources.message_log import message_log
+    from eventlake.streaming.ingest import start_ingestion
+
+    lake, topic = _lake(spark, "offsets"), scratch_dir(spark, "topic")
+    lines = fixtures.raw_event_lines(spark, sf).withColumn("p", F.pmod(F.xxhash64("value"), F.lit(TOPIC_PARTITIONS)))
+    lines.write.partitionBy("p").text(topic)
+    checkpoint = lake.path("_checkpoints/ingest")
+    source = message_log(spark, topic, checkpoint, OFFSETS_PER_TRIGGER)
+    start_ingestion(spark, source, lake, checkpoint).awaitTermination()  # an available-now run is one trigger
+    again = start_ingestion(spark, message_log(spark, topic, checkpoint, OFFSETS_PER_TRIGGER), lake, checkpoint, available_now=False, processing_time="0 seconds")
+    try:
+        again.processAllAvailable()
+    finally:
+        again.stop()
+    return _silver_out(read_silver(spark, lake))
+
+
 def q_stream_dedup_watermark(spark, sf):
     """Producer-side dedup: ids remembered for an hour of arrival time (ST6)."""
     from eventlake.operators.bronze import BRONZE_COLUMNS
@@ -539,6 +754,57 @@ def _day_lake(spark, sf, until: str | None = None):
     return lake, jobs.batch_run(spark, lake, raw)
 
 
+def moved_lines(lines: DataFrame) -> DataFrame:
+    """The lines of every 50th event or so, dated one day later."""
+    day = F.regexp_extract("value", r'"created_at":"(\d{4}-\d{2}-\d{2})T', 1)
+    mine = lines.filter(F.substring(F.regexp_extract("value", r'"id":"(\d+)"', 1), -2, 2).isin("00", "50") & (day != ""))
+    later = F.date_add(F.to_date(F.when(day != "", day)), 1).cast("string")
+    return mine.withColumn("value", F.replace("value", F.concat(F.lit('"created_at":"'), day), F.concat(F.lit('"created_at":"'), later)))
+
+
+def moved_lake(spark, sf):
+    """Events come by the stream, gold is computed; then the batch brings some of
+    them again under another date, which moves them between days of silver."""
+    from eventlake.plans import jobs
+    from eventlake.session import scratch_dir
+    from eventlake.streaming.ingest import file_source
+
+    lake, landing = _lake(spark, "moved-lake"), scratch_dir(spark, "moved-landing")
+    lines = fixtures.raw_event_lines(spark, sf).select("value")
+    lines.write.text(landing)
+    drain(spark, file_source(spark, landing, 100), lake, lake.path("_checkpoints/ingest"))
+    jobs.gold_job(spark, lake, None)
+    raw = moved_lines(lines).withColumn("source_file", F.lit(fixtures.FIXTURE_SOURCE_FILE))
+    report = jobs.batch_run(spark, lake, raw)
+    return lake, report
+
+
+def q_batch_job_moved_day(spark, sf):
+    """Gold of the days that events moved to, and of those they left, after the
+    batch run that moved them (W3, W4)."""
+    lake, _ = moved_lake(spark, sf)
+    return spark.read.parquet(lake.gold("event_type_summary_hourly")).drop("gold_processed_at")
+
+
+HOT_HOUR = 12
+
+
+def q_batch_job_hot_hour(spark, sf):
+    """Gzip landing hours of which one holds a third of all lines."""
+    from eventlake.plans import jobs
+    from eventlake.session import scratch_dir
+
+    lake, landing = _lake(spark, "hot-hour"), scratch_dir(spark, "hot-landing")
+    lines = fixtures.raw_event_lines(spark, sf, with_slot=True)
+    hot = F.pmod(F.xxhash64("value"), F.lit(3)) == 0
+    place = {"year": "2024", "month": "01", "day": "01", "hour": f"{HOT_HOUR:02d}"}
+    lines = lines.withColumns({c: F.when(hot, F.lit(v)).otherwise(F.col(c)) for c, v in place.items()})
+    lines.repartition(*place).write.partitionBy(*place).option("compression", "gzip").text(landing)
+    (first, _), (_, last) = batch_windows(spark, sf)
+    jobs.backfill(spark, lake, landing, first, last)
+    return spark.read.parquet(lake.gold("event_type_summary_hourly")).drop("gold_processed_at")
+
+
 def q_batch_job_metrics(spark, sf):
     """What a run reports of its tables: rows written and rows in all."""
     _, report = _day_lake(spark, sf)
@@ -629,12 +895,24 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "merge_upsert": q_merge_upsert,
     "merge_insert_moved_day": q_merge_insert_moved_day,
     "merge_upsert_moved_day": q_merge_upsert_moved_day,
+    "merge_insert_bloom_days": q_merge_insert_bloom_days,
+    "upsert_two_writers": q_upsert_two_writers,
+    "dq_unique_incremental": q_dq_unique_incremental,
+    "gold_grouping_sets": q_gold_grouping_sets,
+    "contributors_rollup": q_contributors_rollup,
     "replace_day": q_replace_day,
     "compact_day": q_compact_day,
+    "compact_day_zorder": q_compact_day_zorder,
     "stream_available_now": q_stream_available_now,
     "stream_dedup_watermark": q_stream_dedup_watermark,
     "stream_bronze": q_stream_bronze,
     "stream_quarantine": q_stream_quarantine,
+    "stream_replayed_batch": q_stream_replayed_batch,
+    "stream_bad_first_batch": q_stream_bad_first_batch,
+    "stream_recent_set": q_stream_recent_set,
+    "stream_offsets": q_stream_offsets,
+    "batch_job_moved_day": q_batch_job_moved_day,
+    "batch_job_hot_hour": q_batch_job_hot_hour,
     "batch_job_gold": q_batch_job_gold,
     "batch_job_trends": q_batch_job_trends,
     "batch_job_quarantine": q_batch_job_quarantine,

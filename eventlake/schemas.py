@@ -4,29 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import types as T
 
-# One raw event per line.
-RAW = T.StructType([T.StructField("value", T.StringType(), True)])
-
-# Shape used to parse a raw line once with from_json.  Every leaf is a STRING:
-# numbers and objects come back as their JSON text (like get_json_object), and
-# the typed casts happen afterwards with try_cast so bad values become NULL.
-RAW_EVENT_JSON = T.StructType(
-    [
-        T.StructField("id", T.StringType()),
-        T.StructField("type", T.StringType()),
-        T.StructField(
-            "actor",
-            T.StructType([T.StructField("id", T.StringType()), T.StructField("login", T.StringType())]),
-        ),
-        T.StructField(
-            "repo",
-            T.StructType([T.StructField("id", T.StringType()), T.StructField("name", T.StringType())]),
-        ),
-        T.StructField("payload", T.StringType()),
-        T.StructField("created_at", T.StringType()),
-    ]
-)
-
 # Payload fields promoted into silver, parsed once from the payload text.
 PAYLOAD_JSON = T.StructType(
     [
@@ -58,16 +35,6 @@ BRONZE = T.StructType(
     ]
 )
 
-QUARANTINE = T.StructType(
-    [
-        T.StructField("event_id", T.StringType()),
-        T.StructField("source_file", T.StringType()),
-        T.StructField("ingestion_timestamp", T.TimestampType()),
-        T.StructField("dq_reason", T.StringType()),
-        T.StructField("raw_record", T.StringType()),
-    ]
-)
-
 SILVER_COLUMNS = [
     "event_id",
     "event_type",
@@ -93,22 +60,6 @@ SILVER_COLUMNS = [
     "silver_processed_at",
 ]
 
-# Repository metadata snapshot (one row per repo per refresh).
-SNAPSHOT = T.StructType(
-    [
-        T.StructField("repo_id", T.LongType()),
-        T.StructField("repo_name", T.StringType()),
-        T.StructField("primary_language", T.StringType()),
-        T.StructField("stargazers_count", T.IntegerType()),
-        T.StructField("forks_count", T.IntegerType()),
-        T.StructField("open_issues_count", T.IntegerType()),
-        T.StructField("topics", T.StringType()),
-        T.StructField("description", T.StringType()),
-        T.StructField("is_fork", T.BooleanType()),
-        T.StructField("size_kb", T.IntegerType()),
-    ]
-)
-
 # Raw repository record as a metadata API returns it (S6/S7 input).
 REPO_API_JSON = T.StructType(
     [
@@ -125,8 +76,6 @@ REPO_API_JSON = T.StructType(
     ]
 )
 
-SCD2_COLUMNS = ["record_hash", "valid_from", "valid_to", "is_current"]
-
 # Columns whose change opens a new dimension version.  description and size_kb
 # are carried along but deliberately not tracked.
 REPO_TRACKED = [

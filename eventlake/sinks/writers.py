@@ -35,6 +35,7 @@ from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from eventlake.operators.clustering import z_value
 from eventlake.sinks.files import delete_path, fs_path, list_children, path_bytes, path_exists
 from eventlake.sinks.key_sketch import KeySketch
 
@@ -370,6 +371,7 @@ def append_results(df: DataFrame, path: str, run_id: str, part: str) -> None:
 # ---- W10 compaction ----------------------------------------------------------
 
 TARGET_FILE_BYTES = 256 * 1024 * 1024
+CURVE = "_z"
 
 
 def compact_partition(
@@ -379,20 +381,26 @@ def compact_partition(
     cluster_by: Sequence[str],
     partition_col: str = DATE_COL,
     target_file_bytes: int = TARGET_FILE_BYTES,
+    key: str = "event_id",
 ) -> int:
     """Rewrite one partition as range-clustered, sorted files of ~target size.
 
     Parquet min/max statistics on the clustering columns then let scans skip
-    row groups, which is what the clustering is for.
+    row groups, which is what the clustering is for.  Several columns are taken
+    along a Z-order curve (``operators.clustering``), so that each of them alone
+    skips.
     """
     nbytes = path_bytes(spark, f"{path}/{partition_col}={date_text(value)}")
     n = max(1, math.ceil(nbytes / target_file_bytes))
     day = spark.read.parquet(path).filter(F.col(partition_col) == F.lit(date_text(value)).cast("date"))
+    # A key of its own as the last range column lets a hot value be split.
+    split = [c for c in (key,) if c in day.columns and c not in cluster_by]
+    order = list(cluster_by)
+    if len(cluster_by) > 1 and split:
+        day, order = day.withColumn(CURVE, z_value(day, cluster_by, key)), [CURVE, *cluster_by]
     # The partitioned writer sorts by the partition column; leading with it
     # keeps the clustering sort instead of having it replaced.
-    # A key of its own as the last range column lets a hot value be split.
-    split = [c for c in ("event_id",) if c in day.columns and c not in cluster_by]
-    out = day.repartitionByRange(n, *cluster_by, *split).sortWithinPartitions(partition_col, *cluster_by)
+    out = day.repartitionByRange(n, *order, *split).sortWithinPartitions(partition_col, *order).drop(CURVE)
     out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(partition_col).parquet(path)
     return n
 

@@ -74,6 +74,36 @@ def read_landing(spark: SparkSession, paths: Sequence[str] | str) -> DataFrame:
     return spark.read.text(paths).select("value", F.col("_metadata.file_path").alias("source_file"))
 
 
+LINE_BYTES = 128 << 20  # of lines that a task parses, about
+UNPACKED = 8  # a gzip file's lines are about so many times its bytes
+
+
+def file_sizes(spark: SparkSession, paths: Sequence[str]) -> list[int]:
+    """Bytes of every landing file under the paths, largest first."""
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    sizes = []
+    for p in paths:
+        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(p)
+        found = path.getFileSystem(conf).listFiles(path, True)
+        while found.hasNext():
+            sizes.append(int(found.next().getLen()))
+    return sorted(sizes, reverse=True)
+
+
+def spread_landing(spark: SparkSession, paths: Sequence[str] | str) -> DataFrame:
+    """Raw lines of landing files, dealt evenly over tasks.
+
+    A gzip file is read by one task.  The scan packs small files together by their
+    bytes, so the largest file bounds a reading task; the lines are then dealt out
+    before anything is parsed, wherever one file is more than a task's fair share.
+    """
+    paths = [paths] if isinstance(paths, str) else list(paths)
+    raw, sizes = read_landing(spark, paths), file_sizes(spark, paths)
+    tasks = max(spark.sparkContext.defaultParallelism, -(-sum(sizes) * UNPACKED // LINE_BYTES))
+    fair = max(1, sum(sizes) // tasks)
+    return raw.repartition(tasks) if sizes and sizes[0] > 2 * fair else raw
+
+
 def decode_stream_value(df: DataFrame) -> DataFrame:
     """Message bytes -> text line."""
     return df.select(F.col("value").cast("string").alias("value"))
