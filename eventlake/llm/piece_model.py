@@ -158,6 +158,19 @@ def build_tokenizer(model: PieceModel):
     return Tokenizer.from_str(tokenizer_json(model))
 
 
+def build_decoder(model: PieceModel):
+    """A tokenizer that only decodes: control pieces are left out, the unknown
+    piece reads as the library writes it, and the blank that is put before a text
+    stays (whether there is one depends on the first piece)."""
+    from tokenizers import AddedToken, decoders
+
+    reader = build_tokenizer(model)
+    unknown = model.pieces[model.unk_id][0]
+    reader.decoder = decoders.Sequence([decoders.Replace(unknown, " \u2047 "), decoders.Replace(SPACE, " "), decoders.ByteFallback(), decoders.Fuse()])
+    reader.add_special_tokens([AddedToken(p, special=True, normalized=False) for p, _, kind in model.pieces if kind == CONTROL])
+    return reader
+
+
 def describe(model: PieceModel) -> str:
     kinds = [kind for _, _, kind in model.pieces]
     return json.dumps(

@@ -1,12 +1,13 @@
 """SentencePiece encoding and decoding with the ``tokenizers`` library.
 
 The model file is broadcast (its size is fixed); each task parses and rebuilds
-it (``piece_model``) and encodes Arrow batches.  Where the vocabulary proves
-that no piece crosses from a word to its neighbours, the distinct segments of
-a batch are encoded in one multithreaded call, each is checked against the
-SentencePiece library, and the texts' ids are put together from them; else
-whole texts are encoded and checked.  Where both differ, the library's ids are
-taken and ``parity`` is false, so the result is always the model's own.
+it (``piece_model``) and encodes Arrow batches; ids and decoded texts are the
+rebuilt tokenizer's.  Where the vocabulary proves that no piece crosses from a
+word to its neighbours, the distinct segments of a batch are encoded in one
+multithreaded call and the texts' ids are put together from them; else whole
+texts are encoded.  What is encoded is decoded again, and compared with the
+SentencePiece library: ``round_trip`` says whether the ids read as the text, and
+``parity`` whether the library gives the same ids.
 
 Defined results: null text: null ids, 0 tokens, null flags; empty text: no
 ids; repeated rows: one result each; extra columns pass through, except that
@@ -19,7 +20,6 @@ import os
 import re
 from array import array
 from collections.abc import Iterator
-from functools import cached_property
 
 import numpy as np
 import pandas as pd
@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import small_batches, spare, table, tokenizer_file
-from .piece_model import BYTE, NORMAL, SEGMENT, SPACE, UNKNOWN, USER_DEFINED, build_tokenizer, cuts_at_segments, parse_model, without_prefix
+from .piece_model import CONTROL, SEGMENT, SPACE, build_decoder, build_tokenizer, cuts_at_segments, parse_model, without_prefix
 
 MODEL = "piece_bpe_32k.model"
 #: Segments that a task remembers; a full memory is emptied, which costs time only.
@@ -61,48 +61,32 @@ class PieceCodec:
         self.library = sentencepiece.SentencePieceProcessor(model_proto=plain)
         self.memory, self.part = memory, part
         self.find = re.compile(SEGMENT).findall
+        self.reader = build_decoder(self.model)
+        self.hidden = {i for i, (_, _, kind) in enumerate(self.model.pieces) if kind == CONTROL}
+        self.marked = np.array([piece.startswith(SPACE) for piece, _, _ in self.model.pieces], bool)
         self._forget()
-        self._table()
-
-    @cached_property
-    def reader(self):
-        """The library, for ids that no text gives."""
-        import sentencepiece
-
-        return sentencepiece.SentencePieceProcessor(model_proto=self.data)
 
     def _forget(self) -> None:
         self.known: dict[str, int] = {}
-        self.sizes, self.ids, self.same = array("q"), array("i"), array("b")
-
-    def _table(self) -> None:
-        parts = []
-        for piece, _, kind in self.model.pieces:
-            if kind == BYTE:
-                parts.append(bytes([int(piece[3:5], 16)]))
-            elif kind in (NORMAL, USER_DEFINED):
-                parts.append(piece.replace(SPACE, " ").encode("utf-8"))
-            else:
-                parts.append(b" \xe2\x81\x87 " if kind == UNKNOWN else b"")
-        self.width = np.array([len(p) for p in parts], np.int64)
-        self.marked = np.array([piece.startswith(SPACE) for piece, _, _ in self.model.pieces], bool)
-        self.start = np.cumsum(self.width) - self.width
-        self.flat = np.frombuffer(b"".join(parts), np.uint8)
+        self.sizes, self.ids, self.same, self.back = array("q"), array("i"), array("b"), array("b")
 
-    def _checked(self, texts: list[str]) -> Iterator[tuple[list[int], bool]]:
-        """The library's ids of each text, and whether ours are the same."""
+    def _encoded(self, texts: list[str]) -> Iterator[tuple[list[int], bool, bool]]:
+        """Ids of each text, whether the library has the same, and whether they
+        read as the text."""
         for a in range(0, len(texts), CALL):
-            mine = self.tokenizer.encode_batch_fast(texts[a : a + CALL], add_special_tokens=False)
-            theirs = self.library.encode(texts[a : a + CALL], num_threads=1)
-            yield from ((y, x.ids == y) for x, y in zip(mine, theirs, strict=True))
-
-    def encode(self, texts: list[str]) -> tuple[list[np.ndarray], np.ndarray]:
-        """Ids and parity flag of each text."""
+            part = texts[a : a + CALL]
+            mine = [x.ids for x in self.tokenizer.encode_batch_fast(part, add_special_tokens=False)]
+            theirs = self.library.encode(part, num_threads=1)
+            read = self.reader.decode_batch(mine, skip_special_tokens=True) if self.by_segments else self.decode(mine)
+            yield from ((x, x == y, z == t) for x, y, z, t in zip(mine, theirs, read, part, strict=True))
+
+    def encode(self, texts: list[str]) -> tuple[list[np.ndarray], np.ndarray, np.ndarray]:
+        """Ids, parity flag and round-trip flag of each text."""
         if not self.by_segments:
-            both = list(self._checked(texts))
-            return [np.array(ids, np.int32) for ids, _ in both], np.array([same for _, same in both], bool)
+            rows = list(self._encoded(texts))
+            return [np.array(r[0], np.int32) for r in rows], np.array([r[1] for r in rows], bool), np.array([r[2] for r in rows], bool)
         out: list[list[np.ndarray]] = [[] for _ in texts]
-        parity = np.ones(len(texts), bool)
+        flags = np.ones((2, len(texts)), bool)
         lead = " " if self.model.add_dummy_prefix else ""
         held: list[tuple[int, str]] = []
         size = 0
@@ -110,16 +94,17 @@ class PieceCodec:
             if not text:
                 out[i].append(np.zeros(0, np.int32))
                 continue
-            for part in _parts((lead + text).replace(SPACE, " "), self.part):  # a marker in a text is a blank, as the library has it
+            flags[1, i] = SPACE not in text  # it is read as a blank, as the library has it
+            for part in _parts((lead + text).replace(SPACE, " "), self.part):
                 held.append((i, part))
                 size += len(part)
                 if size >= self.part:
-                    self._encode_parts(held, out, parity)
+                    self._encode_parts(held, out, flags)
                     held, size = [], 0
-        self._encode_parts(held, out, parity)
-        return [x[0] if len(x) == 1 else np.concatenate(x) for x in out], parity
+        self._encode_parts(held, out, flags)
+        return [x[0] if len(x) == 1 else np.concatenate(x) for x in out], flags[0], flags[1]
 
-    def _encode_parts(self, held: list[tuple[int, str]], out: list[list[np.ndarray]], parity: np.ndarray) -> None:
+    def _encode_parts(self, held: list[tuple[int, str]], out: list[list[np.ndarray]], flags: np.ndarray) -> None:
         if not held:
             return
         if len(self.known) > self.memory:
@@ -129,12 +114,13 @@ class PieceCodec:
         segments = pa.array([s for f in found for s in f], pa.string()).dictionary_encode()
         words = segments.dictionary.to_pylist()
         if fresh := [w for w in words if w not in self.known]:
-            for word, (ids, same) in zip(fresh, self._checked(fresh), strict=True):
+            for word, (ids, same, back) in zip(fresh, self._encoded(fresh), strict=True):
                 self.known[word] = len(self.sizes)
                 self.sizes.append(len(ids))
                 self.ids.extend(ids)
                 self.same.append(same)
-        sizes, flat, same = (np.frombuffer(x, t) for x, t in ((self.sizes, np.int64), (self.ids, np.int32), (self.same, np.int8)))
+                self.back.append(back)
+        sizes, flat, same, back = (np.frombuffer(x, t) for x, t in ((self.sizes, np.int64), (self.ids, np.int32), (self.same, np.int8), (self.back, np.int8)))
         starts = np.cumsum(sizes) - sizes
         which = np.array([self.known[w] for w in words], np.int64)[segments.indices.to_numpy()]
         size = sizes[which]
@@ -142,45 +128,32 @@ class PieceCodec:
         ids = flat[np.arange(ends[-1]) + np.repeat(starts[which] - (ends - size), size)]
         last = np.cumsum(counts) - 1
         cuts = np.concatenate([[0], ends[last]])
-        good = np.logical_and.reduceat(same[which] == 1, np.cumsum(counts) - counts)
-        del sizes, flat, same  # the arrays can't grow while they are looked at
+        good = [np.logical_and.reduceat(f[which] == 1, np.cumsum(counts) - counts) for f in (same, back)]
+        del sizes, flat, same, back  # the arrays can't grow while they are looked at
         for k, (i, _) in enumerate(held):
             out[i].append(ids[cuts[k] : cuts[k + 1]])
-            parity[i] &= good[k]
+            flags[0, i] &= good[0][k]
+            flags[1, i] &= good[1][k]
 
     def decode(self, batch: list) -> list[str]:
-        """Texts of the ids: their pieces' bytes, gathered at once."""
+        """Texts of the ids, by the rebuilt decoder."""
         out: list[str] = []
-        held: list = []
+        held: list[list[int]] = []
         size = 0
         for ids in batch:
-            held.append(ids)
-            size += len(ids)
+            held.append(np.asarray(ids, np.int64).tolist())
+            size += len(held[-1])
             if size >= self.part:
                 out += self._decode(held)
                 held, size = [], 0
         return out + self._decode(held)
 
-    def _decode(self, batch: list) -> list[str]:
-        if not batch:
-            return []
-        sizes = np.array([len(x) for x in batch], np.int64)
-        ids = np.concatenate([np.asarray(x, np.int64) for x in batch])
-        width = self.width[ids]
-        ends = np.cumsum(width)
-        raw = self.flat[np.arange(ends[-1] if len(ends) else 0) + np.repeat(self.start[ids] - (ends - width), width)].tobytes()
-        cuts = np.concatenate([[0], ends])[np.concatenate([[0], np.cumsum(sizes)])]
-        out = []
-        for i, ids in enumerate(batch):
-            piece = raw[cuts[i] : cuts[i + 1]]
-            try:
-                text = piece.decode("utf-8")
-            except UnicodeDecodeError:  # bytes that no text gives: as the library reads them
-                out.append(self.reader.decode([int(x) for x in ids]))
-                continue
-            first = next((int(x) for x in ids if self.width[x]), None)  # control pieces have no text
-            out.append(text[1:] if self.model.add_dummy_prefix and first is not None and self.marked[first] else text)
-        return out
+    def _decode(self, batch: list[list[int]]) -> list[str]:
+        read = self.reader.decode_batch(batch, skip_special_tokens=True)
+        if not self.model.add_dummy_prefix:
+            return read
+        shown = (next((x for x in ids if x not in self.hidden), None) for ids in batch)
+        return [text[1:] if first is not None and self.marked[first] else text for text, first in zip(read, shown, strict=True)]
 
 
 def codec_of(shared: dict) -> PieceCodec:
@@ -214,8 +187,7 @@ def encode_pieces(docs: DataFrame, model: bytes | None = None, text: str = "text
         codec = codec_of(shared.value)
         for batch in batches:
             known = batch.dropna()
-            ids, parity = codec.encode(known.tolist())
-            same = [a == b for a, b in zip(codec.decode(ids), known, strict=True)] if decode else [None] * len(known)
+            ids, parity, same = codec.encode(known.tolist())
             yield pd.DataFrame({"ids": pd.Series(ids, known.index, dtype=object), "parity": pd.Series(parity, known.index, dtype=object), "round_trip": pd.Series(same, known.index, dtype=object)}).reindex(batch.index).astype(object).where(lambda x: x.notna(), None)
 
     got = spare(docs, "_pieces")

@@ -52,10 +52,11 @@ def test_ids_and_texts_are_the_librarys(model, part):
     library = sentencepiece.SentencePieceProcessor(model_proto=model)
     codec = PieceCodec(model, memory=5, part=part)
     assert codec.by_segments
-    ids, parity = codec.encode(ODD)
+    ids, parity, same = codec.encode(ODD)
     assert parity.all()
     assert [list(map(int, x)) for x in ids] == [library.encode(t) for t in ODD]
     assert codec.decode(ids) == [library.decode(library.encode(t)) for t in ODD]
+    assert same.tolist() == ["▁" not in t for t in ODD]
 
 
 @pytest.mark.parametrize("fallback", [True, False])
@@ -64,8 +65,10 @@ def test_unigram_model_by_hand(fallback):
     library = sentencepiece.SentencePieceProcessor(model_proto=data)
     texts = ["the cat sat on the mat.", "running", "thethe  cats", "zebra", "", "a", " tat", "x cat y"]
     codec = PieceCodec(data)
-    ids, parity = codec.encode(texts)
-    assert [list(map(int, x)) for x in ids] == [library.encode(t) for t in texts]
+    ids, parity, same = codec.encode(texts)
+    theirs = [library.encode(t) for t in texts]
+    assert [list(map(int, x)) == y for x, y in zip(ids, theirs)] == parity.tolist()
+    assert [x == t for x, t in zip(codec.decode(ids), texts)] == same.tolist()
     if fallback:
         assert parity.all()
         assert codec.decode(ids) == [library.decode(library.encode(t)) for t in texts]
@@ -78,6 +81,30 @@ def test_ids_that_no_text_has_are_read_as_the_library_reads_them(model):
     assert codec.decode(odd) == [library.decode(x) for x in odd]
 
 
+def test_ids_are_the_rebuilt_tokenizers_where_the_library_differs(model):
+    codec = PieceCodec(model)
+    codec.library = sentencepiece.SentencePieceProcessor(model_proto=unigram_model())  # another model's ids
+    ids, parity, same = codec.encode(["the cat sat"])
+    assert not parity[0] and same[0]
+    assert ids[0].tolist() == pm.build_tokenizer(pm.parse_model(model)).encode("the cat sat", add_special_tokens=False).ids
+
+
+def test_a_long_text_without_blanks(model):
+    codec = PieceCodec(model, part=1000)
+    text = "añb" * 5000
+    ids, parity, same = codec.encode([text])
+    assert parity[0] and same[0] and codec.decode(ids) == [text]
+
+
+def test_whole_texts_match_the_library(spark, model):
+    from eventlake.llm.common import table
+
+    texts = [r["text"] for r in table(spark, "/root/testdata/sf0.01", "documents").select("text").collect()]
+    library = sentencepiece.SentencePieceProcessor(model_proto=model)
+    ids, parity, same = PieceCodec(model).encode(texts)
+    assert [x.tolist() for x in ids] == library.encode(texts) and parity.all() and same.all()
+
+
 def test_long_texts_are_cut_before_blanks():
     text = "ab  cd e" * 50
     assert "".join(_parts(text, 7)) == text
