@@ -35,6 +35,15 @@ ROW_BITS = 256
 WORDS = ["b0", "b1", "b2", "b3"]
 
 
+@dataclass(frozen=True)
+class DayKeys:
+    """What a batch has for a day."""
+
+    rows: int
+    least: str | None
+    most: str | None
+
+
 @dataclass(frozen=True)
 class Sketch:
     """One write's sketch of one day."""
@@ -84,26 +93,30 @@ class KeySketch:
     def exists(self) -> bool:
         return files.path_exists(self.spark, f"{self.root}/index")
 
-    def add(self, rows: DataFrame, replaces: list[Sketch] | None = None) -> dict[str, int]:
+    def days_in(self, rows: DataFrame) -> dict[str, DayKeys]:
+        """Rows, smallest and largest key of each day of a batch."""
+        found = rows.groupBy(self.day).agg(F.count(F.lit(1)).alias("n"), F.min(self._key()).alias("lo"), F.max(self._key()).alias("hi"))
+        return {str(r[self.day]): DayKeys(r["n"], r["lo"], r["hi"]) for r in found.collect()}  # a row for each day
+
+    def add(self, rows: DataFrame, days: dict[str, DayKeys] | None = None, replaces: list[Sketch] | None = None) -> dict[str, int]:
         """Sketch the keys of ``rows`` under each of their days; rows of each day.
 
-        ``rows`` is read twice; the caller keeps it.  Nothing is stored for no rows.
+        ``days``: what ``days_in`` gave of these rows or of more.  ``rows`` is read
+        again; the caller keeps it.  Nothing is stored for no rows.
         """
-        days = rows.groupBy(self.day).agg(F.count(F.lit(1)).alias("n"), F.min(self._key()).alias("lo"), F.max(self._key()).alias("hi"))
+        days = self.days_in(rows) if days is None else days
         name, now = uuid.uuid4().hex, time.time()
-        # a row for each day of the write
-        found = days.collect()
-        made = [Sketch(str(r[self.day]), name, rows_for(r["n"]), r["n"], r["lo"], r["hi"], now) for r in found if r["lo"] is not None]
+        made = [Sketch(day, name, rows_for(d.rows), d.rows, d.least, d.most, now) for day, d in days.items() if d.least is not None]
         if made:
             size = F.create_map(*[x for s in made for x in (F.lit(s.day), F.lit(s.rows))])
             keyed = rows.where(self._key().isNotNull()).select(F.col(self.day).cast("string").alias("day"), self._key().alias("k"))
             placed = keyed.select("day", F.pmod(F.xxhash64("k"), size[F.col("day")].cast("long")).cast("int").alias("row"), *[w.alias(n) for w, n in zip(key_words(F.col("k")), WORDS, strict=True)])
             bits = placed.groupBy("day", "row").agg(*[F.bit_or(w).alias(w) for w in WORDS])
-            bits.hint("rebalance", "day").write.partitionBy("day").parquet(f"{self.root}/bits/name={name}")
+            bits.hint("rebalance", "day").write.parquet(f"{self.root}/bits/name={name}")
         if made or replaces:
             entry = {"sketches": [vars(s) for s in made], "replaces": [[s.day, s.name] for s in replaces or []]}
             files.write_text(self.spark, f"{self.root}/index/{name}.json", json.dumps(entry))
-        return {str(r[self.day]): r["n"] for r in found}
+        return {day: d.rows for day, d in days.items()}
 
     def suspects(self, rows: DataFrame) -> DataFrame:
         """(key, day) for every day that may hold a key of ``rows``; no key
@@ -115,23 +128,24 @@ class KeySketch:
         if not live:
             return keys.select(F.col("k").alias("key"), F.lit(None).cast("string").alias("day")).where("false")
         known = F.array(*[F.struct(F.lit(s.day).alias("day"), F.lit(s.name).alias("name"), F.lit(s.rows).alias("rows"), F.lit(s.least).alias("lo"), F.lit(s.most).alias("hi")) for s in live])
-        inside = F.filter(known, lambda s: (F.col("k") >= s["lo"]) & (F.col("k") <= s["hi"]))
-        asked = keys.select("k", *[w.alias(f"k_{n}") for w, n in zip(key_words(F.col("k")), WORDS, strict=True)], F.explode(inside).alias("s"))
-        asked = asked.select("k", *[f"k_{n}" for n in WORDS], F.col("s.day").alias("day"), F.col("s.name").alias("name"), F.pmod(F.xxhash64("k"), F.col("s.rows").cast("long")).cast("int").alias("row"))
-        stored = self.spark.read.schema("row int, " + ", ".join(f"{w} bigint" for w in WORDS) + ", name string, day string").parquet(f"{self.root}/bits")
+        asked = keys.select("k", *[w.alias(f"k_{n}") for w, n in zip(key_words(F.col("k")), WORDS, strict=True)], F.inline(known)).where("k >= lo and k <= hi")
+        asked = asked.select("k", *[f"k_{n}" for n in WORDS], "day", "name", F.pmod(F.xxhash64("k"), F.col("rows").cast("long")).cast("int").alias("row"))
+        stored = self.spark.read.schema("day string, row int, " + ", ".join(f"{w} bigint" for w in WORDS) + ", name string").parquet(f"{self.root}/bits")
         stored = stored.where(F.col("name").isin(sorted({s.name for s in live})) & F.col("day").isin(sorted({s.day for s in live})))
         met = asked.join(stored, ["day", "name", "row"])
         held = [F.col(f"k_{n}").bitwiseAND(F.col(n)) == F.col(f"k_{n}") for n in WORDS]
         return met.where(held[0] & held[1] & held[2] & held[3]).select(F.col("k").alias("key"), "day").distinct()
 
-    def suspect_days(self, rows: DataFrame, within: list[str] | None = None) -> list[str]:
-        """Days that may hold a key of ``rows``, oldest first."""
+    def suspect_days(self, rows: DataFrame, within: list[str] | None = None, days: dict[str, DayKeys] | None = None) -> list[str]:
+        """Days that may hold a key of ``rows``, oldest first.  ``days``: what
+        ``days_in`` gave of the rows, which leaves out sketches beyond their keys."""
         live = self.sketches()
         if within is not None:
             live = [s for s in live if s.day in within]
         if live:
-            ends = rows.agg(F.min(self._key()).alias("lo"), F.max(self._key()).alias("hi")).first()
-            live = [s for s in live if ends["lo"] is not None and s.least <= ends["hi"] and s.most >= ends["lo"]]
+            known = list(days.values()) if days is not None else [DayKeys(1, *rows.agg(F.min(self._key()), F.max(self._key())).first())]
+            known = [d for d in known if d.least is not None]
+            live = [s for s in live if any(s.least <= d.most and s.most >= d.least for d in known)]
         if not live:
             return []
         return sorted(r[0] for r in self._probe(rows, live).select("day").distinct().collect())
@@ -141,4 +155,4 @@ class KeySketch:
         from the day's keys; younger ones may stand for rows not yet visible."""
         old = [s for s in self.sketches() if s.day == day and time.time() - s.made >= settled_hours * 3600]
         if len(old) > 1:
-            self.add(table.where(F.col(self.day) == F.lit(day).cast("date")).select(self.key, self.day), old)
+            self.add(table.where(F.col(self.day) == F.lit(day).cast("date")).select(self.key, self.day), replaces=old)

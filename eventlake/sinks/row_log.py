@@ -23,7 +23,7 @@ import re
 import time
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from eventlake.sinks import files, writers
@@ -89,12 +89,25 @@ class RowLog:
     def _logged(self, commits: list[Commit]) -> DataFrame:
         return self.spark.read.option("basePath", self.root).parquet(*[self._folder(c) for c in commits])
 
-    def _last(self, commits: list[Commit]) -> DataFrame:
-        """The last committed row of every key."""
-        rows = self._logged(commits)
-        others = [c for c in rows.columns if c not in (self.key, COMMIT)]
-        last = rows.groupBy(self.key).agg(F.max_by(F.struct(*others), F.col(COMMIT)).alias("_row")) if len(commits) > 1 else None
-        return rows.drop(COMMIT) if last is None else last.select(self.key, *[F.col(f"_row.{c}").alias(c) for c in others])
+    def _last(self, commits: list[Commit], scope=lambda df: df) -> DataFrame:
+        """The last committed row of every key, of the rows in ``scope``.
+
+        A row is left out if a later commit has its key: only keys are compared, and
+        rows of one commit with none of it.
+        """
+        logged = self._logged(commits)
+        rows = scope(logged)
+        if len(commits) > 1:
+            later = logged.groupBy(F.col(self.key).alias("_k")).agg(F.max(self._number(commits)).alias("_last"))
+            numbered = rows.withColumn("_number", self._number(commits))
+            rows = numbered.join(later, (F.col(self.key) == F.col("_k")) & (F.col("_last") > F.col("_number")), "left_anti").drop("_number")
+        return rows.drop(COMMIT)
+
+    @staticmethod
+    def _number(commits: list[Commit]) -> Column:
+        """A commit's place in the order of all."""
+        places = F.create_map(*[x for i, c in enumerate(commits) for x in (F.lit(c.name), F.lit(i))])
+        return places[F.col(COMMIT)]
 
     def exists(self) -> bool:
         return writers.table_exists(self.spark, self.path) or bool(self._filled(self.commits()))
@@ -105,12 +118,12 @@ class RowLog:
         scope = (lambda df: df) if days is None else (lambda df: writers.in_days(df, days, self.day))
         if not commits:
             return scope(self.spark.read.parquet(self.path))
-        last = self._last(commits)
+        last = self._last(commits, scope)
         if not writers.table_exists(self.spark, self.path):
-            return scope(last)
+            return last
         table = scope(self.spark.read.parquet(self.path))
         kept = table.join(self._logged(commits).select(self.key).distinct(), self.key, "left_anti")
-        return kept.select(*table.columns).unionByName(scope(last))
+        return kept.select(*table.columns).unionByName(last)
 
     def days_of_keys(self, keys: DataFrame) -> list:
         """Days that hold a row of one of the keys now; of the table, only days

@@ -31,8 +31,9 @@ import re
 import time
 from collections.abc import Sequence
 
+from py4j.protocol import Py4JJavaError
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from eventlake.operators.clustering import z_value
@@ -155,18 +156,20 @@ def merge_insert_only(
             new.write.mode("append").parquet(path)
             return {"created": False, "inserted": obs.get["rows"]}
         sketch = key_sketch(spark, path, key, partition_col)
-        if not exists:
-            sketch.add(source.select(key, partition_col))
-            return {"created": True, "inserted": create_table(source, path, partition_col), "suspects": 0, "false": 0}
-        within = [date_text(d) for d in partition_values(source, partition_col)] if key_determines_partition else None
-        suspects = sketch.suspect_days(source.select(key), within)
+        days = sketch.days_in(source)
+        suspects = sketch.suspect_days(source, list(days) if key_determines_partition else None, days) if exists else []
+        if not suspects:  # all keys are new
+            rows = sum(sketch.add(source, days).values())
+            if rows:
+                balanced(source, partition_col).write.mode("append").partitionBy(partition_col).parquet(path)
+            return {"created": not exists, "inserted": rows, "suspects": 0, "false": 0}
         met = with_held_day(spark, source, path, key, partition_col, suspects).persist(StorageLevel.MEMORY_AND_DISK)
         try:
             new = met.filter(F.col(HELD).isNull()).drop(HELD)
             inserted = sum(sketch.add(new.select(key, partition_col)).values())
             if inserted:
                 balanced(new, partition_col).write.mode("append").partitionBy(partition_col).parquet(path)
-            hits = len(partition_values(met, HELD)) if suspects else 0
+            hits = len(partition_values(met, HELD))
             return {"created": False, "inserted": inserted, "suspects": len(suspects), "false": len(suspects) - hits}
         finally:
             met.unpersist()
@@ -219,13 +222,13 @@ def _upsert(spark, source, path, key, partition_col, key_determines_partition) -
     target = spark.read.parquet(path)
     cols = target.columns
     sketch = key_sketch(spark, path, key, partition_col)
-    within = [date_text(d) for d in partition_values(source, partition_col)] if key_determines_partition else None
-    suspects = sketch.suspect_days(source.select(key), within)
+    in_source = sketch.days_in(source)
+    suspects = sketch.suspect_days(source, list(in_source) if key_determines_partition else None, in_source)
     hit_days = []
     if suspects:
         scope = in_days(target, suspects, partition_col).select(key, partition_col)
         hit_days = partition_values(scope.join(source.select(key), key, "left_semi"), partition_col)
-    by_day = sketch.add(source.select(key, partition_col))
+    by_day = sketch.add(source, in_source)
     in_hit_days = F.col(partition_col).isin(hit_days) if hit_days else F.lit(False)
     appended, rewritten = sum(n for d, n in by_day.items() if d not in {date_text(h) for h in hit_days}), 0
     if appended:
@@ -340,26 +343,45 @@ def with_content_key(df: DataFrame, cols: Sequence[str], out: str = "record_key"
 def append_quarantine(spark: SparkSession, quarantine: DataFrame, path: str, delivery: str = "") -> int:
     """Append bad rows (W7), each as often as it was delivered.
 
-    The table is partitioned by delivery: a micro-batch, or the source file where
-    no delivery is named.  Within one, a row's key is its file, its line and the
+    The table is partitioned by delivery: a micro-batch, or the source file's landing
+    day where no delivery is named.  Within one, a row's key is its file, its line and the
     number of its occurrence, so writing the same delivery again adds nothing, and
     only the deliveries at hand are looked at.  Equal lines are counted before they
     are numbered: a line that makes up much of a file is one row in the shuffle.
     """
     counted = quarantine.groupBy(*quarantine.columns).agg(F.count(F.lit(1)).alias("_n"))
     each = counted.withColumn("_i", F.explode(F.sequence(F.lit(1).cast("long"), F.col("_n"))))
-    name = F.lit(delivery) if delivery else F.md5(F.coalesce("source_file", F.lit("")).cast("binary"))
-    keyed = with_content_key(each, ["source_file", "raw_record", "_i"]).withColumn(DELIVERY, name).drop("_n", "_i")
-    with _Pinned(keyed) as keyed:
-        at_hand = [delivery] if delivery else partition_values(keyed, DELIVERY)
+    keyed = with_content_key(each, ["source_file", "raw_record", "_i"]).drop("_n", "_i")
+    if delivery:  # whole or not there
+        folder = f"{path}/{DELIVERY}={delivery}"
+        if path_exists(spark, f"{folder}/_SUCCESS"):
+            return 0
+        keyed, obs = _observed(keyed, "quarantine")
+        keyed.write.mode("overwrite").parquet(folder)
+        return _rows(obs)
+    with _Pinned(keyed.withColumn(DELIVERY, landing_day(F.col("source_file")))) as keyed:
         new = keyed
         if table_exists(spark, path):
-            held = spark.read.parquet(path).filter(F.col(DELIVERY).isin(at_hand)).select("record_key", F.col(DELIVERY).cast("string"))
+            held = spark.read.parquet(path).filter(F.col(DELIVERY).isin(partition_values(keyed, DELIVERY))).select("record_key", F.col(DELIVERY).cast("string"))
             new = keyed.join(held, ["record_key", DELIVERY], "left_anti").select(*keyed.columns)
-        rows = new.count()
-        if rows:
-            balanced(new, DELIVERY).write.mode("append").partitionBy(DELIVERY).parquet(path)
-        return rows
+        new, obs = _observed(balanced(new, DELIVERY), "quarantine")
+        new.write.mode("append").partitionBy(DELIVERY).parquet(path)
+        return _rows(obs)
+
+
+def landing_day(source_file: Column) -> Column:
+    """The landing day that a file stands under, else one of 64 groups of files."""
+    day = F.regexp_replace(F.regexp_extract(source_file, r"year=\d+/month=\d+/day=\d+", 0), r"[a-z=]+", "")
+    group = F.format_string("files-%02d", F.pmod(F.xxhash64(F.coalesce(source_file, F.lit(""))), F.lit(64)))
+    return F.when(day != "", F.replace(day, F.lit("/"), F.lit("-"))).otherwise(group)
+
+
+def _rows(obs: Observation) -> int:
+    """Rows of a finished write; a plan found empty is cut off with its counter."""
+    try:
+        return obs.get["rows"]
+    except Py4JJavaError:
+        return 0
 
 
 def append_results(df: DataFrame, path: str, run_id: str, part: str) -> None:

@@ -78,16 +78,11 @@ LINE_BYTES = 128 << 20  # of lines that a task parses, about
 UNPACKED = 8  # a gzip file's lines are about so many times its bytes
 
 
-def file_sizes(spark: SparkSession, paths: Sequence[str]) -> list[int]:
-    """Bytes of every landing file under the paths, largest first."""
+def folder_bytes(spark: SparkSession, paths: Sequence[str]) -> list[int]:
+    """Bytes under each path: a landing hour, or a file."""
     conf = spark.sparkContext._jsc.hadoopConfiguration()
-    sizes = []
-    for p in paths:
-        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(p)
-        found = path.getFileSystem(conf).listFiles(path, True)
-        while found.hasNext():
-            sizes.append(int(found.next().getLen()))
-    return sorted(sizes, reverse=True)
+    places = [spark.sparkContext._jvm.org.apache.hadoop.fs.Path(p) for p in paths]
+    return [int(p.getFileSystem(conf).getContentSummary(p).getLength()) for p in places]
 
 
 def spread_landing(spark: SparkSession, paths: Sequence[str] | str) -> DataFrame:
@@ -98,10 +93,9 @@ def spread_landing(spark: SparkSession, paths: Sequence[str] | str) -> DataFrame
     before anything is parsed, wherever one file is more than a task's fair share.
     """
     paths = [paths] if isinstance(paths, str) else list(paths)
-    raw, sizes = read_landing(spark, paths), file_sizes(spark, paths)
+    raw, sizes = read_landing(spark, paths), folder_bytes(spark, paths)
     tasks = max(spark.sparkContext.defaultParallelism, -(-sum(sizes) * UNPACKED // LINE_BYTES))
-    fair = max(1, sum(sizes) // tasks)
-    return raw.repartition(tasks) if sizes and sizes[0] > 2 * fair else raw
+    return raw.repartition(tasks) if max(sizes, default=0) * tasks > 2 * sum(sizes) else raw
 
 
 def decode_stream_value(df: DataFrame) -> DataFrame:
