@@ -1,29 +1,35 @@
-"""Two vector searches over blocks: queries by shards of rows.
+"""Two vector searches: queries sent to shards of rows.
 
-Both searches deal all rows into shards of a bounded size and the queries into
-blocks; every (block, shard) pair meets in one task, which returns each query's
-best ``k`` of that shard.  A last step keeps the best ``k`` of all shards.  The
-rows of a shard do not depend on their values, so equal vectors spread evenly,
-and a lost task is done again from the checkpointed rows.
+Rows are dealt once into shards of a bounded size, whatever the number of
+queries; queries, the smaller side, come to every shard as a stream of batches
+(``shards``).  A shard's index is built once, and each query gets the best
+``k`` of the shard; a last step keeps the best ``k`` of all shards.  Which shard
+a row is in does not depend on its values, so equal vectors spread evenly, and
+a lost task is done again from the checkpointed rows.
 
 ``nearest`` (approximate, Euclidean): rotated one-bit codes.  Vectors are
-centred, rotated at random and kept as their signs, with two numbers each: the
-length and the inner product of the unit vector with its code.  A query's
-inner products with all codes give estimates of its distances and, with the
-confidence ``epsilon``, bounds of their errors.  The ``k`` best estimates are
-measured on the original vectors; every other row whose lower bound is not
-beyond the k-th of these is measured too.
+centred, filled up with zeros to ``pad`` times their length, rotated at random
+and kept as their signs, with two numbers each: the length and the inner
+product of the unit vector with its code.  The longer the code, the closer its
+estimate.  A query's inner products with all codes give estimates of its
+distances and, with the confidence ``epsilon``, bounds of their errors.  The
+``k`` best estimates are measured on the original vectors; the others follow by
+rising lower bound, and as the k-th measured distance shrinks, the search ends
+at the first bound beyond it.
 
 ``hamming_nearest`` (exact, binary codes): incremental multi-index hashing.
-Codes are cut into segments, each with a table of the shard's rows by value.
-Search radii of the segments grow one segment at a time; all rows not yet seen
-differ by more than the radius in every segment, so once the k-th verified
-distance is no larger than the sum that this proves, the search ends.
-
-Defined results: rows that are null, empty, of zeros only, of another length
-than most rows, or with null or non-finite components take no part, nor do
-null ids; ties go to the smaller id; of repeated ids each row is a candidate,
-and the query is the smallest of its vectors; fewer than ``k`` candidates: all.
+Codes travel packed.  They are cut into segments, each with a table of the
+shard's rows by value.  Search radii of the segments grow one segment at a
+time; all rows not yet seen differ by more than the radius in every segment, so
+once the k-th verified distance is no larger than the sum that this proves, the
+search ends.
+
+Defined results: rows that are null, empty, of zeros only, or with null or
+non-finite components take no part, nor do null ids; a query is compared with
+the rows of its own length only (others have no distance to it); ties go to the
+smaller id; of repeated ids each row is a candidate, and the query is the
+smallest of its vectors; fewer than ``k`` candidates: all; an empty table gives
+no rows; other columns take no part.
 """
 
 from __future__ import annotations
@@ -39,14 +45,16 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from .common import cut, table
+from .shards import ask_shards
 
 
 @dataclass(frozen=True)
 class Search:
     k: int = 10
     shard: int = 16384  # rows of a shard, about
-    block: int = 1024  # queries of a block, about
-    sample: int = 10000  # rows that the centre is fitted on
+    sample: int = 10000  # rows that the centres are fitted on
+    pad: int = 4  # bits of a code for each component
+    step: int = 64  # rows measured between two looks at the threshold
     epsilon: float = 2.5  # error bound, in standard deviations
     seed: int = 4
 
@@ -55,26 +63,12 @@ def usable(rows: DataFrame, vec: str = "embedding", key: str = "vec_id") -> Data
     """(vec_id, vec) of the rows that take part."""
     v = rows.select(F.col(f"`{key}`").cast("long").alias("vec_id"), F.col(f"`{vec}`").alias("vec"))
     finite = F.forall("vec", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < F.lit(float("inf"))))
-    v = v.where(F.col("vec_id").isNotNull() & F.col("vec").isNotNull() & (F.size("vec") > 0) & F.coalesce(finite, F.lit(False)) & F.exists("vec", lambda x: x != 0))
-    size = v.groupBy(F.size("vec").alias("n")).count().orderBy(F.desc("count"), F.desc("n")).first()
-    return v.where(F.size("vec") == (size["n"] if size else 0))
+    return v.where(F.col("vec_id").isNotNull() & F.col("vec").isNotNull() & (F.size("vec") > 0) & F.coalesce(finite, F.lit(False)) & F.exists("vec", lambda x: x != 0))
 
 
-def blocks(rows: DataFrame, query: Column | str, search: Search) -> tuple[DataFrame, DataFrame]:
-    """The same rows under (block, shard), and the queries under (block, shard).
-
-    Each row is there once for each block of queries, each query once for each
-    shard, both by a number that has nothing to do with their values.
-    """
-    query = F.expr(query) if isinstance(query, str) else query
-    counts = rows.agg(F.count("*").alias("n"), F.count_if(query).alias("q")).first()
-    shards, n_blocks = max(1, -(-counts["n"] // search.shard)), max(1, -(-counts["q"] // search.block))
-    # a hash: row numbers alone leave gaps that could favour some shards
-    dealt = rows.withColumn("shard", F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(shards)).cast("int"))
-    dealt = dealt.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(n_blocks - 1))))
-    asked = rows.where(query).groupBy("vec_id").agg(F.min("vec").alias("vec"))
-    asked = asked.withColumn("block", F.pmod(F.xxhash64("vec_id"), F.lit(n_blocks)).cast("int"))
-    return dealt, asked.withColumn("shard", F.explode(F.sequence(F.lit(0), F.lit(shards - 1))))
+def queries_of(rows: DataFrame, query: Column | str) -> DataFrame:
+    """One row for each id for which ``query`` holds: its smallest vector."""
+    return rows.where(query).groupBy("vec_id").agg(F.min("vec").alias("vec"))
 
 
 def best(found: DataFrame, k: int) -> DataFrame:
@@ -82,16 +76,18 @@ def best(found: DataFrame, k: int) -> DataFrame:
     return found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
 
 
-def rotation(dims: int, seed: int) -> np.ndarray:
-    q, r = np.linalg.qr(np.random.default_rng(seed).normal(size=(dims, dims)))
-    return q * np.sign(np.diag(r))
+def rotation(dims: int, seed: int, pad: int = 1) -> np.ndarray:
+    """What a random rotation in ``pad * dims`` dimensions does to vectors
+    filled up with zeros: (dims, pad * dims), rows of length 1 at right angles."""
+    q, r = np.linalg.qr(np.random.default_rng(seed).normal(size=(dims * pad, dims)))
+    return (q * np.sign(np.diag(r))).T
 
 
 @dataclass
 class Codes:
     """One-bit codes of a shard."""
 
-    bits: np.ndarray  # (n, dims / 8) packed signs
+    bits: np.ndarray  # (n, code length / 8) packed signs
     length: np.ndarray  # of the centred vectors
     inner: np.ndarray  # of unit vectors and their codes
 
@@ -103,83 +99,86 @@ def encode(vectors: np.ndarray, centre: np.ndarray, turn: np.ndarray) -> Codes:
     return Codes(np.packbits(unit > 0, axis=1), length, np.where(length > 0, np.abs(unit).sum(1) / np.sqrt(unit.shape[1]), 1.0))
 
 
-def bounds(codes: Codes, query: np.ndarray, centre: np.ndarray, turn: np.ndarray, epsilon: float) -> tuple[np.ndarray, np.ndarray]:
-    """Estimated squared distances of one query, and their lower bounds."""
-    dims = len(query)
-    moved = query - centre
-    size = float(np.sqrt((moved**2).sum()))
-    unit = moved / (size or 1.0) @ turn
+def bounds(codes: Codes, queries: np.ndarray, centre: np.ndarray, turn: np.ndarray, epsilon: float) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """For each query the estimated squared distances and their lower bounds."""
+    dims = turn.shape[1]
+    moved = queries - centre
+    sizes = np.sqrt((moved**2).sum(1))
+    units = (moved / np.where(sizes > 0, sizes, 1)[:, None] @ turn).astype(np.float32)
     signs = np.unpackbits(codes.bits, axis=1, count=dims).astype(np.float32) * 2 - 1
-    return _bounds(codes, (signs @ unit.astype(np.float32) / np.sqrt(dims)).astype(np.float64), size, dims, epsilon)
-
-
-def _bounds(codes: Codes, met: np.ndarray, size: float, dims: int, epsilon: float) -> tuple[np.ndarray, np.ndarray]:
-    cosine = met / codes.inner
     error = np.sqrt(np.maximum(1 - codes.inner**2, 0)) / codes.inner * epsilon / np.sqrt(max(dims - 1, 1))
-    base, cross = codes.length**2 + size**2, 2 * codes.length * size
-    return base - cross * cosine, base - cross * (cosine + error)
+    for met, size in zip(units @ signs.T / np.sqrt(dims), sizes, strict=True):
+        cosine = met / codes.inner
+        base, cross = codes.length**2 + size**2, 2 * codes.length * size
+        yield base - cross * cosine, base - cross * (cosine + error)
+
+
+def measure(vectors: np.ndarray, query: np.ndarray, estimate: np.ndarray, low: np.ndarray, k: int, step: int) -> tuple[np.ndarray, np.ndarray]:
+    """(rows, distances) of all rows that were measured, in the order of rows.
+    Infinite estimates: rows that are no candidates."""
+    n = min(k, int(np.isfinite(estimate).sum()))
+    if n == 0:
+        return np.zeros(0, np.int64), np.zeros(0)
+
+    def far(at: np.ndarray) -> np.ndarray:
+        return np.sqrt(((vectors[at] - query) ** 2).sum(1))
+
+    rows = np.argpartition(estimate, n - 1)[:n]
+    dists = far(rows)
+    limit = lambda: np.partition(dists, n - 1)[n - 1] ** 2 * (1 + 1e-9)
+    left = np.flatnonzero(low <= limit())
+    left = np.setdiff1d(left, rows)
+    left = left[np.argsort(low[left], kind="stable")]
+    for a in range(0, len(left), step):
+        part = left[a : a + step]
+        part = part[low[part] <= limit()]
+        if not len(part):
+            break
+        rows, dists = np.concatenate([rows, part]), np.concatenate([dists, far(part)])
+    order = np.argsort(rows)
+    return rows[order], dists[order]
+
+
+def by_length(vectors: pd.Series) -> Iterator[tuple[int, np.ndarray]]:
+    """Each length of the vectors, and the places of those that have it."""
+    sizes = np.array([len(v) for v in vectors], np.int64)
+    for n in np.unique(sizes):
+        yield int(n), np.flatnonzero(sizes == n)
 
 
 def nearest(rows: DataFrame, query: Column | str, search: Search = Search(), vec: str = "embedding", key: str = "vec_id") -> DataFrame:
     """query_id, rank, vec_id, score: the nearest rows of every row for which
     ``query`` (a condition on ``vec_id``) holds, itself left out."""
-    spark, k = rows.sparkSession, search.k
     good = cut(usable(rows, vec, key))
-    sample = np.array([r["vec"] for r in good.orderBy(F.xxhash64(F.lit(search.seed), "vec_id"), "vec_id").limit(search.sample).collect()], np.float64)
-    dims = sample.shape[1] if sample.size else 1
-    centre = sample.mean(0) if sample.size else np.zeros(1)
-    turn = rotation(dims, search.seed)
-    fitted = spark.sparkContext.broadcast((centre, turn))
-    coded = cut(_with_codes(good, fitted))
-    dealt, asked = blocks(coded, query, search)
-    asked = asked.select("vec_id", "vec", "block", "shard")
-
-    def scan(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
-        if not len(left) or not len(right):
-            return pd.DataFrame({"query_id": [], "vec_id": [], "score": []})
-        centre, turn = fitted.value
-        left = left.sort_values("vec_id", kind="stable")
-        ids, vectors = left["vec_id"].to_numpy(np.int64), np.stack(left["vec"].to_numpy()).astype(np.float64)
-        codes = Codes(np.frombuffer(b"".join(left["bits"]), np.uint8).reshape(len(ids), -1), left["length"].to_numpy(), left["inner"].to_numpy())
-        signs = np.unpackbits(codes.bits, axis=1, count=dims).astype(np.float32) * 2 - 1
-        out = []
-        for a in range(0, len(right), 256):
-            part = right.iloc[a : a + 256]
-            asks = np.stack(part["vec"].to_numpy()).astype(np.float64)
-            moved = asks - centre
-            sizes = np.sqrt((moved**2).sum(1))
-            units = moved / np.where(sizes > 0, sizes, 1)[:, None] @ turn
-            met = (units.astype(np.float32) @ signs.T / np.sqrt(dims)).astype(np.float64)
-            for j, own in enumerate(part["vec_id"].to_numpy(np.int64)):
-                estimate, low = _bounds(codes, met[j], sizes[j], dims, search.epsilon)
-                other = ids != own
-                estimate, low = np.where(other, estimate, np.inf), np.where(other, low, np.inf)
-                if not other.any():
-                    continue
-                n = min(k, int(other.sum()))
-                first = np.argpartition(estimate, n - 1)[:n]
-                far = ((vectors[first] - asks[j]) ** 2).sum(1).max()
-                picked = np.flatnonzero(low <= far * (1 + 1e-9))
-                picked = np.union1d(picked, first)  # in the order of ids
-                exact = np.sqrt(((vectors[picked] - asks[j]) ** 2).sum(1))
-                top = np.argsort(exact, kind="stable")[:n]
-                out.append(pd.DataFrame({"query_id": own, "vec_id": ids[picked[top]], "score": exact[top]}))
-        return pd.concat(out) if out else pd.DataFrame({"query_id": [], "vec_id": [], "score": []})
-
-    pair = dealt.groupBy("block", "shard").cogroup(asked.groupBy("block", "shard"))
-    found = pair.applyInPandas(scan, "query_id long, vec_id long, score double")
-    return best(found, k).select("query_id", "rank", "vec_id", "score")
-
-
-def _with_codes(good: DataFrame, fitted) -> DataFrame:
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            if len(batch):
-                codes = encode(np.stack(batch["vec"].to_numpy()).astype(np.float64), *fitted.value)
-                yield batch.assign(bits=[r.tobytes() for r in codes.bits], length=codes.length, inner=codes.inner)
-
-    kind = good.schema["vec"].dataType.simpleString()
-    return good.mapInPandas(run, f"vec_id long, vec {kind}, bits binary, length double, inner double")
+    sample = pd.Series([r["vec"] for r in good.orderBy(F.xxhash64(F.lit(search.seed), "vec_id"), "vec_id").limit(search.sample).collect()], dtype=object)
+    # a length that the sample lacks has its centre at zero: bounds stay right, only wider
+    centres = {n: np.stack(sample.iloc[at].to_numpy()).astype(np.float64).mean(0) for n, at in by_length(sample)}
+    fitted = good.sparkSession.sparkContext.broadcast(centres)
+
+    def prepare(shard: pd.DataFrame):
+        index = {}
+        for n, at in by_length(shard["vec"]):
+            vectors = np.stack(shard["vec"].iloc[at].to_numpy()).astype(np.float64)
+            centre, turn = fitted.value.get(n, np.zeros(n)), rotation(n, search.seed, search.pad)
+            index[n] = shard["vec_id"].to_numpy(np.int64)[at], vectors, centre, turn, encode(vectors, centre, turn)
+        return index
+
+    def answer(index, asked: pd.DataFrame) -> Iterator[pd.DataFrame]:
+        for n, at in by_length(asked["vec"]):
+            if n not in index:
+                continue
+            ids, vectors, centre, turn, codes = index[n]
+            for a in range(0, len(at), 256):
+                part = asked.iloc[at[a : a + 256]]
+                asks, out = np.stack(part["vec"].to_numpy()).astype(np.float64), []
+                for own, ask, (estimate, low) in zip(part["vec_id"], asks, bounds(codes, asks, centre, turn, search.epsilon), strict=True):
+                    seen, dists = measure(vectors, ask, np.where(ids == own, np.inf, estimate), np.where(ids == own, np.inf, low), search.k, search.step)
+                    top = np.argsort(dists, kind="stable")[: search.k]  # rows are in the order of ids
+                    out.append(pd.DataFrame({"query_id": own, "vec_id": ids[seen[top]], "score": dists[top], "measured": len(seen)}))
+                yield pd.concat(out)
+
+    found = ask_shards(good, queries_of(good, query), search.shard, ["vec_id"], prepare, answer, "query_id long, vec_id long, score double, measured long")
+    return best(found, search.k).select("query_id", "rank", "vec_id", "score", "measured")
 
 
 # Exact search of binary codes
@@ -254,30 +253,42 @@ class SegmentTables:
         return rows[top], far[top], len(rows)
 
 
+def packed(codes: DataFrame) -> DataFrame:
+    """(vec_id, n, vec): the codes' lengths, and eight of their bits in a byte."""
+
+    @F.pandas_udf("binary")
+    def pack(vec: pd.Series) -> pd.Series:
+        return vec.map(lambda v: np.packbits(np.asarray(v, np.uint8)).tobytes())
+
+    return codes.select("vec_id", F.size("vec").alias("n"), pack("vec").alias("vec"))
+
+
+def unpacked(codes: pd.Series, n: int) -> np.ndarray:
+    return np.unpackbits(np.frombuffer(b"".join(codes), np.uint8).reshape(len(codes), -1), axis=1, count=n)
+
+
 def hamming_nearest(codes: DataFrame, query: Column | str, search: Search = Search()) -> DataFrame:
-    """query_id, rank, vec_id, score (bits that differ): exact top k of binary
-    codes ``vec`` (arrays of 0 and 1, all of one length)."""
-    k = search.k
-    rows = cut(codes)
-    dealt, asked = blocks(rows, query, search)
-
-    def scan(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
-        none = pd.DataFrame({"query_id": [], "vec_id": [], "score": []})
-        if not len(left) or not len(right):
-            return none
-        left = left.sort_values("vec_id", kind="stable")
-        ids = left["vec_id"].to_numpy(np.int64)
-        tables = SegmentTables(np.stack(left["vec"].to_numpy()).astype(np.uint8))
-        out = []
-        for own, vec in zip(right["vec_id"].to_numpy(np.int64), right["vec"], strict=True):
-            mine = np.arange(np.searchsorted(ids, own), np.searchsorted(ids, own, "right"))
-            at, far, _ = tables.search(np.asarray(vec, np.uint8), k, mine)
-            out.append(pd.DataFrame({"query_id": own, "vec_id": ids[at], "score": far}))
-        return pd.concat(out) if out else none
-
-    pair = dealt.groupBy("block", "shard").cogroup(asked.groupBy("block", "shard"))
-    found = pair.applyInPandas(scan, "query_id long, vec_id long, score long")
-    return best(found, k).select("query_id", "rank", "vec_id", F.col("score").alias("distance"))
+    """query_id, rank, vec_id, distance (bits that differ): exact top k of
+    binary codes ``vec`` (arrays of 0 and 1)."""
+    rows = cut(packed(codes))
+    asked = rows.where(query).groupBy("vec_id").agg(F.min(F.struct("vec", "n")).alias("x")).select("vec_id", "x.n", "x.vec")
+
+    def prepare(shard: pd.DataFrame):
+        return {n: (part["vec_id"].to_numpy(np.int64), SegmentTables(unpacked(part["vec"], n))) for n, part in shard.groupby("n")}
+
+    def answer(index, asked: pd.DataFrame) -> Iterator[pd.DataFrame]:
+        for n, part in asked.groupby("n"):
+            if n not in index:
+                continue
+            (ids, tables), out = index[n], []
+            for own, vec in zip(part["vec_id"].to_numpy(np.int64), unpacked(part["vec"], n), strict=True):
+                mine = np.arange(np.searchsorted(ids, own), np.searchsorted(ids, own, "right"))
+                at, far, verified = tables.search(vec, search.k, mine)
+                out.append(pd.DataFrame({"query_id": own, "vec_id": ids[at], "score": far, "verified": verified}))
+            yield pd.concat(out)
+
+    found = ask_shards(rows, asked, search.shard, ["vec_id"], prepare, answer, "query_id long, vec_id long, score long, verified long")
+    return best(found, search.k).select("query_id", "rank", "vec_id", F.col("score").alias("distance"), "verified")
 
 
 def probes_within(width: int, radius: int) -> int:
@@ -286,11 +297,11 @@ def probes_within(width: int, radius: int) -> int:
 
 
 def q_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0)
+    return nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0).drop("measured")
 
 
 def q_hamming(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return hamming_nearest(sign_codes(table(spark, sf_dir, "embeddings")), F.col("vec_id") % 100 == 0)
+    return hamming_nearest(sign_codes(table(spark, sf_dir, "embeddings")), F.col("vec_id") % 100 == 0).drop("verified")
 
 
 _GOOD = """good AS (SELECT vec_id, embedding AS v FROM embeddings WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len(embedding) > 0

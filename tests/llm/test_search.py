@@ -36,7 +36,7 @@ def test_nearest_recall_and_scores(spark, shard):
     data = rows.collect()
     ids, vectors = [r["vec_id"] for r in data], [np.array(r["embedding"], np.float64) for r in data]
     want = plain(ids, vectors, euclid)
-    got = grouped(s.nearest(rows, QUERY, s.Search(shard=shard, block=20)), "score")
+    got = grouped(s.nearest(rows, QUERY, s.Search(shard=shard)), "score")
     assert got.keys() == want.keys()
     found = sum(len({i for _, i in got[q]} & {i for _, i in want[q]}) for q in want)
     assert found / sum(map(len, want.values())) >= 0.99
@@ -53,10 +53,47 @@ def test_bounds_hold_for_most_rows():
     assert np.allclose(turn @ turn.T, np.eye(64))
     codes = s.encode(vectors, centre, turn)
     assert codes.bits.shape == (3000, 8)
-    estimate, low = s.bounds(codes, query, centre, turn, 2.5)
+    estimate, low = next(s.bounds(codes, query[None], centre, turn, 2.5))
     true = ((vectors - query) ** 2).sum(1)
     assert np.corrcoef(estimate, true)[0, 1] > 0.6
     assert (low <= true).mean() > 0.98 and (low <= estimate).all()
+    longer = s.rotation(64, 1, 4)
+    assert longer.shape == (64, 256) and np.allclose(longer @ longer.T, np.eye(64))
+    wide, bound = next(s.bounds(s.encode(vectors, centre, longer), query[None], centre, longer, 2.5))
+    assert np.abs(wide - true).mean() < 0.7 * np.abs(estimate - true).mean() and (bound <= true).mean() > 0.98
+
+
+def test_measuring_ends_at_the_first_bound_beyond_the_kth():
+    rng = np.random.default_rng(5)
+    vectors, query = rng.normal(size=(2000, 32)), rng.normal(size=32)
+    true = ((vectors - query) ** 2).sum(1)
+    noise = rng.uniform(0, 4, 2000)
+    rows, dists = s.measure(vectors, query, true + noise - 2, true - noise, 10, 16)
+    assert np.argsort(true)[:10].tolist() == rows[np.argsort(dists)[:10]].tolist()
+    kth = np.partition(true, 9)[9]
+    assert len(rows) <= (true - noise <= kth).sum() + 10 + 16 and (np.diff(rows) > 0).all()
+
+
+def test_share_of_rows_measured(spark):
+    rows = table(spark, "/root/testdata/sf0.1", "embeddings")
+    n = rows.count()
+    measured = s.nearest(rows, QUERY).groupBy("query_id").agg({"measured": "max"}).toPandas()["max(measured)"]
+    assert measured.mean() / n < 0.35
+
+
+def test_rows_are_shuffled_once_whatever_the_queries(spark, capsys):
+    rows = table(spark, "/root/testdata/sf0.01", "embeddings")
+    s.nearest(rows, "vec_id % 2 = 0").explain("formatted")
+    assert "CoGroup" not in capsys.readouterr().out
+
+
+def test_each_length_is_searched_by_itself(spark):
+    odd = [(i, [float(i), 1.0, 2.0]) for i in range(0, 120)] + [(i, [float(i), 3.0]) for i in range(200, 230)]
+    rows = spark.createDataFrame(odd, "vec_id long, embedding array<float>")
+    near = grouped(s.nearest(rows, QUERY, s.Search(k=3)), "score")
+    assert {q: [i for _, i in best] for q, best in near.items()} == {0: [1, 2, 3], 100: [99, 101, 98], 200: [201, 202, 203]}
+    bits = grouped(s.hamming_nearest(s.sign_codes(rows), QUERY, s.Search(k=3)), "distance")
+    assert all(i < 200 for q in (0, 100) for _, i in bits[q]) and [i for _, i in bits[200]] == [201, 202, 203]
 
 
 ODD = [
@@ -67,7 +104,7 @@ ODD = [
 
 def test_odd_rows(spark):
     rows = spark.createDataFrame([(i, v, 1, "x") for i, v in ODD], "vec_id long, embedding array<float>, block int, score string")
-    kept = [(i, np.array(v, np.float32)) for i, v in ODD if i in (0, 1, 2, 3, 100, -100)]
+    kept = [(i, np.array(v, np.float32)) for i, v in ODD if i in (0, 1, 2, 3, 100, -100)]  # 10 has a length of its own
     want = plain([i for i, _ in kept], [v for _, v in kept], euclid, 4)
     got = grouped(s.nearest(rows, QUERY, s.Search(k=4)), "score")
     assert {q: [i for _, i in best] for q, best in got.items()} == {q: [i for _, i in best] for q, best in want.items()}
@@ -103,5 +140,5 @@ def test_hamming_on_the_table(spark):
     codes = s.sign_codes(table(spark, "/root/testdata/sf0.1", "embeddings"))
     data = codes.collect()
     ids, bits = [r["vec_id"] for r in data], [np.array(r["vec"]) for r in data]
-    got = grouped(s.hamming_nearest(codes, QUERY, s.Search(shard=900, block=7)), "distance")
+    got = grouped(s.hamming_nearest(codes, QUERY, s.Search(shard=900)), "distance")
     assert got == plain(ids, bits, lambda a, b: int((a != b).sum()))
