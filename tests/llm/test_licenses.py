@@ -49,7 +49,12 @@ NOTICE = lic.NOTICES[0][1]
         ("This work is licensed under the GNU General Public License, version 3", "gpl-3"),
         ("Permission is hereby granted to nobody", ""),
         ("the license of this software and the files of any person", ""),
-        ("licensed under the apache license version 2 0 ... " + lic.NOTICES[-1][1], "apache-2,bsd"),
+        (" one two three ".join(re.findall(r"(?:\S+ ?){1,3}", NOTICE)), ""),
+        (" ".join(NOTICE.split()[11:] + NOTICE.split()[:11]), ""),
+        ("under the terms of the GNU Lesser General Public License", "lgpl"),
+        ("Mozilla Public License, v. 2.0", "mpl"),
+        ("Creative Commons Attribution-ShareAlike 4.0 International License", "cc-by-sa"),
+        ("licensed under the apache license version 2 0 ... " + dict(lic.NOTICES[::-1])["bsd"], "apache-2,bsd"),
     ],
 )
 def test_notices_with_words_put_in_or_left_out(spark, text, labels):
@@ -57,6 +62,24 @@ def test_notices_with_words_put_in_or_left_out(spark, text, labels):
     assert scan(spark, [padded])[0]["labels"] == labels
 
 
+def test_every_notice_makes_its_own_label_only(spark):
+    got = scan(spark, [f"see {phrase} here" for _, phrase in lic.NOTICES])
+    for i, (label, _) in enumerate(lic.NOTICES):
+        assert got[i]["labels"] == label and got[i]["score"] == 1
+
+
+def test_a_span_drifts_so_far_and_no_further(spark):
+    words = NOTICE.split()
+    put_in = lambda n: " ".join(w + " x" * (i % 5 == 4 and i // 5 < n) for i, w in enumerate(words))
+    scores = [scan(spark, [put_in(n)])[0]["score"] for n in range(4)]
+    assert scores[0] == 1 and all(a > b for a, b in zip(scores, scores[1:], strict=False))
+
+
+def test_very_long_text_is_read_to_its_end(spark):
+    r = scan(spark, ["word " * 200000 + NOTICE])[0]
+    assert (r["n_words"], r["labels"]) == (200000 + len(NOTICE.split()), "mit") and r["spans"][0]["start"] == 200000
+
+
 def test_neighbouring_diagonals_make_one_span(spark):
     r = scan(spark, ["x y " + NOTICE.replace("copy of this", "copy of exactly this") + " z"])[0]
     assert [s["label"] for s in r["spans"]] == ["mit"] and r["spans"][0]["start"] == 2 and 0.8 < r["score"] <= 1
