@@ -12,6 +12,7 @@ Tables live under one root (on a cluster: the shared folder the session names):
     {root}/ops/quarantine             keyed append, by delivery
     {root}/ops/dq_results             by run and layer
     {root}/ops/ledger                 sinks that a stream's micro-batches finished
+    {root}/ops/day_counts             versioned rows by table and day
 
 Sketches of a table's keys stand in <table>.keys beside it (key_sketch).
 """
@@ -30,6 +31,7 @@ from eventlake.operators.bronze import split_valid_quarantine, to_bronze
 from eventlake.operators.silver import to_silver_events
 from eventlake.schemas import REPO_TRACKED
 from eventlake.sinks import writers
+from eventlake.sinks.day_counts import DayCounts
 from eventlake.sinks.row_log import RowLog
 from eventlake.sources.landing import existing_paths, hour_slots, spread_landing
 from eventlake.sources.snapshots import target_snapshot
@@ -51,6 +53,7 @@ class Lake:
     quarantine = property(lambda s: s.path("ops/quarantine"))
     dq_results = property(lambda s: s.path("ops/dq_results"))
     ledger = property(lambda s: s.path("ops/ledger"))
+    day_counts = property(lambda s: s.path("ops/day_counts"))
 
     def gold(self, name: str) -> str:
         return self.path(f"gold/{name}")
@@ -134,20 +137,17 @@ def bronze_job(
         days = valid.groupBy("event_date").agg(F.count(F.lit(1)).alias("n")).collect()  # a row for each day of the batch
     finally:
         parsed.unpersist()
+    dates = sorted(r["event_date"] for r in days)
+    name = "bronze/events_batch"
     return {
         "valid": sum(r["n"] for r in days),
         "quarantined": quarantined,
         "inserted": merged["inserted"],
-        "table_total": _total(spark, lake.bronze),
-        "dates": sorted(r["event_date"] for r in days),
+        "table_total": DayCounts(spark, lake.day_counts).record({name: lake.bronze}, dates)[name],
+        "dates": dates,
     }
 
 
-def _total(spark: SparkSession, path: str) -> int:
-    """Rows of a table, from the counts in its files' footers."""
-    return spark.read.parquet(path).count() if writers.table_exists(spark, path) else 0
-
-
 def silver_job(spark: SparkSession, lake: Lake, dates: list | None, source: str = "batch", run_id: str | None = None) -> dict:
     """Upsert the days' bronze events into silver, as a commit of this run.
 
@@ -180,9 +180,12 @@ def gold_job(spark: SparkSession, lake: Lake, dates: list | None) -> dict:
                 written = writers.overwrite_table(df, path)
             else:
                 written = writers.overwrite_partitions(df, path, expected=dates)
-            out[name] = {"written": written, "table_total": _total(spark, path)}
+            out[name] = {"written": written}
     finally:
         sets.unpersist()
+    totals = DayCounts(spark, lake.day_counts).record({f"gold/{name}": lake.gold(name) for name in out}, dates)
+    for name, m in out.items():
+        m["table_total"] = totals[f"gold/{name}"]
     return out
 
 
@@ -282,7 +285,8 @@ def refresh_dimension(
     history (keyed on repo and valid_from, so a rerun appends nothing twice)
     and the open rows are written as the next version.  ``effective_ts`` is the
     run's own time: a rerun after a failure must be given the same one.  The
-    history is read for its keys, and once more for the statistics.
+    history is read for its keys; its rows are counted in its files' footers, and
+    the open ones as they are written (V5).
     """
     current_open = writers.read_versioned(spark, lake.repos_open)
     state = scd2.scd2_upsert(current_open, snapshot, "repo_id", REPO_TRACKED, effective_ts, validate=True)
@@ -297,8 +301,8 @@ def refresh_dimension(
         res = writers.write_version(spark, opened, lake.repos_open)
     finally:
         state.unpersist()
-    stats = scd2.version_stats(read_dimension(spark, lake)).first().asDict()
-    return {**res, "closed": appended["inserted"], **stats}
+    past = spark.read.parquet(lake.repos_history).count() if writers.table_exists(spark, lake.repos_history) else 0
+    return {**res, "closed": appended["inserted"], "rows_total": res["rows"] + past, "current": res["rows"], "historical": past}
 
 
 def fold_silver(spark: SparkSession, lake: Lake) -> dict:

@@ -22,6 +22,23 @@ def delete_path(spark: SparkSession, path: str) -> None:
         fs.delete(p, True)
 
 
+def swap_folder(spark: SparkSession, new: str, path: str) -> None:
+    """Put the folder ``new`` in the place of ``path``, which is then deleted.
+    If it can't be put there, ``path`` is as before."""
+    fs, at = fs_path(spark, path)
+    _, ready = fs_path(spark, new)
+    _, old = fs_path(spark, f"{new}.old")
+    held = fs.exists(at)
+    if held and not fs.rename(at, old):
+        raise OSError(f"cannot move {path} away")
+    if not fs.rename(ready, at):
+        if held:
+            fs.rename(old, at)
+        raise OSError(f"cannot move {new} to {path}")
+    if held:
+        fs.delete(old, True)
+
+
 def make_folder(spark: SparkSession, path: str) -> None:
     fs, p = fs_path(spark, path)
     fs.mkdirs(p)

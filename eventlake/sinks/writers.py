@@ -29,6 +29,7 @@ from __future__ import annotations
 import math
 import re
 import time
+import uuid
 from collections.abc import Sequence
 
 from py4j.protocol import Py4JJavaError
@@ -37,7 +38,7 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from eventlake.operators.clustering import z_value
-from eventlake.sinks.files import delete_path, fs_path, list_children, path_bytes, path_exists
+from eventlake.sinks.files import delete_path, fs_path, list_children, path_bytes, path_exists, swap_folder
 from eventlake.sinks.key_sketch import KeySketch
 
 DATE_COL = "event_date"
@@ -285,12 +286,26 @@ def spark_of(df: DataFrame) -> SparkSession:
 
 
 def overwrite_table(df: DataFrame, path: str, partition_col: str | None = DATE_COL) -> int:
+    """Replace the whole table.
+
+    The new rows are written to a folder of their own beside it and take the
+    table's place when they are all there: a write that fails leaves the old
+    table as it was, and ``df`` may read the table.
+    """
+    spark, aside = df.sparkSession, f"{path}.next-{uuid.uuid4().hex[:8]}"
     df, obs = _observed(balanced(df, partition_col), "overwrite")
-    w = df.write.mode("overwrite").option("partitionOverwriteMode", "static")
+    w = df.write.mode("errorifexists")
     if partition_col:
         w = w.partitionBy(partition_col)
-    w.parquet(path)
-    return obs.get["rows"]
+    try:
+        w.parquet(aside)
+    except Exception:
+        delete_path(spark, aside)
+        raise
+    rows = obs.get["rows"]
+    swap_folder(spark, aside, path)
+    spark.catalog.refreshByPath(path)
+    return rows
 
 
 # ---- W6 versioned overwrite -------------------------------------------------

@@ -1,5 +1,7 @@
 from __future__ import annotations
 
+import pytest
+
 import datetime as dt
 
 from pyspark.sql import functions as F
@@ -61,6 +63,19 @@ def test_replace_partition_and_empty_replace(spark, tmp_root):
     assert _state(spark, path) == [("x", 9, "2024-01-01")]
 
 
+def test_overwrite_reads_its_own_table_and_a_failed_one_leaves_it(spark, tmp_root):
+    path = f"{tmp_root}/gold"
+    w.overwrite_table(_df(spark, [("a", 1, "2024-01-01"), ("b", 1, "2024-01-02")]), path)
+    own = spark.read.parquet(path).withColumn("event_date", F.date_add("event_date", 5)).where("event_date > '2024-01-06'")
+    assert w.overwrite_table(own, path) == 1
+    assert _state(spark, path) == [("b", 1, "2024-01-07")]
+    broken = spark.read.parquet(path).withColumn("event_date", F.raise_error(F.lit("stop")).cast("date"))
+    with pytest.raises(Exception, match="stop"):
+        w.overwrite_table(broken, path)
+    assert _state(spark, path) == [("b", 1, "2024-01-07")]
+    assert w.list_children(spark, tmp_root) == ["gold"]  # nothing is left beside it
+
+
 def test_overwrite_partitions_keeps_other_days(spark, tmp_root):
     path = f"{tmp_root}/gold"
     w.overwrite_table(_df(spark, [("a", 1, "2024-01-01"), ("b", 1, "2024-01-02")]), path)
