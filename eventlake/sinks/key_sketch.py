@@ -127,12 +127,16 @@ class KeySketch:
         keys = rows.select(self._key().alias("k")).where("k is not null")
         if not live:
             return keys.select(F.col("k").alias("key"), F.lit(None).cast("string").alias("day")).where("false")
-        known = F.array(*[F.struct(F.lit(s.day).alias("day"), F.lit(s.name).alias("name"), F.lit(s.rows).alias("rows"), F.lit(s.least).alias("lo"), F.lit(s.most).alias("hi")) for s in live])
-        asked = keys.select("k", *[w.alias(f"k_{n}") for w, n in zip(key_words(F.col("k")), WORDS, strict=True)], F.inline(known)).where("k >= lo and k <= hi")
-        asked = asked.select("k", *[f"k_{n}" for n in WORDS], "day", "name", F.pmod(F.xxhash64("k"), F.col("rows").cast("long")).cast("int").alias("row"))
+        sizes = F.array(*[F.lit(n) for n in sorted({s.rows for s in live})])
+        asked = keys.select("k", *[w.alias(f"k_{n}") for w, n in zip(key_words(F.col("k")), WORDS, strict=True)], F.explode(sizes).alias("rows"))
+        asked = asked.withColumn("row", F.pmod(F.xxhash64("k"), F.col("rows").cast("long")).cast("int"))
         stored = self.spark.read.schema("day string, row int, " + ", ".join(f"{w} bigint" for w in WORDS) + ", name string").parquet(f"{self.root}/bits")
         stored = stored.where(F.col("name").isin(sorted({s.name for s in live})) & F.col("day").isin(sorted({s.day for s in live})))
-        met = asked.join(stored, ["day", "name", "row"])
+        # a line for each sketch: a batch's keys are dealt once for each size of a
+        # sketch, not once for each day
+        known = self.spark.createDataFrame([(s.day, s.name, s.rows, s.least, s.most) for s in live], "day string, name string, rows int, lo string, hi string")
+        stored = stored.join(F.broadcast(known), ["day", "name"])
+        met = asked.join(stored, ["rows", "row"]).where("k >= lo and k <= hi")
         held = [F.col(f"k_{n}").bitwiseAND(F.col(n)) == F.col(f"k_{n}") for n in WORDS]
         return met.where(held[0] & held[1] & held[2] & held[3]).select(F.col("k").alias("key"), "day").distinct()
 

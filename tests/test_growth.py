@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 import pytest
+from pyspark.sql import functions as F
 
 from conftest import SMOKE_SF
 from eventlake import queries
+from eventlake.sinks.key_sketch import KeySketch
 
 
 def first_plan(df):
@@ -40,3 +42,16 @@ def test_parsed_lines_are_not_broadcast_by_a_guess(spark, threshold):
     threshold("-1")
     queries.apply_job_conf(spark)
     assert (spark.conf.get(GUESSED), spark.conf.get(MEASURED)) == ("-1", "-1")
+
+
+def test_a_probe_deals_keys_once_for_each_size_of_a_sketch(spark, tmp_root, threshold):
+    """Not once for each day, and no day's bits are sent to the driver."""
+    threshold("-1")
+    sketch = KeySketch(spark, f"{tmp_root}/t", "event_id", "event_date")
+    days = spark.range(0, 40).select(F.col("id").cast("string").alias("event_id"), F.date_add(F.lit("2024-01-01").cast("date"), (F.col("id") % 20).cast("int")).alias("event_date"))
+    sketch.add(days)
+    found = sketch.suspects(days)
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert "inline(" not in plan and plan.count("Generate explode([1])") == 1
+    assert first_plan(found).count("BroadcastHashJoin") == 1  # the list of sketches
+    assert {(str(i), f"2024-01-{1 + i % 20:02d}") for i in range(40)} <= {(r["key"], r["day"]) for r in found.collect()}
