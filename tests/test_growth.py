@@ -7,8 +7,11 @@ from pyspark.sql import functions as F
 
 from conftest import SMOKE_SF
 from eventlake import queries
+from eventlake.plans import jobs
 from eventlake.sinks.key_sketch import KeySketch
 
+REPO = "repo_id long, repo_name string, primary_language string, stargazers_count int, forks_count int, open_issues_count int, topics string, description string, is_fork boolean, size_kb int"
+
 
 def first_plan(df):
     return df._jdf.queryExecution().sparkPlan().toString()
@@ -55,3 +58,21 @@ def test_a_probe_deals_keys_once_for_each_size_of_a_sketch(spark, tmp_root, thre
     assert "inline(" not in plan and plan.count("Generate explode([1])") == 1
     assert first_plan(found).count("BroadcastHashJoin") == 1  # the list of sketches
     assert {(str(i), f"2024-01-{1 + i % 20:02d}") for i in range(40)} <= {(r["key"], r["day"]) for r in found.collect()}
+
+
+def test_a_snapshot_may_hold_several_records_of_a_key(spark, tmp_root):
+    """As the fixture's second one does past a million parts: both are versions."""
+    lake = jobs.Lake(tmp_root)
+    repo = lambda key, name, stars=1: (key, name, "Go", stars, 1, 1, "", "", False, 1)
+    both = spark.createDataFrame([repo(1, "a/one"), repo(1, "b/other"), repo(2, "a/two")], REPO)
+    with pytest.raises(ValueError):
+        jobs.refresh_dimension(spark, lake, both, "2024-01-16T00:00:00Z")
+    first = spark.createDataFrame([repo(1, "a/one"), repo(2, "a/two", 7)], REPO)
+    jobs.refresh_dimension(spark, lake, first, "2024-01-15T00:00:00Z", several=True)
+    jobs.refresh_dimension(spark, lake, both, "2024-01-16T00:00:00Z", several=True)
+    rows = {(r["repo_id"], r["repo_name"], r["is_current"]) for r in jobs.read_dimension(spark, lake).collect()}
+    # the contract's SQL: kept by the record that is equal, closed by the one that is not
+    assert rows == {(1, "a/one", True), (1, "a/one", False), (1, "b/other", True), (2, "a/two", False), (2, "a/two", True)}
+    for bad in ([repo(1, "a/one"), repo(1, "a/one")], [repo(None, "a/one")]):
+        with pytest.raises(ValueError):
+            jobs.refresh_dimension(spark, lake, spark.createDataFrame(bad, REPO), "2024-01-17T00:00:00Z", several=True)
