@@ -31,10 +31,12 @@ from .common import small_batches, spare, table, tokenizer_file
 from .piece_model import CONTROL, SEGMENT, SPACE, build_decoder, build_tokenizer, cuts_at_segments, parse_model, without_prefix
 
 MODEL = "piece_bpe_32k.model"
-#: Segments that a task remembers; a full memory is emptied, which costs time only.
-MEMORY = 300_000
+#: Segments that a task remembers, and ids of them all for each segment on average;
+#: a full memory is emptied, which costs time only.
+MEMORY = 100_000
+IDS = 8
 #: Characters that are taken at a time.
-PART = 1 << 20
+PART = 1 << 18
 #: Segments given to the libraries in one call: their answers take about a kilobyte each.
 CALL = 8192
 #: Threads of one task's tokenizers library; each keeps memory of its own.
@@ -107,7 +109,7 @@ class PieceCodec:
     def _encode_parts(self, held: list[tuple[int, str]], out: list[list[np.ndarray]], flags: np.ndarray) -> None:
         if not held:
             return
-        if len(self.known) > self.memory:
+        if len(self.known) > self.memory or len(self.ids) > IDS * self.memory:
             self._forget()
         found = [self.find(part) for _, part in held]
         counts = np.array([len(f) for f in found], np.int64)

@@ -59,6 +59,15 @@ def test_ids_and_texts_are_the_librarys(model, part):
     assert same.tolist() == ["▁" not in t for t in ODD]
 
 
+def test_long_words_count_for_what_they_take(model):
+    """A few words of many ids fill the memory as many short ones do."""
+    codec = PieceCodec(model, memory=10)
+    codec.encode(["qzxj" * 100])
+    assert len(codec.known) == 1 and len(codec.ids) > 80
+    codec.encode(["cat"])
+    assert len(codec.known) == 1 and len(codec.ids) <= 80
+
+
 @pytest.mark.parametrize("fallback", [True, False])
 def test_unigram_model_by_hand(fallback):
     data = unigram_model(fallback)
