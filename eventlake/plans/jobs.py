@@ -126,16 +126,19 @@ def bronze_job(
 ) -> dict:
     """Raw lines -> quarantine append + insert-only merge into bronze.
 
-    The parsed frame is persisted so the two outputs share one parse; it is
-    recomputed from the landing files if an executor is lost.
+    The parsed frame is persisted so the two outputs share one parse, the valid rows
+    because they are merged and then counted; both are recomputed from the landing
+    files if an executor is lost.
     """
     parsed = to_bronze(raw, source_file, ingestion_ts).persist(StorageLevel.MEMORY_AND_DISK)
+    valid, bad = split_valid_quarantine(parsed)
+    valid = valid.persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        valid, bad = split_valid_quarantine(parsed)
         quarantined = writers.append_quarantine(spark, bad, lake.quarantine)
         merged = writers.merge_insert_only(spark, valid, lake.bronze)
         days = valid.groupBy("event_date").agg(F.count(F.lit(1)).alias("n")).collect()  # a row for each day of the batch
     finally:
+        valid.unpersist()
         parsed.unpersist()
     dates = sorted(r["event_date"] for r in days)
     name = "bronze/events_batch"
