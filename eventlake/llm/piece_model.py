@@ -101,6 +101,8 @@ def implied_merges(model: PieceModel) -> list[tuple[str, str]]:
 
 #: A run of blanks with the letters, digits or signs after it.
 SEGMENT = r" *[^\W\d_²³¹¼½¾]+| *\d+| *(?:[^\w ]|[_²³¹¼½¾])+| +"
+#: The same of a text that is all ASCII, whose sets of characters are looked up faster.
+ASCII_SEGMENT = r" *[A-Za-z]+| *[0-9]+| *[^A-Za-z0-9 ]+| +"
 
 
 def cuts_at_segments(model: PieceModel) -> bool:

@@ -20,19 +20,20 @@ import os
 import re
 from array import array
 from collections.abc import Iterator
+from itertools import chain
+from operator import eq
 
 import numpy as np
 import pandas as pd
-import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import small_batches, spare, table, tokenizer_file
-from .piece_model import CONTROL, SEGMENT, SPACE, build_decoder, build_tokenizer, cuts_at_segments, parse_model, without_prefix
+from .piece_model import ASCII_SEGMENT, CONTROL, SEGMENT, SPACE, build_decoder, build_tokenizer, cuts_at_segments, parse_model, without_prefix
 
 MODEL = "piece_bpe_32k.model"
 #: Segments that a task remembers, and ids of them all for each segment on average;
-#: a full memory is emptied, which costs time only.
+#: a full memory keeps its half that was used most, which costs time only.
 MEMORY = 100_000
 IDS = 8
 #: Characters that are taken at a time.
@@ -62,7 +63,7 @@ class PieceCodec:
         self.tokenizer = build_tokenizer(parse_model(plain))
         self.library = sentencepiece.SentencePieceProcessor(model_proto=plain)
         self.memory, self.part = memory, part
-        self.find = re.compile(SEGMENT).findall
+        self.find, self.find_ascii = re.compile(SEGMENT).findall, re.compile(ASCII_SEGMENT).findall
         self.reader = build_decoder(self.model)
         self.hidden = {i for i, (_, _, kind) in enumerate(self.model.pieces) if kind == CONTROL}
         self.marked = np.array([piece.startswith(SPACE) for piece, _, _ in self.model.pieces], bool)
@@ -71,21 +72,43 @@ class PieceCodec:
     def _forget(self) -> None:
         self.known: dict[str, int] = {}
         self.sizes, self.ids, self.same, self.back = array("q"), array("i"), array("b"), array("b")
-
-    def _encoded(self, texts: list[str]) -> Iterator[tuple[list[int], bool, bool]]:
-        """Ids of each text, whether the library has the same, and whether they
-        read as the text."""
+        self.uses = np.zeros(0, np.int64)
+
+    def _trim(self) -> None:
+        """Forget all but the segments used most, of those used twice or more."""
+        known, sizes, flat, same, back = self.known, *(np.array(x) for x in (self.sizes, self.ids, self.same, self.back))
+        best = np.argsort(-self.uses, kind="stable")
+        best = best[self.uses[best] > 1][: self.memory // 2]
+        best = np.sort(best[np.cumsum(sizes[best]) <= IDS * self.memory // 2])
+        uses = self.uses[best] // 2
+        self._forget()
+        self.uses = uses
+        place = np.full(len(sizes), -1, np.int64)
+        place[best] = np.arange(len(best))
+        kept = place.tolist()
+        self.known = {word: kept[at] for word, at in known.items() if kept[at] >= 0}
+        starts = np.cumsum(sizes) - sizes
+        self.sizes.frombytes(sizes[best].astype(np.int64).tobytes())
+        self.ids.frombytes(flat[_runs(starts[best], sizes[best])].astype(np.int32).tobytes())
+        self.same.frombytes(same[best].astype(np.int8).tobytes())
+        self.back.frombytes(back[best].astype(np.int8).tobytes())
+
+    def _encoded(self, texts: list[str]) -> Iterator[tuple[list[list[int]], list[bool], list[bool]]]:
+        """Of some texts at a time: ids of each, whether the library has the same, and
+        whether they read as the text."""
         for a in range(0, len(texts), CALL):
             part = texts[a : a + CALL]
             mine = [x.ids for x in self.tokenizer.encode_batch_fast(part, add_special_tokens=False)]
             theirs = self.library.encode(part, num_threads=1)
             read = self.reader.decode_batch(mine, skip_special_tokens=True) if self.by_segments else self.decode(mine)
-            yield from ((x, x == y, z == t) for x, y, z, t in zip(mine, theirs, read, part, strict=True))
+            if not len(mine) == len(theirs) == len(read) == len(part):
+                raise ValueError("a text has no answer")
+            yield mine, list(map(eq, mine, theirs)), list(map(eq, read, part))
 
     def encode(self, texts: list[str]) -> tuple[list[np.ndarray], np.ndarray, np.ndarray]:
         """Ids, parity flag and round-trip flag of each text."""
         if not self.by_segments:
-            rows = list(self._encoded(texts))
+            rows = [r for answers in self._encoded(texts) for r in zip(*answers, strict=True)]
             return [np.array(r[0], np.int32) for r in rows], np.array([r[1] for r in rows], bool), np.array([r[2] for r in rows], bool)
         out: list[list[np.ndarray]] = [[] for _ in texts]
         flags = np.ones((2, len(texts)), bool)
@@ -110,24 +133,27 @@ class PieceCodec:
         if not held:
             return
         if len(self.known) > self.memory or len(self.ids) > IDS * self.memory:
-            self._forget()
-        found = [self.find(part) for _, part in held]
+            self._trim()
+        found = [self.find_ascii(part) if part.isascii() else self.find(part) for _, part in held]
         counts = np.array([len(f) for f in found], np.int64)
-        segments = pa.array([s for f in found for s in f], pa.string()).dictionary_encode()
-        words = segments.dictionary.to_pylist()
-        if fresh := [w for w in words if w not in self.known]:
-            for word, (ids, same, back) in zip(fresh, self._encoded(fresh), strict=True):
-                self.known[word] = len(self.sizes)
-                self.sizes.append(len(ids))
-                self.ids.extend(ids)
-                self.same.append(same)
-                self.back.append(back)
+        segments = list(chain.from_iterable(found))
+        places = list(map(self.known.get, segments))
+        if fresh := list(dict.fromkeys(s for s, at in zip(segments, places, strict=True) if at is None)):
+            first = len(self.sizes)
+            for ids, same, back in self._encoded(fresh):
+                self.sizes.extend(map(len, ids))
+                self.ids.extend(chain.from_iterable(ids))
+                self.same.extend(same)
+                self.back.extend(back)
+            self.known.update(zip(fresh, range(first, len(self.sizes)), strict=True))
+            places = list(map(self.known.__getitem__, segments))
         sizes, flat, same, back = (np.frombuffer(x, t) for x, t in ((self.sizes, np.int64), (self.ids, np.int32), (self.same, np.int8), (self.back, np.int8)))
         starts = np.cumsum(sizes) - sizes
-        which = np.array([self.known[w] for w in words], np.int64)[segments.indices.to_numpy()]
+        which = np.array(places, np.int64)
+        self.uses = np.bincount(which, minlength=len(sizes)) + np.pad(self.uses, (0, len(sizes) - len(self.uses)))
         size = sizes[which]
         ends = np.cumsum(size)
-        ids = flat[np.arange(ends[-1]) + np.repeat(starts[which] - (ends - size), size)]
+        ids = flat[_runs(starts[which], size)]
         last = np.cumsum(counts) - 1
         cuts = np.concatenate([[0], ends[last]])
         good = [np.logical_and.reduceat(f[which] == 1, np.cumsum(counts) - counts) for f in (same, back)]
@@ -166,6 +192,12 @@ def codec_of(shared: dict) -> PieceCodec:
     return shared["codec"]
 
 
+def _runs(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """Places of runs one after another: ``sizes`` of them from each of ``starts``."""
+    ends = np.cumsum(sizes)
+    return np.arange(ends[-1] if len(ends) else 0) + np.repeat(starts - (ends - sizes), sizes)
+
+
 def _parts(text: str, most: int) -> Iterator[str]:
     """A long text cut before blanks that follow another character."""
     at = 0

@@ -1,5 +1,6 @@
 """SentencePiece: parity with the library on BPE and unigram models."""
 
+import re
 import struct
 
 import pytest
@@ -68,6 +69,26 @@ def test_long_words_count_for_what_they_take(model):
     assert len(codec.known) == 1 and len(codec.ids) <= 80
 
 
+def test_a_full_memory_keeps_what_is_used_most(model):
+    """Frequent words are not given to the libraries again each time it is full."""
+    codec, asked = PieceCodec(model, memory=10), []
+    one_by_one = codec._encoded
+    codec._encoded = lambda texts: (asked.extend(texts), one_by_one(texts))[1]
+    library = sentencepiece.SentencePieceProcessor(model_proto=model)
+    for i in range(12):
+        texts = ["the cat the cat", " ".join(f"w{chr(97 + i)}{chr(97 + j)}q" for j in range(6)), "é cat 7"]
+        ids, parity, same = codec.encode(texts)
+        assert [list(map(int, x)) for x in ids] == [library.encode(t) for t in texts] and parity.all() and same.all()
+        assert len(codec.uses) == len(codec.known) == len(codec.sizes) == len(codec.same) == len(codec.back)
+        assert sum(codec.sizes) == len(codec.ids)
+    assert asked.count(" the") == asked.count(" cat") == 1 and asked.count(" waaq") == 1
+
+
+def test_ascii_texts_are_cut_like_others():
+    texts = ["a  b_c 12x", "__  ", "\t\n x\x00\x1f~", " 9 9", "a" * 5 + "  ", ".,;a-b", "".join(map(chr, range(128)))]
+    assert [re.findall(pm.ASCII_SEGMENT, t) for t in texts] == [re.findall(pm.SEGMENT, t) for t in texts]
+
+
 @pytest.mark.parametrize("fallback", [True, False])
 def test_unigram_model_by_hand(fallback):
     data = unigram_model(fallback)
