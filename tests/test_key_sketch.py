@@ -96,3 +96,20 @@ def test_history_is_not_read_by_a_batch_of_the_fixture(spark, tmp_root):
     w.merge_insert_only(spark, valid.filter(~late), path)
     done = w.merge_insert_only(spark, valid.filter(late), path)
     assert done["inserted"] == valid.filter(late).count() and done["suspects"] == done["false"] <= 2
+
+
+def test_a_small_batch_is_probed_and_written_without_a_shuffle_of_sketches(spark, tmp_root):
+    from eventlake.sinks.key_sketch import FEW_DAYS, FEW_ROWS, DayKeys, few
+
+    assert few({"2024-01-01": DayKeys(FEW_ROWS, "a", "b")}) and few({})
+    assert not few({"2024-01-01": DayKeys(FEW_ROWS, "a", "b"), "2024-01-02": DayKeys(1, "c", "c")})
+    assert not few({str(i): DayKeys(1, "a", "a") for i in range(FEW_DAYS + 1)})
+    path = f"{tmp_root}/t"
+    assert w.merge_insert_only(spark, keyed(spark, 0, 40000, "2024-01-01"), path)["few"] is False
+    done = w.merge_insert_only(spark, keyed(spark, 39990, 40010, "2024-01-02"), path)
+    assert (done["few"], done["inserted"], done["suspects"]) == (True, 10, 1)
+    sketch = w.key_sketch(spark, path)
+    plans = [sketch._probe(keyed(spark, 5, 9, "2024-01-03"), sketch.sketches(), small)._jdf.queryExecution().analyzed().toString() for small in (False, True)]
+    assert [p.count("strategy=broadcast") for p in plans] == [1, 2]  # the index's lines; the batch's keys too
+    assert sketch.suspect_days(keyed(spark, 5, 9, "2024-01-03"), days=sketch.days_in(keyed(spark, 5, 9, "2024-01-03"))) == ["2024-01-01"]
+    assert spark.read.parquet(path).count() == spark.read.parquet(path).select("event_id").distinct().count() == 40010
