@@ -10,6 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -373,15 +374,20 @@ def q_merge_insert_bloom_days(spark, sf):
 
 def two_writers(spark, sf, log):
     """Batch and stream upsert into one silver table in turn, with a fold in
-    between; the last commits are not folded."""
-    valid = bronze_valid_df(spark, sf)
+    between; the last commits are not folded.  The valid rows, one for each event,
+    are parsed once for all of the writes."""
+    valid = bronze_valid_df(spark, sf).persist(StorageLevel.MEMORY_AND_DISK)
+    rows = lambda df, source: to_silver_events(df, source, dedup=False)
     d = F.col("event_date")
-    log.append(to_silver_events(valid.filter(d <= F.to_date(F.lit(UPSERT_FIRST_UNTIL))), "batch"), "batch", "1")
-    log.append(to_silver_events(valid.filter(d >= F.to_date(F.lit(UPSERT_SECOND_FROM))), "stream"), "stream", "1")
-    log.fold()
-    log.append(to_silver_events(valid.filter(d >= F.to_date(F.lit(UPSERT_THIRD_FROM))), "batch"), "batch", "2")
-    log.append(to_silver_events(moved(valid), "stream"), "stream", "2")
-    log.append(to_silver_events(moved(valid), "stream"), "stream", "2")  # the same batch again
+    try:
+        log.append(rows(valid.filter(d <= F.to_date(F.lit(UPSERT_FIRST_UNTIL))), "batch"), "batch", "1")
+        log.append(rows(valid.filter(d >= F.to_date(F.lit(UPSERT_SECOND_FROM))), "stream"), "stream", "1")
+        log.fold()
+        log.append(rows(valid.filter(d >= F.to_date(F.lit(UPSERT_THIRD_FROM))), "batch"), "batch", "2")
+        log.append(rows(moved(valid), "stream"), "stream", "2")
+        log.append(rows(moved(valid), "stream"), "stream", "2")  # the same batch again
+    finally:
+        valid.unpersist()
 
 
 UPSERT_THIRD_FROM = "2024-01-18"

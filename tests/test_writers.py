@@ -145,3 +145,21 @@ def test_compaction_keeps_content_and_sorts(spark, tmp_root):
     assert len(files) == 1
     vs = [r["v"] for r in spark.read.parquet(f"{path}/event_date=2024-01-01").collect()]
     assert vs == sorted(vs)
+
+
+def test_two_writers_parse_once_and_dedup_once(spark):
+    from conftest import SMOKE_SF
+    from eventlake.queries import two_writers
+
+    class Log:
+        plans = []
+
+        def append(self, rows, writer, batch):
+            done = rows._jdf.queryExecution()
+            self.plans.append((done.analyzed().toString().count("Aggregate ["), "InMemoryTableScan" in done.executedPlan().toString()))
+
+        def fold(self):
+            pass
+
+    two_writers(spark, SMOKE_SF, Log())
+    assert Log.plans == [(1, True)] * 5
