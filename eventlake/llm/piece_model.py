@@ -117,8 +117,17 @@ def cuts_at_segments(model: PieceModel) -> bool:
     return inside and model.escape_whitespaces and not model.remove_extra_whitespaces and not model.charsmap and (model.byte_fallback or model.model_type == BPE)
 
 
-def tokenizer_json(model: PieceModel) -> str:
-    """The model as a ``tokenizers`` file."""
+def piece_widths(model: PieceModel) -> list[int]:
+    """UTF-8 bytes of a text that each piece stands for; of one that stands for
+    none, or for any number, more than a text has."""
+    none = 1 << 32
+    width = {NORMAL: lambda p: len(p.replace(SPACE, " ").encode()) or none, BYTE: lambda p: 1}
+    width[USER_DEFINED] = width[UNUSED] = width[NORMAL]
+    return [width.get(kind, lambda p: none)(p) for p, _, kind in model.pieces]
+
+
+def build_tokenizer(model: PieceModel, merges: bool = True):
+    """The model as a tokenizer; without ``merges`` it can decode only."""
     from tokenizers import Regex, Tokenizer, decoders, models, normalizers
 
     if model.model_type == UNIGRAM:
@@ -126,10 +135,11 @@ def tokenizer_json(model: PieceModel) -> str:
     else:
         core = models.BPE(
             vocab={p: i for i, (p, _, _) in enumerate(model.pieces)},
-            merges=implied_merges(model),
+            merges=implied_merges(model) if merges else [],
             unk_token=model.pieces[model.unk_id][0],
             fuse_unk=True,
             byte_fallback=model.byte_fallback,
+            cache_capacity=0,  # what is encoded seldom comes again
         )
     tokenizer = Tokenizer(core)
     steps = [normalizers.Precompiled(model.charsmap)] if model.charsmap else []
@@ -143,7 +153,7 @@ def tokenizer_json(model: PieceModel) -> str:
     tokenizer.normalizer = normalizers.Sequence(steps)
     last = [decoders.Strip(" ", 1, 0)] if model.add_dummy_prefix else []
     tokenizer.decoder = decoders.Sequence([decoders.Replace(SPACE, " "), decoders.ByteFallback(), decoders.Fuse(), *last])
-    return tokenizer.to_str()
+    return tokenizer
 
 
 def without_prefix(data: bytes) -> bytes:
@@ -154,19 +164,13 @@ def without_prefix(data: bytes) -> bytes:
     return data + bytes([3 << 3 | 2, 2, 3 << 3, 0])
 
 
-def build_tokenizer(model: PieceModel):
-    from tokenizers import Tokenizer
-
-    return Tokenizer.from_str(tokenizer_json(model))
-
-
 def build_decoder(model: PieceModel):
     """A tokenizer that only decodes: control pieces are left out, the unknown
     piece reads as the library writes it, and the blank that is put before a text
     stays (whether there is one depends on the first piece)."""
     from tokenizers import AddedToken, decoders
 
-    reader = build_tokenizer(model)
+    reader = build_tokenizer(model, merges=False)
     unknown = model.pieces[model.unk_id][0]
     reader.decoder = decoders.Sequence([decoders.Replace(unknown, " \u2047 "), decoders.Replace(SPACE, " "), decoders.ByteFallback(), decoders.Fuse()])
     reader.add_special_tokens([AddedToken(p, special=True, normalized=False) for p, _, kind in model.pieces if kind == CONTROL])

@@ -3,9 +3,9 @@
 The model file is broadcast (its size is fixed); each task parses and rebuilds
 it (``piece_model``) and encodes Arrow batches; ids and decoded texts are the
 rebuilt tokenizer's.  Where the vocabulary proves that no piece crosses from a
-word to its neighbours, the distinct segments of a batch are encoded in one
-multithreaded call and the texts' ids are put together from them; else whole
-texts are encoded.  What is encoded is decoded again, and compared with the
+word to its neighbours, the distinct segments of a batch are encoded, some joined
+to a text, in one multithreaded call and the texts' ids are put together from them;
+else whole texts are encoded.  What is encoded is decoded again, and compared with the
 SentencePiece library: ``round_trip`` says whether the ids read as the text, and
 ``parity`` whether the library gives the same ids.
 
@@ -21,7 +21,6 @@ import re
 from array import array
 from collections.abc import Iterator
 from itertools import chain
-from operator import eq
 
 import numpy as np
 import pandas as pd
@@ -29,17 +28,19 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import small_batches, spare, table, tokenizer_file
-from .piece_model import ASCII_SEGMENT, CONTROL, SEGMENT, SPACE, build_decoder, build_tokenizer, cuts_at_segments, parse_model, without_prefix
+from .piece_model import ASCII_SEGMENT, BPE, CONTROL, SEGMENT, SPACE, build_decoder, build_tokenizer, cuts_at_segments, parse_model, piece_widths, without_prefix
 
 MODEL = "piece_bpe_32k.model"
 #: Segments that a task remembers, and ids of them all for each segment on average;
 #: a full memory keeps its half that was used most, which costs time only.
-MEMORY = 100_000
+MEMORY = 200_000
 IDS = 8
 #: Characters that are taken at a time.
 PART = 1 << 18
 #: Segments given to the libraries in one call: their answers take about a kilobyte each.
 CALL = 8192
+#: Segments joined to one text for the tokenizers library, after one without a blank.
+JOIN = 16
 #: Threads of one task's tokenizers library; each keeps memory of its own.
 THREADS = 2
 
@@ -49,6 +50,19 @@ def load_model(path: str | None = None) -> bytes:
         return f.read()
 
 
+class Numbers(dict):
+    """Numbers of words, given when they are first asked for; ``new`` ones are listed."""
+
+    def __init__(self, known=()):
+        super().__init__(known)
+        self.new: list[str] = []
+
+    def __missing__(self, word: str) -> int:
+        self[word] = at = len(self)
+        self.new.append(word)
+        return at
+
+
 class PieceCodec:
     """Encodes and decodes batches of texts inside one task."""
 
@@ -66,11 +80,13 @@ class PieceCodec:
         self.find, self.find_ascii = re.compile(SEGMENT).findall, re.compile(ASCII_SEGMENT).findall
         self.reader = build_decoder(self.model)
         self.hidden = {i for i, (_, _, kind) in enumerate(self.model.pieces) if kind == CONTROL}
+        self.widths = np.array(piece_widths(self.model), np.int64)
+        self.join = JOIN if self.model.model_type == BPE else 0  # sums of unigram scores are rounded
         self.marked = np.array([piece.startswith(SPACE) for piece, _, _ in self.model.pieces], bool)
         self._forget()
 
     def _forget(self) -> None:
-        self.known: dict[str, int] = {}
+        self.known = Numbers()
         self.sizes, self.ids, self.same, self.back = array("q"), array("i"), array("b"), array("b")
         self.uses = np.zeros(0, np.int64)
 
@@ -86,30 +102,75 @@ class PieceCodec:
         place = np.full(len(sizes), -1, np.int64)
         place[best] = np.arange(len(best))
         kept = place.tolist()
-        self.known = {word: kept[at] for word, at in known.items() if kept[at] >= 0}
+        self.known = Numbers((word, kept[at]) for word, at in known.items() if kept[at] >= 0)
         starts = np.cumsum(sizes) - sizes
         self.sizes.frombytes(sizes[best].astype(np.int64).tobytes())
         self.ids.frombytes(flat[_runs(starts[best], sizes[best])].astype(np.int32).tobytes())
         self.same.frombytes(same[best].astype(np.int8).tobytes())
         self.back.frombytes(back[best].astype(np.int8).tobytes())
 
-    def _encoded(self, texts: list[str]) -> Iterator[tuple[list[list[int]], list[bool], list[bool]]]:
-        """Of some texts at a time: ids of each, whether the library has the same, and
-        whether they read as the text."""
+    def _encoded(self, texts: list[str]) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
+        """Of some texts at a time: number of ids of each, the ids, whether the library
+        has the same, and whether they read as the text."""
         for a in range(0, len(texts), CALL):
             part = texts[a : a + CALL]
-            mine = [x.ids for x in self.tokenizer.encode_batch_fast(part, add_special_tokens=False)]
+            sizes, ids, back = self._joined(part) if self.by_segments and self.join else self._single(part)
             theirs = self.library.encode(part, num_threads=1)
-            read = self.reader.decode_batch(mine, skip_special_tokens=True) if self.by_segments else self.decode(mine)
-            if not len(mine) == len(theirs) == len(read) == len(part):
+            if not len(sizes) == len(theirs) == len(back) == len(part):
                 raise ValueError("a text has no answer")
-            yield mine, list(map(eq, mine, theirs)), list(map(eq, read, part))
+            yield sizes, ids, _same_runs(sizes, ids, *_flat(theirs)), back
+
+    def _single(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Number of ids of each text, the ids, and whether they read as the text."""
+        mine = [x.ids for x in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+        read = self.reader.decode_batch(mine, skip_special_tokens=True) if self.by_segments else self.decode(mine)
+        return *_flat(mine), np.array([x == y for x, y in zip(read, texts, strict=True)], bool)
+
+    def _joined(self, segments: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """As ``_single``, of segments that are encoded and read some at a time.
+
+        A segment with a blank before it ends the one before, so joined ones are
+        cut alike and no piece crosses.  Where the ids' widths do not end with the
+        segments, or the joined text is not read again, its segments go one by one.
+        """
+        heads = [i for i, s in enumerate(segments) if s[0] != " " or s[-1] == " "]
+        tails = [i for i, s in enumerate(segments) if s[0] == " " and s[-1] != " "]
+        first = [i for i in heads if segments[i][0] != " "]
+        runs = [tails[a : a + self.join] for a in range(0, len(tails), self.join)]
+        groups = [[i, *run] for i, run in zip(first, runs)] + runs[len(first) :] + [[i] for i in first[len(runs) :]]
+        groups += [[i] for i in heads if segments[i][0] == " "]
+        texts = ["".join([segments[i] for i in group]) for group in groups]
+        mine = [x.ids for x in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+        read = self.reader.decode_batch(mine, skip_special_tokens=True)
+        members, order = _flat(groups)
+        counts, ids = _flat(mine)
+        if not len(counts) == len(read) == len(groups) or not counts.all():
+            return self._single(segments)
+        # where tokens and segments end: the text's number, then bytes from its start
+        room = np.int64(1) << 32
+        token_ends = _ends(self.widths[ids], counts, room)
+        segment_ends = _ends(np.array([len(segments[i].encode()) for i in order.tolist()], np.int64), members, room)
+        at = np.minimum(np.searchsorted(token_ends, segment_ends), len(ids) - 1)
+        last = np.cumsum(members) - 1
+        good = np.logical_and.reduceat(token_ends[at] == segment_ends, last + 1 - members)
+        good &= at[last] == np.cumsum(counts) - 1
+        good &= np.array([x == y for x, y in zip(read, texts, strict=True)], bool)
+        starts = np.concatenate([[0], at[:-1] + 1])
+        sizes = at + 1 - starts
+        back = np.repeat(good, members)
+        if not good.all():
+            bad = np.flatnonzero(~back)
+            more, extra, back[bad] = self._single([segments[i] for i in order[bad].tolist()])
+            starts[bad], sizes[bad] = len(ids) + np.cumsum(more) - more, more
+            ids = np.concatenate([ids, extra])
+        place = np.argsort(order)
+        return sizes[place], ids[_runs(starts[place], sizes[place])], back[place]
 
     def encode(self, texts: list[str]) -> tuple[list[np.ndarray], np.ndarray, np.ndarray]:
         """Ids, parity flag and round-trip flag of each text."""
         if not self.by_segments:
-            rows = [r for answers in self._encoded(texts) for r in zip(*answers, strict=True)]
-            return [np.array(r[0], np.int32) for r in rows], np.array([r[1] for r in rows], bool), np.array([r[2] for r in rows], bool)
+            rows = [r for sizes, ids, *f in self._encoded(texts) for r in zip(np.split(ids, np.cumsum(sizes)[:-1]), *f, strict=True)]
+            return [r[0] for r in rows], np.array([r[1] for r in rows], bool), np.array([r[2] for r in rows], bool)
         out: list[list[np.ndarray]] = [[] for _ in texts]
         flags = np.ones((2, len(texts)), bool)
         lead = " " if self.model.add_dummy_prefix else ""
@@ -136,20 +197,19 @@ class PieceCodec:
             self._trim()
         found = [self.find_ascii(part) if part.isascii() else self.find(part) for _, part in held]
         counts = np.array([len(f) for f in found], np.int64)
-        segments = list(chain.from_iterable(found))
-        places = list(map(self.known.get, segments))
-        if fresh := list(dict.fromkeys(s for s, at in zip(segments, places, strict=True) if at is None)):
-            first = len(self.sizes)
-            for ids, same, back in self._encoded(fresh):
-                self.sizes.extend(map(len, ids))
-                self.ids.extend(chain.from_iterable(ids))
-                self.same.extend(same)
-                self.back.extend(back)
-            self.known.update(zip(fresh, range(first, len(self.sizes)), strict=True))
-            places = list(map(self.known.__getitem__, segments))
+        which = np.fromiter(map(self.known.__getitem__, chain.from_iterable(found)), np.int64, counts.sum())
+        try:
+            for sizes, ids, same, back in self._encoded(self.known.new):
+                self.sizes.frombytes(sizes.astype(np.int64).tobytes())
+                self.ids.frombytes(ids.astype(np.int32).tobytes())
+                self.same.frombytes(same.astype(np.int8).tobytes())
+                self.back.frombytes(back.astype(np.int8).tobytes())
+        except BaseException:
+            self._forget()  # numbers without answers
+            raise
+        self.known.new = []
         sizes, flat, same, back = (np.frombuffer(x, t) for x, t in ((self.sizes, np.int64), (self.ids, np.int32), (self.same, np.int8), (self.back, np.int8)))
         starts = np.cumsum(sizes) - sizes
-        which = np.array(places, np.int64)
         self.uses = np.bincount(which, minlength=len(sizes)) + np.pad(self.uses, (0, len(sizes) - len(self.uses)))
         size = sizes[which]
         ends = np.cumsum(size)
@@ -192,6 +252,31 @@ def codec_of(shared: dict) -> PieceCodec:
     return shared["codec"]
 
 
+def _flat(lists: list[list[int]]) -> tuple[np.ndarray, np.ndarray]:
+    """Sizes of lists, and what they hold one after another."""
+    sizes = np.fromiter(map(len, lists), np.int64, len(lists))
+    return sizes, np.fromiter(chain.from_iterable(lists), np.int32, sizes.sum())
+
+
+def _ends(widths: np.ndarray, counts: np.ndarray, room: np.int64) -> np.ndarray:
+    """Ends of things that lie in texts, ``counts`` of them in each: the text's
+    number times ``room`` and the widths up to there, less than ``room``."""
+    ends = np.cumsum(widths)
+    text_ends = ends[np.cumsum(counts) - 1]
+    before = np.concatenate([[0], text_ends[:-1]])
+    return np.repeat(np.arange(len(counts)) * room, counts) + np.minimum(ends - np.repeat(before, counts), room - 1)
+
+
+def _same_runs(sizes: np.ndarray, mine: np.ndarray, counts: np.ndarray, theirs: np.ndarray) -> np.ndarray:
+    """Whether two lists of runs have the same run, place by place."""
+    same = sizes == counts
+    of = lambda n, flat: flat[_runs((np.cumsum(n) - n)[same], n[same])]
+    differ = np.concatenate([[0], np.cumsum(of(sizes, mine) != of(counts, theirs))])
+    ends = np.cumsum(sizes[same])
+    same[same] = differ[ends] == differ[ends - sizes[same]]
+    return same
+
+
 def _runs(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
     """Places of runs one after another: ``sizes`` of them from each of ``starts``."""
     ends = np.cumsum(sizes)

@@ -84,6 +84,46 @@ def test_a_full_memory_keeps_what_is_used_most(model):
     assert asked.count(" the") == asked.count(" cat") == 1 and asked.count(" waaq") == 1
 
 
+class Counted:
+    """A tokenizer that lists what it is given, and reads ids through ``seen``."""
+
+    def __init__(self, inner, seen=lambda text: text):
+        self.inner, self.seen, self.given = inner, seen, []
+
+    def encode_batch_fast(self, texts, **options):
+        self.given += texts
+        return self.inner.encode_batch_fast(texts, **options)
+
+    def decode_batch(self, ids, **options):
+        return [self.seen(x) for x in self.inner.decode_batch(ids, **options)]
+
+
+def test_new_segments_go_to_the_tokenizer_joined(model):
+    library = sentencepiece.SentencePieceProcessor(model_proto=model)
+    texts = [" ".join(f"w{chr(97 + i)}{chr(97 + j)}q" for j in range(20)) + ".\n7é  " for i in range(20)] + ODD
+    codec = PieceCodec(model)
+    codec.tokenizer = Counted(codec.tokenizer)
+    ids, parity, same = codec.encode(texts)
+    assert [x.tolist() for x in ids] == [library.encode(t) for t in texts] and parity.all()
+    assert same.tolist() == ["▁" not in t for t in texts]
+    assert len(codec.tokenizer.given) < 90 < 400 < len(codec.known)
+
+
+def test_joined_segments_that_are_not_read_again_go_one_by_one(model):
+    """Each segment keeps its own flag and ids, whatever it is joined with."""
+    texts = ["the cat", "a mat on it", "cat", "one two three"]
+    codec = PieceCodec(model)
+    want = [x.tolist() for x in codec.encode(texts)[0]]
+    codec = PieceCodec(model)
+    codec.reader = Counted(codec.reader, lambda text: text.replace("cat", "dog"))
+    ids, parity, same = codec.encode(texts)
+    assert [x.tolist() for x in ids] == want and parity.all() and same.tolist() == [False, True, False, True]
+    codec = PieceCodec(model)
+    codec.widths[:] = 1  # nothing ends where a segment does
+    ids, parity, same = codec.encode(texts)
+    assert [x.tolist() for x in ids] == want and parity.all() and same.all()
+
+
 def test_ascii_texts_are_cut_like_others():
     texts = ["a  b_c 12x", "__  ", "\t\n x\x00\x1f~", " 9 9", "a" * 5 + "  ", ".,;a-b", "".join(map(chr, range(128)))]
     assert [re.findall(pm.ASCII_SEGMENT, t) for t in texts] == [re.findall(pm.SEGMENT, t) for t in texts]
